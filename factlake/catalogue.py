@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import pkgutil
 
-from pyspark.sql import DataFrame, SparkSession
+from . import plans
+from .plans import registry
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def _load() -> None:
+    for module in pkgutil.iter_modules(plans.__path__):
+        if module.name.endswith("_queries"):
+            importlib.import_module(f"{plans.__name__}.{module.name}")
+
+
+def queries() -> dict[str, registry.Query]:
+    _load()
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(registry.SQL)
