@@ -88,7 +88,7 @@ def fiscal_sql(day: str, code: str = "code", convention: str = "convention") ->
         y = f"(year({day}) + {k})"
         inside.append(f"CASE WHEN {day} >= {end(f'({y} - 1)')} + 1 - 7 AND {day} <= {end(y)} + 7 THEN {y} END")
         gaps.append(f"CASE WHEN {end(y)} IS NOT NULL THEN {{'gap': abs({day} - {end(y)}), 'y': {y}}} END")
-    year = f"coalesce({', '.join(inside)}, list_sort(list_filter([{', '.join(gaps)}], x -> x IS NOT NULL))[1].y)"
+    year = f"coalesce({', '.join(inside)}, list_sort(list_filter([{', '.join(gaps)}], lambda x: x IS NOT NULL))[1].y)"
     start = f"({end('(fiscal_year - 1)')} + 1)"
     ends = ", ".join(f"{{'gap': abs({day} - (({start} + INTERVAL {3 * q} MONTH)::DATE - 1)), 'q': {q}}}" for q in (1, 2, 3, 4))
     quarter = f"CASE WHEN fiscal_year IS NULL OR {start} IS NULL THEN CASE WHEN fiscal_year IS NOT NULL THEN 1 END ELSE list_sort([{ends}])[1].q END"
