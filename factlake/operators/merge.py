@@ -68,7 +68,8 @@ def promote(values: DataFrame, pairs: DataFrame, keys: list[str]) -> tuple[DataF
     ``pairs``: cik, loser, winner (a concept loses once). On the same period the
     winner's own row stays. Receipt per pair: moved, dropped.
     """
-    at = values.join(pairs, (values["cik"] == pairs["cik"]) & (values["concept"] == pairs["loser"]), "left").drop(pairs["cik"])
+    named = pairs.select(F.col("cik").alias("_cik"), F.col("loser").alias("_loser"), "winner")
+    at = values.join(named, (F.col("cik") == F.col("_cik")) & (F.col("concept") == F.col("_loser")), "left").drop("_cik", "_loser")
     moved = at.withColumns({"was": F.col("concept"), "concept": F.coalesce("winner", "concept")})
     w = Window.partitionBy("cik", "concept", *keys).orderBy(F.col("winner").isNotNull().cast("int"), "was")
     ranked = moved.withColumn("_n", F.row_number().over(w))
