@@ -10,11 +10,17 @@ meets in some table with probability (1 - (1 - s**width)**side)**2: 0.9999 at
 1. Documents with equal shingle sets become one class, named by its least id.
 2. A group of A (or B) whose value nobody shares can't be half of a shared key:
    keys are made only from groups that two classes share.
-3. In each bucket all members are confirmed against its least member. Members
-   of a bucket that still lie in different components are then compared with
-   each other in blocks of bounded size, by their minhashes; pairs that the
-   minhashes make plausible are confirmed. No bucket is cut short, and members
-   that are already connected aren't compared again.
+3. In each bucket the least member is compared with the others by minhashes.
+   Plausible pairs make rough clusters; members of a bucket that lie in
+   different clusters are compared in blocks of bounded size, where one
+   plausible pair joins two clusters. So every plausible pair that meets in a
+   bucket lies inside one cluster.
+   In each cluster the member nearest to the cluster's consensus (the most
+   frequent minhash of each place) is confirmed against the others, and each
+   member against its best counterpart. What this leaves apart from a cluster's
+   main component is compared with the whole cluster in blocks, by full shingle
+   sets; a block reports only the links that connect something.
+   No bucket or cluster is cut short, and pairs within a component aren't listed.
 4. A confirmation compares the full shingle sets (64-bit shingle hashes) of the
    two whole texts. Components come from distributed star contraction.
 
@@ -154,58 +160,112 @@ def _tables(b: Banding):
 
 
 def _agree(b: Banding):
-    """Pairs (lo, hi) whose minhashes agree often enough; columns lo, hi, sig_lo, sig_hi."""
+    """Plausible pairs with their number of equal minhashes; columns lo, hi, sig_lo, sig_hi."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in batches:
             same = (_unpacked(s.column(2), b.hashes) == _unpacked(s.column(3), b.hashes)).sum(axis=1)
-            yield s.select([0, 1]).filter(pa.array(same >= b.plausible * b.hashes))
+            on = pa.array(same >= b.plausible * b.hashes)
+            yield pa.record_batch({"lo": s.column(0), "hi": s.column(1), "same": pa.array(same.astype(np.int32))}).filter(on)
 
     return run
 
 
-def _blocks(b: Banding):
-    """Plausible pairs inside each (key, left, right) block pair; rows come sorted by those three.
+class _Forest:
+    """Union-find over the labels that one block pair sees."""
 
-    Columns: key, left, right, block, rep, component, sig. A block pair holds
-    two blocks at most, which bounds the rows kept here.
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def joins(self, x: int, y: int) -> bool:
+        """Whether x and y were apart; they aren't afterwards."""
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """All rows of each value of the first ``width`` columns; rows come sorted by them, and a value has a bounded number of rows."""
+    open_key, kept = None, []
+
+    def whole() -> pa.RecordBatch:
+        return pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+    for s in batches:
+        if not s.num_rows:
+            continue
+        k = np.stack([s.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(width)], axis=1)
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(k)]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if tuple(k[i]) != open_key and kept:
+                yield whole()
+                kept = []
+            open_key = tuple(k[i])
+            kept.append(s.slice(i, j - i))
+    if kept:
+        yield whole()
+
+
+def _pairs(lo: list[int], hi: list[int]) -> pa.RecordBatch:
+    x, y = np.array(lo, np.int64), np.array(hi, np.int64)
+    return pa.record_batch({"lo": np.minimum(x, y), "hi": np.maximum(x, y)})
+
+
+def _bridges(b: Banding):
+    """In each (key, left, right) block pair, plausible pairs that connect rough clusters.
+
+    Columns: key, left, right, block, rep, cluster, sig. A block pair holds two
+    blocks at most, which bounds the rows kept here.
     """
 
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        t = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        left, right = t.column(1)[0].as_py(), t.column(2)[0].as_py()
-        block, rep, comp = (t.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
-        sig = _unpacked(t.column(6), b.hashes)
-        x, y = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        out = []
-        for i in x.tolist():
-            js = y[y > i] if left == right else y
-            js = js[comp[js] != comp[i]]
-            if len(js):
-                js = js[(sig[js] == sig[i]).sum(axis=1) >= b.plausible * b.hashes]
-                out.append(np.stack([np.minimum(rep[i], rep[js]), np.maximum(rep[i], rep[js])], axis=1))
-        if not out or not sum(map(len, out)):
-            return None
-        p = np.concatenate(out)
-        return pa.record_batch({"lo": p[:, 0], "hi": p[:, 1]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _keyed(batches, 3):
+            left, right = t.column(1)[0].as_py(), t.column(2)[0].as_py()
+            block, rep, cluster = (t.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            sig, forest, lo, hi = _unpacked(t.column(6), b.hashes), _Forest(), [], []
+            x, y = np.flatnonzero(block == left), np.flatnonzero(block == right)
+            for i in x.tolist():
+                js = y[y > i] if left == right else y
+                js = js[cluster[js] != cluster[i]]
+                if len(js):
+                    for j in js[(sig[js] == sig[i]).sum(axis=1) >= b.plausible * b.hashes].tolist():
+                        if forest.joins(int(cluster[i]), int(cluster[j])):
+                            lo.append(int(rep[i]))
+                            hi.append(int(rep[j]))
+            if lo:
+                yield _pairs(lo, hi)
+
+    return run
+
+
+def _places(b: Banding):
+    """cluster, place, value for each minhash; columns cluster, sig."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in batches:
+            sig = _unpacked(s.column(1), b.hashes)
+            cluster = np.repeat(s.column(0).to_numpy(zero_copy_only=False), b.hashes)
+            yield pa.record_batch({"cluster": cluster, "place": np.tile(np.arange(b.hashes, dtype=np.int32), len(sig)), "value": sig.ravel().astype(np.int64)})
+
+    return run
+
+
+def _nearness(b: Banding):
+    """cluster, rep and the number of minhashes equal to the consensus; columns cluster, rep, sig, consensus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, kept = None, []
         for s in batches:
             if not s.num_rows:
                 continue
-            k = np.stack([s.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3)], axis=1)
-            cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(k)]
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                key = tuple(k[i])
-                if key != open_key and kept:
-                    if (p := pairs(kept)) is not None:
-                        yield p
-                    kept = []
-                open_key = key
-                kept.append(s.slice(i, j - i))
-        if kept and (p := pairs(kept)) is not None:
-            yield p
+            consensus = s.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, b.hashes)
+            same = (_unpacked(s.column(2), b.hashes) == consensus).sum(axis=1)
+            yield pa.record_batch({"cluster": s.column(0), "rep": s.column(1), "near": pa.array(same.astype(np.int32))})
 
     return run
 
@@ -216,17 +276,76 @@ def _confirm(b: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in (x for y in tv.slices(batch, "text_lo") for x in tv.slices(y, "text_hi")):
-                sets = []
-                for c in (2, 3):
-                    h, off = shingles(s.column(c), b.words)
-                    sets.append([np.unique(h[off[d] : off[d + 1]]) for d in range(len(off) - 1)])
-                inter = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets, strict=True)], np.int64)
-                union = np.array([len(x) + len(y) for x, y in zip(*sets, strict=True)], np.int64) - inter
+                x, y = (_sets(s.column(c), b.words) for c in (2, 3))
+                inter = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y, strict=True)], np.int64)
+                union = np.array([len(p) + len(q) for p, q in zip(x, y, strict=True)], np.int64) - inter
                 yield pa.record_batch([s.column(0), s.column(1), pa.array(inter), pa.array(union)], names=["lo", "hi", "inter", "union"])
 
     return run
 
 
+def _sets(col: pa.Array, words: int) -> list[np.ndarray]:
+    h, off = shingles(col, words)
+    return [np.unique(h[off[d] : off[d + 1]]) for d in range(len(off) - 1)]
+
+
+#: Columns of the 0/1 matrices (rows by shingles) that are multiplied at once.
+_COLUMNS = 4096
+
+
+def _intersections(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of x with all of y."""
+    nx, ny = np.array([len(s) for s in x]), np.array([len(s) for s in y])
+    flat_x, flat_y = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(flat_x, flat_y)
+    out = np.zeros((len(x), len(y)), np.float32)
+
+    def cells(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(both, flat)
+        on = (at < len(both)) & (both[np.minimum(at, len(both) - 1)] == flat) if len(both) else np.zeros(len(flat), bool)
+        return np.repeat(np.arange(len(counts)), counts)[on], at[on]
+
+    (rx, cx), (ry, cy) = cells(flat_x, nx), cells(flat_y, ny)
+    for first in range(0, len(both), _COLUMNS):
+        parts = []
+        for rows, cols, n in ((rx, cx, len(x)), (ry, cy, len(y))):
+            m = np.zeros((n, _COLUMNS), np.float32)
+            on = (cols >= first) & (cols < first + _COLUMNS)
+            m[rows[on], cols[on] - first] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _connecting(b: Banding):
+    """In each (cluster, i, j) block, the links that connect components.
+
+    Columns: cluster, i, j, minor, rep, component, text: a block of the
+    cluster's members and a block of those outside its main component.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _keyed(batches, 3):
+            minor, rep, comp = (t.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            sets = [x for s in tv.slices(t, "text") for x in _sets(s.column(6), b.words)]
+            x, y = np.flatnonzero(~minor), np.flatnonzero(minor)
+            if not len(x) or not len(y):
+                continue
+            inter = _intersections([sets[k] for k in x], [sets[k] for k in y])
+            size = np.array([len(s) for s in sets])
+            union = size[x][:, None] + size[y][None, :] - inter
+            hit = (inter * 100 >= union * b.percent) & (comp[x][:, None] != comp[y][None, :])
+            forest, lo, hi = _Forest(), [], []
+            for i, j in zip(*np.nonzero(hit), strict=True):
+                if forest.joins(int(comp[x[i]]), int(comp[y[j]])):
+                    lo.append(int(rep[x[i]]))
+                    hi.append(int(rep[y[j]]))
+            if lo:
+                yield _pairs(lo, hi)
+
+    return run
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold, as links u, v."""
     lo = texts.select(F.col("rep").alias("lo"), F.col("text").alias("text_lo"))
@@ -236,6 +355,58 @@ def _linked(pairs: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
     return done.filter(F.col("inter") * 100 >= F.col("union") * b.percent).select(F.col("lo").alias("u"), F.col("hi").alias("v"))
 
 
+def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[DataFrame, DataFrame]:
+    """Plausible pairs (lo, hi, same) and the clusters (rep, cluster) that they make."""
+    stars = members.filter("rep > least").select(F.col("least").alias("lo"), F.col("rep").alias("hi")).distinct()
+    lo, hi = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in ("lo", "hi"))
+    stars = stars.join(hi, "hi").join(lo, "lo").select("lo", "hi", "sig_lo", "sig_hi").mapInArrow(_agree(b), "lo long, hi long, same int")
+    stars = stored(stars, "stars")
+    edges = stars.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+    near = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    placed = members.join(near, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+    apart = placed.groupBy("key").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).filter("x <> y").select("key")
+    n_blocks = F.ceil(F.col("n") / b.block)
+    rest = placed.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), n_blocks))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)))
+    rest = rest.select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "rep", "cluster")
+    rest = rest.join(reps, "rep").select("key", "left", "right", "block", "rep", "cluster", "sig")
+    rest = rest.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "rep")
+    bridges = stored(rest.mapInArrow(_bridges(b), "lo long, hi long").distinct(), "bridges")
+    found = components(edges.unionByName(bridges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))))
+    cluster = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("rep"), "cluster").distinct())
+    pairs = stars.unionByName(bridges.withColumn("same", F.lit(0)))
+    return pairs, stored(cluster, "clusters")
+
+
+def _pivots(clusters: DataFrame, reps: DataFrame, b: Banding) -> DataFrame:
+    """lo, hi: each cluster's member nearest to its consensus, paired with every other member."""
+    sigs = clusters.join(reps, "rep").select("cluster", "rep", "sig")
+    counts = sigs.select("cluster", "sig").mapInArrow(_places(b), "cluster long, place int, value long").groupBy("cluster", "place", "value").agg(F.count("*").alias("n"))
+    top = counts.groupBy("cluster", "place").agg(F.max(F.struct("n", "value")).alias("top")).select("cluster", "place", F.col("top.value").alias("value"))
+    consensus = top.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("consensus"))
+    near = sigs.join(consensus, "cluster").select("cluster", "rep", "sig", "consensus").mapInArrow(_nearness(b), "cluster long, rep long, near int")
+    pivot = near.groupBy("cluster").agg(F.max(F.struct("near", (-F.col("rep")).alias("m"))).alias("p")).select("cluster", (-F.col("p.m")).alias("pivot"))
+    both = clusters.join(pivot, "cluster").filter("rep <> pivot")
+    return both.select(F.least("rep", "pivot").alias("lo"), F.greatest("rep", "pivot").alias("hi"))
+
+
+def _left_apart(clusters: DataFrame, found: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
+    """Links u, v between what lies outside a cluster's main component and the rest of the cluster."""
+    at = clusters.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    at = stored(at, "parted")
+    sizes = at.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).filter("n > most")
+    main = main.select("cluster", "main", F.ceil(F.col("n") / b.block).alias("n_i"), F.ceil((F.col("n") - F.col("most")) / b.block).alias("n_j"))
+    rows = at.join(main, "cluster").join(texts, "rep")
+    zero = F.lit(0).cast("bigint")
+    spot_i, spot_j = F.pmod(F.xxhash64("rep"), F.col("n_i")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("n_j"))
+    every = rows.select("cluster", spot_i.alias("i"), F.explode(F.sequence(zero, F.col("n_j") - 1)).alias("j"), F.lit(False).alias("minor"), "rep", "component", "text")
+    minor = rows.filter("component <> main").select("cluster", F.explode(F.sequence(zero, F.col("n_i") - 1)).alias("i"), spot_j.alias("j"), F.lit(True).alias("minor"), "rep", "component", "text")
+    both = every.unionByName(minor).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return both.mapInArrow(_connecting(b), "lo long, hi long").select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     b = banding
@@ -263,27 +434,14 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str =
     buckets = buckets.groupBy("n", "least", "who").agg(F.min("key").alias("key")).select("key", "n", "least")
     members = stored(keys.join(buckets, "key"), "members")
 
-    texts = rows.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
+    pairs, clusters = _rough_clusters(members, reps, b)
+    texts = rows.withColumnRenamed("doc_id", "rep").join(clusters.select("rep").distinct(), "rep", "left_semi")
     texts = stored(texts, "near-texts", compression="zstd")
-    stars = members.filter("rep > least").select(F.col("least").alias("lo"), F.col("rep").alias("hi")).distinct()
-    lo, hi = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in ("lo", "hi"))
-    stars = stars.join(hi, "hi").join(lo, "lo").select("lo", "hi", "sig_lo", "sig_hi").mapInArrow(_agree(b), "lo long, hi long")
-    links = stored(_linked(stars.distinct(), texts, b), "near-links")
-    found = stored(components(links), "near-found")
-
-    # Buckets whose members aren't all connected yet.
-    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    n_blocks = F.ceil(F.col("n") / b.block)
-    rest = placed.join(split, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), n_blocks))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "rep", "component")
-    rest = rest.join(reps, "rep").select("key", "left", "right", "block", "rep", "component", "sig")
-    rest = rest.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "rep")
-    more = rest.mapInArrow(_blocks(b), "lo long, hi long").distinct()
-    more = more.join(links.select(F.col("u").alias("lo"), F.col("v").alias("hi")), ["lo", "hi"], "left_anti")
-    links = links.unionByName(_linked(more, texts, b))
-    found = components(links)
+    best = pairs.groupBy("hi").agg(F.max(F.struct("same", "lo"))["lo"].alias("lo")).select("lo", "hi")
+    first = _pivots(clusters, reps, b).unionByName(best).distinct()
+    links = stored(_linked(first, texts, b), "near-links")
+    more = _left_apart(clusters, components(links), texts, b)
+    found = components(links.unionByName(more))
 
     named = sigs.select("doc_id", *same).join(classes, same, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
     named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
