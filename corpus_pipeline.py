@@ -18,8 +18,9 @@ from factlake.llm.workspace import stored
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids, each once."""
-    return docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The documents with these ids, each once; rows without an id can't be told apart and all stay."""
+    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in whole documents: a document as often as its taken words make up its text, rounded."""
-    taken = mixing.mix(docs).select("doc_id", F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("copies"))
-    often = docs.join(taken.filter("copies > 0"), "doc_id")
-    return often.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """The mix in whole documents: a document as often as its taken words make up its text, rounded; a row without an id once."""
+    often = F.floor(F.try_divide("taken", "size") + 0.5).cast("int")
+    taken = mixing.mix(docs.filter("doc_id is not null")).groupBy("doc_id").agg(F.max(often).alias("__copies__")).filter("__copies__ > 0")
+    mixed = docs.join(taken, "doc_id").withColumn("__copy__", F.explode(F.sequence(F.lit(1), "__copies__")))
+    return mixed.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
