@@ -18,28 +18,32 @@ from .workspace import stored
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node has one parent or is one, not both (links point down and don't repeat)."""
+    ends = links.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up + down > 1").isEmpty()
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, component: for every node of ``links`` (u, v bigint) but the least of its component, that least node.
 
     Links of a node with itself and repeated links count for nothing; an empty
     table gives an empty result.
     """
-    at = stored(links.select("u", "v").filter("u <> v").distinct(), "links")
-    seen = None
+    at = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+    at = stored(at, "links")
     for _ in range(most_rounds):
-        at = stored(_small_star(_large_star(at)), "star")
-        now = tuple(at.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
+        if _all_stars(at):
             return at.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = now
+        at = stored(_small_star(_large_star(at)), "star")
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")

@@ -11,9 +11,10 @@ meets in some table with probability (1 - (1 - s**width)**side)**2: 0.9999 at
 2. A group of A (or B) whose value nobody shares can't be half of a shared key:
    keys are made only from groups that two classes share.
 3. In each bucket the least member is compared with the others by minhashes.
-   Plausible pairs make rough clusters; members of a bucket that lie in
-   different clusters are compared in blocks of bounded size, where one
-   plausible pair joins two clusters. So every plausible pair that meets in a
+   Plausible pairs make rough clusters. Members of a bucket that lie in
+   different clusters are compared with one member picked by hash, and what is
+   apart still in blocks of bounded size, where one plausible pair joins two
+   clusters. So every plausible pair that meets in a
    bucket lies inside one cluster.
    In each cluster the member nearest to the cluster's consensus (the most
    frequent minhash of each place) is confirmed against the others, and each
@@ -355,15 +356,39 @@ def _linked(pairs: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
     return done.filter(F.col("inter") * 100 >= F.col("union") * b.percent).select(F.col("lo").alias("u"), F.col("hi").alias("v"))
 
 
+def _plausible(pairs: DataFrame, reps: DataFrame, b: Banding, name: str) -> DataFrame:
+    lo, hi = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in ("lo", "hi"))
+    both = pairs.distinct().join(hi, "hi").join(lo, "lo").select("lo", "hi", "sig_lo", "sig_hi")
+    return stored(both.mapInArrow(_agree(b), "lo long, hi long, same int"), name)
+
+
+def _links(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+
+
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    near = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    return members.join(near, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+
+
 def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[DataFrame, DataFrame]:
     """Plausible pairs (lo, hi, same) and the clusters (rep, cluster) that they make."""
-    stars = members.filter("rep > least").select(F.col("least").alias("lo"), F.col("rep").alias("hi")).distinct()
-    lo, hi = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in ("lo", "hi"))
-    stars = stars.join(hi, "hi").join(lo, "lo").select("lo", "hi", "sig_lo", "sig_hi").mapInArrow(_agree(b), "lo long, hi long, same int")
-    stars = stored(stars, "stars")
-    edges = stars.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-    near = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    placed = members.join(near, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+    stars = _plausible(members.filter("rep > least").select(F.col("least").alias("lo"), F.col("rep").alias("hi")), reps, b, "stars")
+    found = components(_links(stars))
+
+    # Buckets in several clusters: who isn't in the cluster of a member picked by hash is compared with that one.
+    placed = stored(_placed(members, found), "placed")
+    spot = F.col("rep").bitwiseXOR(F.col("key"))
+    picked = placed.groupBy("key").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y"), F.min(spot).alias("spot"), F.min_by("cluster", spot).alias("at"))
+    picked = picked.filter("x <> y").select(F.col("key").alias("k"), "at", F.col("spot").bitwiseXOR(F.col("key")).alias("other"))
+    across = placed.join(picked, (F.col("key") == F.col("k")) & (F.col("cluster") != F.col("at")))
+    more = _plausible(across.select(F.least("rep", "other").alias("lo"), F.greatest("rep", "other").alias("hi")), reps, b, "more-stars")
+    pairs = stars.unionByName(more)
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_links(more)))
+        placed = _placed(members, found)
+
+    # What is apart still is compared in blocks.
     apart = placed.groupBy("key").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).filter("x <> y").select("key")
     n_blocks = F.ceil(F.col("n") / b.block)
     rest = placed.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), n_blocks))
@@ -372,10 +397,11 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
     rest = rest.join(reps, "rep").select("key", "left", "right", "block", "rep", "cluster", "sig")
     rest = rest.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "rep")
     bridges = stored(rest.mapInArrow(_bridges(b), "lo long, hi long").distinct(), "bridges")
-    found = components(edges.unionByName(bridges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))))
+    if not bridges.isEmpty():
+        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_links(bridges)))
+        pairs = pairs.unionByName(bridges.withColumn("same", F.lit(0)))
     cluster = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("rep"), "cluster").distinct())
-    pairs = stars.unionByName(bridges.withColumn("same", F.lit(0)))
     return pairs, stored(cluster, "clusters")
 
 
@@ -440,8 +466,10 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str =
     best = pairs.groupBy("hi").agg(F.max(F.struct("same", "lo"))["lo"].alias("lo")).select("lo", "hi")
     first = _pivots(clusters, reps, b).unionByName(best).distinct()
     links = stored(_linked(first, texts, b), "near-links")
-    more = _left_apart(clusters, components(links), texts, b)
-    found = components(links.unionByName(more))
+    found = components(links)
+    more = stored(_left_apart(clusters, found, texts, b), "late-links")
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
     named = sigs.select("doc_id", *same).join(classes, same, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
     named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
