@@ -24,17 +24,25 @@ def company_submissions(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     """Companies and filings of submission files; parallel arrays are zipped by index, newest filings first within a company."""
     raw = spark.read.schema(FILINGS_SCHEMA).option("multiLine", True).json(path)
     companies = raw.select(ten_digit_cik(F.col("cik")).alias("cik"), "name", F.get("tickers", F.lit(0)).alias("ticker"), "tickers", "exchanges", "sic", F.col("fiscalYearEnd").alias("fiscal_year_end"))
-    recent = "filings.recent"
-    zipped = F.arrays_zip(*[F.col(f"{recent}.{c}") for c in ("form", "accessionNumber", "filingDate", "reportDate", "isXBRL", "primaryDocument")])
+    return companies, filing_rows(raw)
+
+
+def filing_rows(raw: DataFrame) -> DataFrame:
+    """One row per filing of submission documents."""
+    zipped = F.arrays_zip(*[F.col(f"filings.recent.{c}") for c in ("form", "accessionNumber", "filingDate", "reportDate", "isXBRL", "primaryDocument")])
     filings = raw.select(ten_digit_cik(F.col("cik")).alias("cik"), F.inline(zipped))
-    return companies, filings.select(
+    return filings.select(
         "cik", "form", F.col("accessionNumber").alias("accession"), F.col("filingDate").try_cast("date").alias("filing_date"), F.col("reportDate").try_cast("date").alias("report_date"), (F.col("isXBRL") == 1).alias("is_xbrl"), F.col("primaryDocument").alias("document")
     )
 
 
 def company_facts(spark: SparkSession, path: str) -> DataFrame:
     """One row per reported fact of company-facts files."""
-    raw = spark.read.schema(COMPANY_FACTS_SCHEMA).option("multiLine", True).json(path)
+    return fact_rows(spark.read.schema(COMPANY_FACTS_SCHEMA).option("multiLine", True).json(path))
+
+
+def fact_rows(raw: DataFrame) -> DataFrame:
+    """One row per reported fact of company-facts documents."""
     spaces = raw.select(ten_digit_cik(F.col("cik")).alias("cik"), F.explode("facts").alias("space", "tags"))
     tags = spaces.select("cik", "space", F.explode("tags").alias("tag", "t"))
     units = tags.select("cik", F.concat_ws(":", "space", "tag").alias("tag"), F.explode("t.units").alias("unit", "rows"))
