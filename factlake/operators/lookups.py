@@ -97,9 +97,10 @@ def independent_modes(rows: DataFrame, keys: list[str], columns: list[str]) -> D
 
 def processing_summary(source: DataFrame, processed: DataFrame, keys: list[str]) -> DataFrame:
     """total, processed, percent (NULL for an empty source)."""
-    a = source.agg(F.count_distinct(*keys).alias("total"))
-    b = processed.agg(F.count_distinct(*keys).alias("processed"))
-    return a.join(b).withColumn("percent", F.try_divide(F.col("processed") * 100, F.col("total")))
+    both = source.select(*keys, F.lit(True).alias("_s")).unionByName(processed.select(*keys, F.lit(False).alias("_s")))
+    key = F.struct(*keys)
+    both = both.agg(F.count_distinct(F.when(F.col("_s"), key)).alias("total"), F.count_distinct(F.when(~F.col("_s"), key)).alias("processed"))
+    return both.withColumn("percent", F.try_divide(F.col("processed") * 100, F.col("total")))
 
 
 def by_priority(*tables: DataFrame, keys: list[str]) -> DataFrame:
