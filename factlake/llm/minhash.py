@@ -12,8 +12,9 @@ meets in some table with probability (1 - (1 - s**width)**side)**2: 0.9999 at
    keys are made only from groups that two classes share.
 3. In each bucket the least member is compared with the others by minhashes.
    Plausible pairs make rough clusters. Members of a bucket that lie in
-   different clusters are compared with one member picked by hash, and what is
-   apart still in blocks of bounded size, where one plausible pair joins two
+   different clusters are compared with one member picked by hash. What is
+   apart still joins the bucket's dominant cluster without more ado, or else is
+   compared in blocks of bounded size, where one plausible pair joins two
    clusters. So every plausible pair that meets in a
    bucket lies inside one cluster.
    In each cluster the member nearest to the cluster's consensus (the most
@@ -58,6 +59,9 @@ class Banding:
     #: Pairs with fewer equal minhashes (share of all) aren't confirmed: at 0.75 a pair has fewer with probability 1e-6.
     plausible: float = 0.45
     block: int = 512
+    #: A cluster dominates a bucket with so many members at least, and so large a share of the bucket.
+    dominant: int = 8
+    dominant_share: float = 0.75
     seed: int = 20240607
 
     @property
@@ -388,8 +392,15 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
         found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_links(more)))
         placed = _placed(members, found)
 
-    # What is apart still is compared in blocks.
-    apart = placed.groupBy("key").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).filter("x <> y").select("key")
+    # A bucket with a dominant cluster puts its few others into that cluster, where full sets decide.
+    # What is apart in other buckets is compared in blocks.
+    per = placed.groupBy("key", "cluster").agg(F.count("*").alias("m"), F.max("n").alias("n"))
+    main = per.groupBy("key").agg(F.max(F.struct("m", "cluster")).alias("top"), F.max("n").alias("n")).filter("top.m < n")
+    main = main.select(F.col("key").alias("k"), F.col("top.cluster").alias("main"), ((F.col("top.m") >= b.dominant) & (F.col("top.m") >= F.col("n") * b.dominant_share)).alias("dominated"))
+    main = stored(main, "apart")
+    forced = per.join(main.filter("dominated"), F.col("key") == F.col("k")).filter("cluster <> main").select(F.col("cluster").alias("u"), F.col("main").alias("v")).distinct()
+    forced = stored(forced, "forced")
+    apart = main.filter("not dominated").select(F.col("k").alias("key"))
     n_blocks = F.ceil(F.col("n") / b.block)
     rest = placed.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), n_blocks))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)))
@@ -397,8 +408,8 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
     rest = rest.join(reps, "rep").select("key", "left", "right", "block", "rep", "cluster", "sig")
     rest = rest.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "rep")
     bridges = stored(rest.mapInArrow(_bridges(b), "lo long, hi long").distinct(), "bridges")
-    if not bridges.isEmpty():
-        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_links(bridges)))
+    if not (bridges.isEmpty() and forced.isEmpty()):
+        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(forced).unionByName(_links(bridges)))
         pairs = pairs.unionByName(bridges.withColumn("same", F.lit(0)))
     cluster = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("rep"), "cluster").distinct())
