@@ -1,10 +1,16 @@
 """Language identification by nearest centroid.
 
 A text is the L2-normalised TF-IDF vector of its hashed byte 2- and 3-grams
-(lower-cased words, a blank marks a word's edge). Spherical k-means gives
+(lower-cased words, a blank marks a word's edge; ASCII signs part words and
+words with a digit, such as keys and hex, don't count). Spherical k-means gives
 ``clusters`` centroids per language; a text takes the language of the centroid
-with the highest cosine. A text whose best cosine is under ``reject_below`` is
-far from every language and is rejected.
+with the highest cosine.
+
+A text is far from every language and is rejected when its best cosine is under
+that language's threshold: the ``low_quantile`` of the best cosines of the
+language's own learning rows, times ``slack``. A text with few different grams
+covers little of a centroid, so below ``full_grams`` of them the threshold falls
+with the root of their number; it is ``reject_below`` at least.
 
 The fit reads a bounded sample (``sample_rows`` rows in all, equally many of
 each language, texts of at most ``most_chars`` characters); scoring reads
@@ -42,13 +48,30 @@ class Centroid:
     folds: int = 3
     held_out_fold: int = 1
     reject_below: float = 0.02
+    low_quantile: float = 0.002
+    slack: float = 0.5
+    full_grams: int = 128
     seed: int = 7
     rows_at_once: int = 512
 
 
+def _worded(data: np.ndarray) -> np.ndarray:
+    """The bytes of words without a digit; words are letters, digits and everything beyond ASCII."""
+    digit = (data >= 0x30) & (data <= 0x39)
+    word = tv.LETTER[data] | digit | (data >= 0x80)
+    run = np.cumsum(~word)  # one number for a word and the byte before it
+    return word & (np.bincount(run, weights=digit) == 0)[run]
+
+
+def _reach(grams: np.ndarray, m: Centroid) -> np.ndarray:
+    """By the number of different grams of a text, the share of a threshold that holds for it."""
+    return np.sqrt(np.minimum(grams / m.full_grams, 1.0))
+
+
 def _counts(col: pa.Array, m: Centroid) -> np.ndarray:
     data, offsets = tv.utf8(tv.spaced(col))
     data = tv.latin_lowered(data)
+    data[~_worded(data)] = 0x20
     row = tv.row_index(offsets)
     size = 1 << m.bits
     total = np.zeros(len(col) * size, np.int64)
@@ -82,6 +105,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
+    least: np.ndarray  #: by language, the cosine under which a text is rejected
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -108,15 +132,27 @@ def fit_centroids(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
         df[at] += 1
     idf = (np.log((1 + len(bags)) / (1 + df)) + 1).astype(np.float32)
     names, parts, owner = tuple(sorted(set(labels.tolist()))), [], []
-    for k, name in enumerate(names):
+
+    def rows_of(name: str) -> np.ndarray:
         rows = np.flatnonzero(labels == name)
         x = np.zeros((len(rows), size), np.float32)
         for i, r in enumerate(rows):
             x[i, bags[r][0]] = bags[r][1]
-        c = _cluster(_unit(x * idf), m)
+        return _unit(x * idf)
+
+    for k, name in enumerate(names):
+        c = _cluster(rows_of(name), m)
         parts.append(c)
         owner += [k] * len(c)
-    return Model(names, idf, np.concatenate(parts) if parts else np.zeros((0, size), np.float32), np.array(owner, np.int64))
+    centroids, owners = np.concatenate(parts) if parts else np.zeros((0, size), np.float32), np.array(owner, np.int64)
+    least = np.full(len(names), m.reject_below)
+    for k, name in enumerate(names):
+        cos = rows_of(name) @ centroids.T
+        reach = _reach(np.array([len(bags[r][0]) for r in np.flatnonzero(labels == name)]), m)
+        own = (cos.max(axis=1) / reach)[owners[cos.argmax(axis=1)] == k]  # a row that is nearer to another language has a wrong label
+        if len(own):
+            least[k] = max(m.reject_below, m.slack * float(np.quantile(own, m.low_quantile)))
+    return Model(names, idf, centroids, owners, least)
 
 
 def fit(docs: DataFrame, m: Centroid = Centroid(), lang_col: str = "lang") -> Model:
@@ -135,15 +171,16 @@ def _score(m: Centroid, model: Model):
         weighted = (model.centroids * model.idf).T.copy()
         for s in _blocks(batches, m):
             n = s.num_rows
-            lang, best = np.full(n, UNKNOWN, object), np.zeros(n)
+            lang, best, least = np.full(n, UNKNOWN, object), np.zeros(n), np.full(n, m.reject_below)
             letters = s.column(2).to_numpy(zero_copy_only=False)
             if len(model.languages):
                 c = _counts(s.column(1), m).astype(np.float32)
                 cos = (c @ weighted) / np.maximum(np.linalg.norm(c * model.idf, axis=1, keepdims=True), 1e-12)
                 top = cos.argmax(axis=1)
                 best = np.where(letters, np.clip(cos[np.arange(n), top], 0, 1), 0.0)
+                least = np.maximum(m.reject_below, model.least[model.owner[top]] * _reach((c > 0).sum(axis=1), m))
                 lang = np.where(letters, np.array(model.languages, object)[model.owner[top]], UNKNOWN)
-            far = ~letters | (best < m.reject_below)
+            far = ~letters | (best < least)
             yield pa.record_batch([s.column(0), pa.array(lang.tolist(), pa.string()), pa.array(best.astype(np.float64)), pa.array(far)], names=["doc_id", "lang_pred", "score", "rejected"])
 
     return run
