@@ -57,13 +57,37 @@ def pivot_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 145 WHEN 1 THEN 110 WHEN 2 THEN 80 WHEN 3 THEN 0 WHEN 4 THEN 30 ELSE 60 END::BIGINT AS score FROM customer""")
 def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A07, A08, A09, A11"""
+    """A07"""
     k = F.col("c_custkey") % 6
     acc = "0000320193-24-000123"
     name = F.when(k == 0, f"{acc}_htm.xml").when(k == 1, "abc-20240101.htm").when(k == 2, f"{acc}.xml").when(k == 3, "FilingSummary.xml").when(k == 4, "notes.txt").otherwise("other.xml")
     return table(spark, sf_dir, "customer").select("c_custkey", files.xbrl_file_score(name, F.lit(acc)).cast("bigint").alias("score"))
 
 
+@query("""SELECT c_custkey, CASE c_custkey % 11 WHEN 0 THEN 100 WHEN 1 THEN 90 WHEN 2 THEN 80 WHEN 3 THEN 70 WHEN 4 THEN 65 WHEN 5 THEN 40 WHEN 6 THEN 50 WHEN 7 THEN 5 WHEN 8 THEN 0 WHEN 9 THEN 0 WHEN 10 THEN 55 END::BIGINT AS score FROM customer""")
+def candidate_html_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A08"""
+    k = F.col("c_custkey") % 11
+    name = F.when(k == 0, "abc-20240101.htm").when(k == 1, "abc-10k_20180630.htm").when(k == 2, "000032019324000123.htm").when(k == 3, "d827041d10q.htm").when(k == 4, "form10k.htm").when(k == 5, "doc1234567.htm").when(k == 6, "acme-report.htm").when(k == 7, "r12.htm").when(k == 8, "abcex99.htm").when(k == 9, "main.html").otherwise("my_10-k_filing.htm")
+    return table(spark, sf_dir, "customer").select("c_custkey", files.html_file_score(name, F.lit("0000320193-24-000123")).cast("bigint").alias("score"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 115 WHEN 1 THEN 100 WHEN 2 THEN 70 WHEN 3 THEN 50 WHEN 4 THEN 0 WHEN 5 THEN 50 WHEN 6 THEN 0 WHEN 7 THEN 50 END::BIGINT AS score FROM customer""")
+def candidate_sec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A09"""
+    k = F.col("c_custkey") % 8
+    name = F.when(k == 0, "abc-20240101_htm.xml").when(k == 1, "instance.xml").when(k == 2, "0000320193-24-000123.xml").when(k == 3, "0000320193-24-000123.txt").when(k == 4, "abc-20240101_lab.xml").when(k == 5, "other.xml").when(k == 6, "a.htm").otherwise("filing_document.txt")
+    return table(spark, sf_dir, "customer").select("c_custkey", files.sec_file_score(name).cast("bigint").alias("score"))
+
+
+@query("""SELECT c_custkey, c_custkey % 5 <> 4 AS fallback FROM customer""")
+def txt_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No address, an empty one, a text file, the submission's own address, an instance"""
+    k = F.col("c_custkey") % 5
+    xbrl = F.when(k == 1, "").when(k == 2, "a/b.TXT").when(k == 3, "a/sub").when(k == 4, F.concat(F.lit("a/"), F.col("c_custkey").cast("string"), F.lit("_htm.xml")))
+    return table(spark, sf_dir, "customer").select("c_custkey", files.txt_fallback(xbrl, F.when(k == 3, "a/sub")).alias("fallback"))
+
+
 @query("""WITH a AS (SELECT o_custkey, o_orderdate::DATE AS d, o_orderkey FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_custkey, year(o_orderdate) AS y, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS amendment FROM orders WHERE o_orderkey % 2 = 1 GROUP BY ALL)
 SELECT o_orderkey, amendment FROM a LEFT JOIN b ON a.o_custkey = b.o_custkey AND year(a.d) = b.y""")
 def amendment_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,11 @@ COMPANY_FACTS_SCHEMA = (
 LABEL_SCHEMA = "concept string, role string, lang string, year int, label string"
 SKIPPED_FILES = r"(?i)(filingsummary|metalinks|financial_report|\.xsd$|_cal\.xml$|_def\.xml$|_lab\.xml$|_pre\.xml$|^r\d+\.)"
 
+SKIPPED_HTML = r"index|ex|graphic|logo|image|\.jpg|\.png|\.gif|\.css|\.js|img"
+SKIPPED_SEC = r"_(?:lab|cal|pre|def|ref)\.xml|schema|taxonomy|linkbase|label|calculation|presentation|definition|reference"
+HTML_FORMS = "10-k|10-q|8-k|20-f|10k|10q|8k|20f"
+MAIN_WORDS = "instance|document|filing"
+
 
 def company_submissions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Companies and filings of submission files; parallel arrays are zipped by index, newest filings first within a company."""
@@ -113,6 +118,41 @@ def xbrl_file_score(name: Column, accession: Column) -> Column:
     )
 
 
+def html_file_score(name: Column, accession: Column) -> Column:
+    """Rank of a file as a filing's main HTML document: the higher the likelier, 0 never; NULL without a name."""
+    low = F.lower(name)
+    has = name.contains(F.replace(accession, F.lit("-"), F.lit("")))
+    form = F.when(low.rlike(HTML_FORMS), 15).otherwise(0)
+    kind = F.when(low.rlike(MAIN_WORDS), 20).otherwise(0)
+    return F.when(
+        name.isNotNull(),
+        F.when(low.rlike(SKIPPED_HTML) | ~low.endswith(".htm"), 0)
+        .when(low.rlike(r"^r\d+\.htm$"), 5)
+        .when(low.rlike(r"^[a-z]{2,5}-\d{8}\.htm$"), 100 + F.when(has, 10).otherwise(0))
+        .when(low.rlike(r"^[a-z]{2,5}-\d+[a-z]+_\d{8}\.htm$"), 90)
+        .when(has, 80)
+        .when(low.rlike(r"^d\d+d10[qk]\.htm$"), 70)
+        .when(low.rlike(r"^[a-z]*\d+[a-z]*\.htm$") & (F.length(name) < 20), F.when(low.rlike(r"\d{6,}"), 40).otherwise(65))
+        .when(low.rlike(r"^[a-z]+-.*\.htm$"), 50)
+        .otherwise(20 + form + kind),
+    )
+
+
+def sec_file_score(name: Column) -> Column:
+    """The processor's rank of a data file, kept apart from ``xbrl_file_score`` because its scores differ; NULL without a name."""
+    low = F.lower(name)
+    kind = F.when(low.endswith("_htm.xml"), 100).when(low.endswith(".xml") & low.contains("instance"), 90).when(low.endswith(".xml"), 50).when(low.endswith(".txt"), 30).otherwise(0)
+    bonus = F.when(name.rlike(r"\d{10}-\d{2}-\d{6}"), 20).otherwise(0) + F.when(low.rlike(r"[a-z]{2,5}-\d{8}"), 15).otherwise(0)
+    words = sum((F.when(low.contains(w), 10).otherwise(0) for w in MAIN_WORDS.split("|")), F.lit(0))
+    return F.when(name.isNotNull(), F.when(low.rlike(SKIPPED_SEC), 0).otherwise(kind + bonus + words))
+
+
+def txt_fallback(xbrl_url: Column, txt_url: Column) -> Column:
+    """Whether a filing has no XBRL: no address, that of a text file, or that of the whole submission."""
+    none = xbrl_url.isNull() | (xbrl_url == "")
+    return none | F.lower(xbrl_url).endswith(".txt") | F.coalesce((txt_url != "") & (xbrl_url == txt_url), F.lit(False))
+
+
 def amendments(filings: DataFrame, key: str) -> DataFrame:
     """Each original filing (cik, report, form, filed) with the earliest amendment of the same company and report."""
     late = filings.filter(F.col("form").endswith("/A")).groupBy("cik", "report", F.regexp_replace("form", "/A$", "").alias("form")).agg(F.min_by(key, F.struct("filed", key)).alias("amendment"))
