@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 SEGMENT_DIGITS = 3
 MOST_LEVELS = 40
 HIDDEN_PATH = "555"
+ACTIVITY_TOTALS = ("NetCashProvidedByUsedIn", "CashFlowsFromUsedIn")
+CASH_ROOTS = (
+    *ACTIVITY_TOTALS, "CashCashEquivalentsRestrictedCash", "CashAndCashEquivalentsPeriodIncreaseDecrease", "IncreaseDecreaseInCash", "CashAndCashEquivalents", "EffectOfExchangeRateOnCash",
+)
+SUPPLEMENTAL = ("InterestPaid", "IncomeTaxesPaid")
+COST_TOTALS = ("CostsAndExpenses", "TotalCostsAndExpenses")
+ACTIVITIES = ("Operating", "Investing", "Financing")
 
 
 def sibling_numbers(nodes: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,6 +94,81 @@ def rerooted(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("_s", strip).withColumn("path", F.when(F.col("_s"), F.substring("path", 5, 10_000)).otherwise(F.col("path"))).drop("_s")
 
 
+def _local(concept: Column) -> Column:
+    return F.regexp_extract(concept, r"([^:]*)$", 1)
+
+
+def _starts(name: Column, heads: tuple[str, ...]) -> Column:
+    return name.rlike(f"^(?:{'|'.join(heads)})")
+
+
+def _kind(statement: Column) -> Column:
+    low = F.lower(statement)
+    return F.when(low.contains("balance"), "balance").when(low.contains("cash") | low.contains("flow"), "cash").when(low.contains("income"), "income")
+
+
+def calculation_parents(rows: DataFrame, arcs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, statement_type, concept, position, parent, section) with ``parent`` overridden by calculation arcs.
+
+    ``keys`` name a statement and a concept is in it once. ``arcs``: keys,
+    parent, concept, weight (null is 1), position. The calculation parent is the
+    first parent that the statement has. Balance sheet: it is the parent. Cash
+    flow: only an activity total is, and totals and cash are roots. Income: only
+    with weight 1, in the parent's own section, when all of the parent's
+    children in the statement are positive and it is no total of all costs; a
+    row without such a parent is a root. Other statements stay.
+    """
+    shown = rows.select(*keys, "concept")
+    inside = arcs.filter("parent <> concept").withColumn("weight", F.coalesce("weight", F.lit(1.0))).join(shown, [*keys, "concept"], "left_semi").join(shown.withColumnRenamed("concept", "parent"), [*keys, "parent"], "left_semi")
+    first = inside.groupBy(*keys, "concept").agg(F.min_by(F.struct("parent", "weight"), F.struct("position", "parent")).alias("_c"))
+    sums = inside.groupBy(*keys, "parent").agg((F.min("weight") > 0).alias("_positive")).withColumnRenamed("parent", "_p")
+    sections = rows.select(*keys, F.col("concept").alias("_p"), F.col("section").alias("_s"))
+    j = rows.join(first, [*keys, "concept"], "left").withColumns({"_p": F.col("_c.parent"), "_w": F.col("_c.weight")})
+    j = j.join(sums, [*keys, "_p"], "left").join(sections, [*keys, "_p"], "left")
+    kind, calc = _kind(F.col("statement_type")), F.col("_p")
+    rollup = (F.col("_w") == 1) & F.col("_positive") & (F.col("section") != "") & (F.col("section") == F.col("_s")) & ~_local(calc).isin(*COST_TOTALS)
+    cash = F.when(_starts(_local(F.col("concept")), CASH_ROOTS), F.lit(None)).when(_starts(_local(calc), ACTIVITY_TOTALS), calc).otherwise(F.col("parent"))
+    out = F.when(kind == "balance", F.coalesce(calc, "parent")).when(kind == "cash", cash).when(kind == "income", F.when(rollup, calc)).otherwise(F.col("parent"))
+    return j.withColumn("parent", out).select(*rows.columns)
+
+
+def section_parents(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, statement_type, concept, position from 0, parent): those without a parent go under their section's total.
+
+    Balance sheet: before Assets under Assets, from there to liabilities and
+    equity under the latter. Cash flow: under the next activity total; totals,
+    cash, exchange effects and supplemental lines stay roots.
+    """
+    w, concept, at = Window.partitionBy(*keys), F.col("concept"), F.col("position")
+
+    def anchor(hit: Column) -> Column:
+        return F.min(F.when(hit, F.struct("position", "concept"))).over(w)
+
+    def either(a: str, b: str) -> Column:
+        return F.coalesce(anchor(concept == a), anchor(concept == b))
+
+    marks = {"_assets": either("us-gaap:Assets", "ifrs-full:Assets"), "_lse": either("us-gaap:LiabilitiesAndStockholdersEquity", "ifrs-full:EquityAndLiabilities")}
+    for x in ACTIVITIES:
+        marks[f"_{x}"] = anchor(_local(concept).rlike(f"^(?:NetCashProvidedByUsedIn{x}Activities(?:ContinuingOperations)?|CashFlowsFromUsedIn{x}Activities)$"))
+    j, kind = rows.withColumns(marks), _kind(F.col("statement_type"))
+
+    def place(mark: str) -> Column:
+        return F.coalesce(F.col(f"{mark}.position"), F.lit(-1))
+
+    def total(mark: str) -> Column:
+        return F.col(f"{mark}.concept")
+
+    def root(mark: str) -> Column:
+        return F.coalesce(concept == total(mark), F.lit(False))
+
+    balance = F.when(root("_assets") | root("_lse"), F.lit(None)).when(at < place("_assets"), total("_assets")).when((at > place("_assets")) & (at < place("_lse")), total("_lse"))
+    o, i, f = (f"_{x}" for x in ACTIVITIES)
+    exempt = root(o) | root(i) | root(f) | _starts(_local(concept), (*CASH_ROOTS, *SUPPLEMENTAL))
+    cash = F.when(exempt, F.lit(None)).when(at < place(o), total(o)).when((at > place(o)) & (at < place(i)), total(i)).when((at > place(i)) & (at < place(f)), total(f))
+    parent = F.when(F.col("parent").isNotNull() & (F.col("parent") != ""), F.col("parent")).when(kind == "balance", balance).when(kind == "cash", cash)
+    return j.withColumn("parent", parent).select(*rows.columns)
+
+
 def broken_cycles(edges: DataFrame, keys: list[str]) -> DataFrame:
     """Rows (keys, id, parent, position) with the parent cleared where it is absent or where following parents comes back.
 

@@ -52,7 +52,7 @@ def order_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 n AS (SELECT l_orderkey, position, level - min(level) OVER (PARTITION BY l_orderkey) AS level FROM l)
 SELECT a.l_orderkey, a.position, a.level, CASE WHEN a.level > 0 THEN (SELECT max(b.position) FROM n b WHERE b.l_orderkey = a.l_orderkey AND b.position < a.position AND b.level = a.level - 1) END AS parent_position FROM n a""")
 def parents_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H12, H13, E31"""
+    """H12, H13"""
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.row_number().over(order).cast("bigint").alias("position"), (F.col("l_quantity").cast("int") % 3).cast("bigint").alias("level"))
     return hierarchy.parents_by_level(hierarchy.levelled(rows, ["l_orderkey"]), ["l_orderkey"], 2)
@@ -79,7 +79,7 @@ def rerooted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT n_nationkey::BIGINT AS id, (n_nationkey // 5)::BIGINT AS g, CASE n_nationkey % 5 WHEN 1 THEN n_nationkey - 1 WHEN 2 THEN n_nationkey - 1 WHEN 4 THEN n_nationkey - 1 END::BIGINT AS parent FROM nation""")
 def broken_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows 0 <- 1 <- 2, and 3 and 4 that name each other; row 0 names an absent parent"""
+    """Rows 0 <- 1 <- 2, and 3 and 4 that name each other; row 0 names an absent parent"""
     k = F.col("n_nationkey").cast("bigint")
     up = F.when(k % 5 == 0, F.lit(-7)).when((k % 5 == 1) | (k % 5 == 2) | (k % 5 == 4), k - 1).otherwise(k + 1)
     rows = table(spark, sf_dir, "nation").select(k.alias("id"), F.floor(k / 5).alias("g"), up.cast("bigint").alias("parent"), k.alias("position"))
@@ -88,7 +88,7 @@ def broken_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT n_nationkey::BIGINT AS id, (n_nationkey // 5)::BIGINT AS g, CASE n_nationkey % 5 WHEN 0 THEN '001' WHEN 1 THEN '001.007' WHEN 2 THEN '001.008' WHEN 3 THEN '555.001' ELSE '002' END AS path FROM nation""")
 def tree_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A root, a stored child, a new child, a hidden row, a row whose parent is absent"""
+    """A root, a stored child, a new child, a hidden row, a row whose parent is absent"""
     k = F.col("n_nationkey").cast("bigint")
     parent = F.when((k % 5 == 1) | (k % 5 == 2), k - k % 5).when(k % 5 == 4, F.lit(-1))
     rows = table(spark, sf_dir, "nation").select(F.floor(k / 5).alias("g"), k.cast("string").alias("id"), parent.cast("string").alias("parent"), k.alias("position"), F.when(k % 5 == 1, "001.007").alias("stored_path"), (k % 5 == 3).alias("hidden"))
@@ -103,7 +103,7 @@ f AS (
   UNION ALL SELECT cik, 'ungrouped_members', count(*) FROM c WHERE parent IS NULL GROUP BY cik HAVING count(*) >= 3
 ) SELECT cik::BIGINT AS cik, type, n FROM f""")
 def hierarchy_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J16, J17, J20"""
+    """J16"""
     from ..operators.audit import hierarchy_findings
 
     k = F.col("c_custkey")
@@ -112,3 +112,24 @@ def hierarchy_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("concept"), F.when(k % 10 == 0, "GONE").when(k % 3 == 0, "BUILDING").alias("parent"),
     )
     return hierarchy_findings(rows, ["cik"])
+
+
+#: One balance sheet and one cash-flow statement of a customer: kind, concept, position, parent of a calculation arc, expected section parent.
+_SECTIONS = [
+    ("balancesheet", "us-gaap:Cash", 0, None, "us-gaap:Assets"), ("balancesheet", "us-gaap:Stock", 1, "us-gaap:Cash", "us-gaap:Cash"), ("balancesheet", "us-gaap:Assets", 2, None, None), ("balancesheet", "us-gaap:Debt", 3, None, "us-gaap:LiabilitiesAndStockholdersEquity"),
+    ("balancesheet", "us-gaap:LiabilitiesAndStockholdersEquity", 4, None, None), ("balancesheet", "us-gaap:Note", 5, None, None), ("cashflow", "us-gaap:Depreciation", 0, None, "us-gaap:NetCashProvidedByUsedInOperatingActivities"),
+    ("cashflow", "us-gaap:NetCashProvidedByUsedInOperatingActivities", 1, None, None), ("cashflow", "us-gaap:Capex", 2, "us-gaap:Depreciation", "us-gaap:NetCashProvidedByUsedInInvestingActivities"), ("cashflow", "us-gaap:NetCashProvidedByUsedInInvestingActivities", 3, None, None),
+    ("cashflow", "us-gaap:Dividends", 4, "us-gaap:NetCashProvidedByUsedInFinancingActivities", "us-gaap:NetCashProvidedByUsedInFinancingActivities"), ("cashflow", "us-gaap:InterestPaid", 5, None, None), ("cashflow", "us-gaap:NetCashProvidedByUsedInFinancingActivities", 6, None, None),
+]
+_EXPECTED = ", ".join("(" + ", ".join("NULL" if v is None else repr(v) for v in r) + ")" for r in _SECTIONS)
+
+
+@query(f"""SELECT c_custkey, kind AS statement_type, concept, parent FROM customer CROSS JOIN (VALUES {_EXPECTED}) t(kind, concept, position, arc, parent)""")
+def filing_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calculation parents first, then the sections' totals"""
+    lines = spark.createDataFrame(_SECTIONS, "statement_type string, concept string, position int, arc string, expected string").drop("expected")
+    all_rows = table(spark, sf_dir, "customer").select("c_custkey").crossJoin(F.broadcast(lines))
+    keys = ["c_custkey", "statement_type"]
+    arcs = all_rows.filter("arc is not null").select(*keys, F.col("arc").alias("parent"), "concept", F.lit(1.0).alias("weight"), "position")
+    rows = all_rows.select(*keys, "concept", "position", F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("section"))
+    return hierarchy.section_parents(hierarchy.calculation_parents(rows, arcs, keys), keys).select(*keys, "concept", "parent")
