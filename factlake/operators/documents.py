@@ -72,13 +72,15 @@ def html_lines(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
 
 class _Tables(HTMLParser):
-    """Rows of cells of each table, with row headers and the scale of inline facts."""
+    """Rows of cells of each table: text, and the scale of the cell's first inline fact (a power of ten)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[str]]] = []
+        self.tables: list[list[list[tuple[str, int | None]]]] = []
         self.open: list[int] = []
         self.cell: list[str] | None = None
+        self.facts = 0
+        self.scale: int | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "table":
@@ -87,11 +89,16 @@ class _Tables(HTMLParser):
         elif tag == "tr" and self.open:
             self.tables[self.open[-1]].append([])
         elif tag in ("td", "th") and self.open and self.tables[self.open[-1]]:
-            self.cell = []
+            self.cell, self.facts, self.scale = [], 0, None
+        elif tag == "ix:nonfraction" and self.cell is not None:
+            self.facts += 1
+            scale = (dict(attrs).get("scale") or "").strip()
+            if self.facts == 1 and re.fullmatch(r"[+-]?\d{1,2}", scale, re.ASCII):
+                self.scale = int(scale)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("td", "th") and self.cell is not None and self.open:
-            self.tables[self.open[-1]][-1].append(re.sub(r"\s+", " ", "".join(self.cell)).strip())
+            self.tables[self.open[-1]][-1].append((re.sub(r"\s+", " ", "".join(self.cell)).strip(), self.scale))
             self.cell = None
         elif tag == "table" and self.open:
             self.open.pop()
@@ -102,7 +109,7 @@ class _Tables(HTMLParser):
 
 
 def html_tables(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """id, table_no, row_no, col_no, cell, value, sign: every cell of every table; parentheses are a minus."""
+    """id, table_no, row_no, col_no, cell, value, sign: every cell of every table; parentheses are a minus, values are times the scale of an inline fact."""
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -111,14 +118,15 @@ def html_tables(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
             p = _Tables()
             p.feed(h or "")
             p.close()
-            rows += [(i, t, r, c, x) for t, table in enumerate(p.tables) for r, cells in enumerate(table) for c, x in enumerate(cells)]
-        return pd.DataFrame(rows, columns=[id_col, "table_no", "row_no", "col_no", "cell"])
+            rows += [(i, t, r, c, x, z) for t, table in enumerate(p.tables) for r, cells in enumerate(table) for c, (x, z) in enumerate(cells)]
+        return pd.DataFrame(rows, columns=[id_col, "table_no", "row_no", "col_no", "cell", "_scale"]).astype({"_scale": "Int32"})
 
-    cells = pages.select(id_col, html_col).mapInPandas(_parsed(run), f"`{id_col}` {kind}, table_no int, row_no int, col_no int, cell string")
+    cells = pages.select(id_col, html_col).mapInPandas(_parsed(run), f"`{id_col}` {kind}, table_no int, row_no int, col_no int, cell string, _scale int")
     from ..functions.text import number_of
 
-    value = number_of(F.col("cell"))
-    return cells.withColumn("value", value).withColumn("sign", F.signum("value").cast("int"))
+    number = number_of(F.col("cell"))
+    value = F.when(F.col("_scale") < 0, number / F.pow(F.lit(10.0), -F.col("_scale"))).otherwise(number * F.pow(F.lit(10.0), F.coalesce("_scale", F.lit(0))))
+    return cells.withColumn("value", value).drop("_scale").withColumn("sign", F.signum("value").cast("int"))
 
 
 def statement_vote(cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,6 +15,12 @@ from ..functions import periods as P
 from ..functions.text import local_name, parent_path
 
 # --- fixed values -----------------------------------------------------------
+MANY_LINES = 25
+MARKERS = {
+    ("income",): ("Revenues", "SalesRevenueNet", "SalesRevenueGoodsNet", "RevenueFromContractWithCustomer", "GrossProfit", "OperatingIncomeLoss", "CostOfRevenue", "CostOfGoodsAndServicesSold"),
+    ("balance", "balance_sheet", "balancesheet"): ("Assets", "Liabilities", "StockholdersEquity"),
+    ("cash_flow", "cashflow"): ("NetCashProvidedByUsedInOperatingActivities", "NetCashProvidedByUsedInInvestingActivities", "NetCashProvidedByUsedInFinancingActivities"),
+}
 RELATIVE_TOLERANCE, ABSOLUTE_TOLERANCE = 0.005, 1.0
 IMPLAUSIBLE = 1e15
 SHORTEST_DAYS, LONGEST_DAYS = 30, 400
@@ -167,6 +173,33 @@ def presentation_diff(bundle: DataFrame, shown: DataFrame, keys: list[str]) -> D
     return j.select(*keys, "concept", kind.alias("type")).filter("type is not null")
 
 
+def recovered(bundle: DataFrame, shown: DataFrame, keys: list[str]) -> DataFrame:
+    """The bundle (keys, concept, value, parent) with the presentation's lines (the same, one row per concept) that it lacks, and ``source``.
+
+    A line is appended if the presentation shows a value for it and the bundle
+    has none. A missing parent comes from the presentation, and so does the sign
+    of a value that isn't zero.
+    """
+    have = bundle.filter("value is not null").select(*keys, "concept").distinct()
+    new = shown.filter("value is not null").join(have, [*keys, "concept"], "left_anti")
+    columns = [*keys, "concept", "value", "parent"]
+    rows = bundle.select(*columns, F.lit("bundle").alias("source")).unionByName(new.select(*columns, F.lit("presentation").alias("source")))
+    pres = shown.select(*keys, "concept", F.signum("value").alias("_sign"), F.col("parent").alias("_parent"))
+    j = rows.join(pres, [*keys, "concept"], "left")
+    other = (F.signum("value") * F.col("_sign")) < 0
+    parent = F.coalesce(F.nullif("parent", F.lit("")), "_parent")
+    return j.withColumns({"value": F.when(other, -F.col("value")).otherwise(F.col("value")), "parent": parent}).select(*columns, "source")
+
+
+def classification(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, statement_type, n, valid: whether a statement with under 25 lines has a valued concept that marks its kind; other kinds are valid."""
+    marked = F.lit(True)
+    for kind, words in MARKERS.items():
+        marked = F.when(F.col("statement_type").isin(*kind), F.col("concept").rlike("|".join(words)) & F.col("value").isNotNull()).otherwise(marked)
+    out = lines.groupBy(*keys, "statement_type").agg(F.count("*").alias("n"), F.coalesce(F.bool_or(marked), F.lit(False)).alias("_m"))
+    return out.select(*keys, "statement_type", "n", (F.col("_m") | (F.col("n") >= MANY_LINES)).alias("valid"))
+
+
 def is_blocking() -> Column:
     return (F.col("severity") == "high") & ~F.col("type").isin(*NOT_BLOCKING)
 

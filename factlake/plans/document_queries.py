@@ -17,7 +17,7 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages turned into tables of their links"""
+    """Pages turned into tables of their links"""
     rows = F.concat(F.lit("<table><tr><td>Total assets</td><td>$ 1,234</td><td>("), F.col("page_id").cast("string"), F.lit(")</td></tr><tr><td>Net income</td><td>-</td></tr></table>"))
     pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.col("html"), rows).alias("html"))
     cells = documents.html_tables(pages, "page_id", "html")

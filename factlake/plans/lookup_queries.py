@@ -28,7 +28,7 @@ c AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY p_size, concept, label ORDER BY p, id) AS n FROM c)
 SELECT w.p_size::BIGINT AS p_size, w.concept, w.label, r.id, r.how FROM w LEFT JOIN r ON r.n = 1 AND r.p_size = w.p_size AND r.concept = w.concept AND r.label = w.label""")
 def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F02, F03, F04, F08, F10, K03"""
+    """F02, F08, F10"""
     p, k, n = table(spark, sf_dir, "part"), F.col("p_partkey"), len(_TAGS)
     tags = F.array(*map(F.lit, _TAGS))
     wanted = p.filter(k % 2 == 0).select(F.col("p_size").cast("bigint").alias("p_size"), F.element_at(tags, (k % n + 1).cast("int")).alias("concept"), F.col("p_type").alias("label")).distinct()
@@ -79,7 +79,7 @@ def processing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ORDER_FACTS}, h AS (SELECT cik, fiscal_year, list_distinct(list(concept)) AS k FROM o GROUP BY ALL) SELECT cik, fiscal_year FROM h WHERE list_has_all(k, ['1-URGENT', '2-HIGH', '5-LOW'])""")
 def complete_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F14, D23, D24"""
+    """F14, D23"""
     return lookups.complete_filings(order_facts(spark, sf_dir), ["cik", "fiscal_year"], "concept", ("1-URGENT", "2-HIGH", "5-LOW"))
 
 

@@ -180,13 +180,32 @@ def cross_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {LINES}, a AS (SELECT filing, concept, max(value) AS value FROM s GROUP BY ALL), b AS (SELECT filing, concept, CASE WHEN filing % 5 = 1 THEN NULL WHEN filing % 5 = 2 THEN -value ELSE value END AS value FROM a WHERE filing % 5 <> 0)
 SELECT a.filing, a.concept, CASE WHEN b.filing IS NULL THEN 'missing_concept' WHEN b.value IS NULL THEN 'missing_value' ELSE 'sign_mismatch' END AS type FROM a LEFT JOIN b USING (filing, concept) WHERE b.filing IS NULL OR b.value IS NULL OR sign(a.value) * sign(b.value) < 0""")
 def presentation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F16, F20, J06, E23"""
+    """F16, J06, E23"""
     shown = lines(spark, sf_dir).groupBy("filing", "concept").agg(F.max("value").alias("value"))
     k = F.col("filing") % 5
     bundle = shown.filter(k != 0).withColumn("value", F.when(k == 1, None).when(k == 2, -F.col("value")).otherwise(F.col("value")))
     return validate.presentation_diff(bundle, shown, ["filing"])
 
 
+@query(f"""WITH {LINES}, a AS (SELECT filing, concept, max(value) AS value FROM s GROUP BY ALL)
+SELECT filing, concept, value, 'p:' || concept AS parent, CASE WHEN filing % 5 <= 1 THEN 'presentation' ELSE 'bundle' END AS source FROM a UNION ALL SELECT filing, concept, NULL, 'p:' || concept, 'bundle' FROM a WHERE filing % 5 = 1""")
+def presentation_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the bundles of presentation_diff, completed"""
+    shown = lines(spark, sf_dir).groupBy("filing", "concept").agg(F.max("value").alias("value")).withColumn("parent", F.concat(F.lit("p:"), F.col("concept")))
+    k = F.col("filing") % 5
+    bundle = shown.filter(k != 0).withColumns({"value": F.when(k == 1, None).when(k == 2, -F.col("value")).otherwise(F.col("value")), "parent": F.when(k == 3, "")})
+    return validate.recovered(bundle, shown, ["filing"])
+
+
+@query(f"""WITH {LINES} SELECT filing, statement_type, count(*) AS n, count(*) >= 25 OR CASE statement_type
+  WHEN 'income' THEN coalesce(bool_or(value IS NOT NULL AND regexp_matches(concept, 'Revenues|SalesRevenueNet|SalesRevenueGoodsNet|RevenueFromContractWithCustomer|GrossProfit|OperatingIncomeLoss|CostOfRevenue|CostOfGoodsAndServicesSold')), false)
+  WHEN 'balancesheet' THEN coalesce(bool_or(value IS NOT NULL AND regexp_matches(concept, 'Assets|Liabilities|StockholdersEquity')), false)
+  WHEN 'cashflow' THEN coalesce(bool_or(value IS NOT NULL AND regexp_matches(concept, 'NetCashProvidedByUsedIn(Operating|Investing|Financing)Activities')), false) ELSE true END AS valid FROM s GROUP BY filing, statement_type""")
+def statement_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D24"""
+    return validate.classification(lines(spark, sf_dir), ["filing"])
+
+
 def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 45")
     kind = F.when(F.col("l_quantity") >= 49, "math_mismatch").when(F.col("l_quantity") >= 47, "duplicate_concept").otherwise("missing_fiscal_year")
