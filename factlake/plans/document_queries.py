@@ -26,8 +26,9 @@ def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT page_id, 0::BIGINT AS table_no, 0::BIGINT AS row_no, 18::BIGINT AS points FROM pages""")
 def table_value_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12"""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.lit("<table><tr><td>Total assets</td><td>$ 1,234</td></tr><tr><td>Other</td><td>(1,234)</td></tr></table>").alias("html"))
+    """The whole page, with a test table before it"""
+    first = F.lit("<table><tr><td>Total assets</td><td>$ 1,234</td></tr><tr><td>Other</td><td>(1,234)</td></tr></table>")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(first, F.coalesce("html", F.lit(""))).alias("html"))
     cells = documents.html_tables(pages, "page_id", "html")
     out = documents.tables_with_value(cells, ["page_id"], 1_234_000.0, "assets")
     return out.select("page_id", *[F.col(c).cast("bigint").alias(c) for c in ("table_no", "row_no", "points")])
