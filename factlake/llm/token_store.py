@@ -8,21 +8,28 @@ tokens of a range of documents without the rest. The files' paths are in
 document order (Spark numbers them by partition).
 
 Encoding is the tokenizers library's; it gets the distinct chunks of a slice of
-rows (see ``chunks``). The file's byte-level pre-tokenizer begins a new token
-at a single blank between two visible characters and after an ASCII letter
-before ASCII punctuation, and no token crosses, so chunks cut there have the
-same ids as the whole text. Strings of special tokens inside a text are
-ordinary text.
+rows (see ``chunks``). A byte-level pre-tokenizer with its own pattern and no
+normaliser begins a new token at a single blank between two visible characters
+and after an ASCII letter before ASCII punctuation, and no token crosses, so
+chunks cut there have the same ids as the whole text. Whether a tokenizer file
+is of that kind is read from the file; texts of any other file go to the
+library whole. Strings of special tokens inside a text are what the library
+takes them for, special tokens; no chunk is cut inside one.
 
 Defined cases: null and empty texts have the end id alone; rows that repeat a
-doc_id are ordered by text; rows without doc_id come first.
+doc_id are ordered by text, equal rows are interchangeable; rows without doc_id
+come first; an empty table gives no rows. Columns beyond doc_id and text are
+ignored.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -38,6 +45,9 @@ from .workspace import new_path, ship
 END_ID = 0
 #: Chunks that go to the library as one text.
 JOINED = 256
+#: Bytes of input that make a file, as Spark estimates them from the scan.
+FILE_BYTES = 128 << 20
+MOST_FILES = 100_000
 WRITER = {
     "compression": "zstd",
     "parquet.enable.dictionary": "true",
@@ -102,25 +112,59 @@ def chunk_encode(tokenizer):
     return encode
 
 
+@dataclass(frozen=True)
+class Coder:
+    """A tokenizer with the encoder of its chunks (None: texts must stay whole) and the strings of its added tokens."""
+
+    tokenizer: object
+    encoder: ChunkEncoder | None
+    added: tuple[bytes, ...]
+
+
+def cuts_allowed(spec: dict) -> bool:
+    """Whether a tokenizer file is plain byte-level BPE, for which the cuts of ``cuts_of`` hold."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+    plain_model = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain_added = not any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    return bool(byte_level and plain_model and plain_added and spec.get("normalizer") is None)
+
+
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkEncoder:
+def _coder(path: str) -> Coder:
     from tokenizers import Tokenizer
 
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return ChunkEncoder(chunk_encode(tokenizer))
+    added = tuple(t["content"].encode() for t in spec.get("added_tokens", []) if t["content"])
+    return Coder(tokenizer, ChunkEncoder(chunk_encode(tokenizer)) if cuts_allowed(spec) else None, added)
 
 
-def cuts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def cuts_of(data: np.ndarray, offsets: np.ndarray, added: tuple[bytes, ...] = ()) -> np.ndarray:
+    """The bytes at which chunks begin: none inside an occurrence of an added token's string."""
     cut = blank_cuts(data, offsets)
     cut[1:] |= tv.LETTER[data[:-1]] & tv.SIGN[data[1:]]
+    raw = data.tobytes()
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            cut[at + 1 : at + len(token)] = False
+            at = raw.find(token, at + 1)
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True  # rows begin chunks even where a string reaches over two of them
     return np.flatnonzero(cut)
 
 
 def encode_rows(col: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the rows (without end ids) and the rows' offsets into them."""
+    coder = _coder(path)
+    if coder.encoder is None:
+        coded = coder.tokenizer.encode_batch_fast(col.fill_null("").to_pylist(), add_special_tokens=False)
+        ids = [e.ids for e in coded]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), np.concatenate([[0], np.cumsum(counts)])
     data, offsets = tv.utf8(col)
-    return _encoder(path).rows(data, cuts_of(data, offsets), offsets)
+    return coder.encoder.rows(data, cuts_of(data, offsets, coder.added), offsets)
 
 
 def _with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,19 +186,31 @@ def _tokens(path: str, end_id: int):
     return run
 
 
+def file_count(rows: DataFrame) -> int:
+    """Ranges that the rows are written in: by the estimated size of the scan, and one per shuffle partition at least."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, min(math.ceil(size / FILE_BYTES), MOST_FILES))
+
+
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID) -> None:
     """Write the files of ``docs`` (doc_id, text) to the folder ``path``."""
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange(file_count(rows), "doc_id").sortWithinPartitions("doc_id", "text")
     coded = rows.mapInArrow(_tokens(tokenizer_path, end_id), "doc_id long, n_tokens int, tokens array<int>")
     coded.write.options(**WRITER).parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
-    """doc_id, n_tokens, tokens and part (the file's place in document order)."""
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int")
+    """doc_id, n_tokens, tokens and part (the file's place in document order).
+
+    A task may write several files (``spark.sql.files.maxRecordsPerFile``), so
+    the place is made of the task's number and the file's number in the task.
+    """
+    name = F.col("_metadata.file_name")
+    task, nth = (F.regexp_extract(name, x, 1).cast("bigint") for x in (r"part-(\d+)", r"[-.]c(\d+)\."))
+    part = task * F.lit(1 << 31) + nth
     return spark.read.schema("doc_id long, n_tokens int, tokens array<int>").parquet(path).withColumn("part", part)
 
 
@@ -187,5 +243,5 @@ def token_digests(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     path = new_path(spark, "tokens")
     write_tokens(docs, tokenizer_path, path, end_id)
     tokens = read_tokens(spark, path)
-    sums = tokens.select("part", F.col("_metadata.row_index").alias("place"), "doc_id", "tokens").mapInArrow(_crc, "part int, place long, doc_id long, ids_crc32 long, n_tokens long")
+    sums = tokens.select("part", F.col("_metadata.row_index").alias("place"), "doc_id", "tokens").mapInArrow(_crc, "part long, place long, doc_id long, ids_crc32 long, n_tokens long")
     return sums.join(starts(tokens), ["part", "place"]).select("doc_id", "start", "n_tokens", "ids_crc32")

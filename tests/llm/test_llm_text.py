@@ -115,8 +115,8 @@ def test_token_store(spark):
     from tokenizers import Tokenizer
 
     rows = ODD[:12] + [(100 + k, t) for k, t in enumerate(random_texts())]
+    rows += [(900 + k, t) for k, t in enumerate(["<|endoftext|>", "a<|endoftext|>b", "one two <|endoftext|> <|endoftext|>three", "<|endoftext", "|>x<|endo", "ftext|>"])]
     lib = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
     at, want = 0, []
     for i, t in sorted(rows, key=lambda x: x[0]):
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 0]
@@ -125,6 +125,27 @@ def test_token_store(spark):
     got = token_store.token_digests(table(spark, rows).repartition(5), tokenizer_path("byte_bpe_50k.json"))
     assert sorted(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == want
     assert token_store.token_digests(table(spark, []), tokenizer_path("byte_bpe_50k.json")).count() == 0
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        split = token_store.token_digests(table(spark, rows), tokenizer_path("byte_bpe_50k.json"))
+        assert sorted(map(tuple, split.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+def test_tokenizer_files_of_other_kinds_get_whole_texts(spark):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        assert not token_store.cuts_allowed(json.load(f))
+    lib = Tokenizer.from_file(path)
+    rows = [(k, t) for k, t in enumerate(["Hello, World! it's", "", None, "a <|endoftext|> b", "word " * 50])]
+    want = [(i, len(lib.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in rows]
+    got = token_store.token_digests(table(spark, rows), path)
+    assert sorted(map(tuple, got.select("doc_id", "n_tokens").collect())) == want
 
 
 def test_token_files_have_page_indexes_and_encodings(spark, tmp_path):
