@@ -4,7 +4,8 @@ Alternating large-star and small-star steps: each makes every node's larger
 (or smaller) neighbours point at its least neighbour, so after a few rounds
 every component is a star around its least id. The least neighbour is a partial
 aggregate; the join that brings it back is an equi-join that Spark can split
-where a node is hot. Each round is written to the shared folder.
+where a node is hot. Each round is
+written to the shared folder, and the one before deleted.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import stored
+from .workspace import drop_stored, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -45,5 +46,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if _all_stars(at):
             return at.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        at = stored(_small_star(_large_star(at)), "star")
+        before, at = at, stored(_small_star(_large_star(at)), "star")
+        drop_stored(before)
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")

@@ -12,12 +12,16 @@ language's own learning rows, times ``slack``. A text with few different grams
 covers little of a centroid, so below ``full_grams`` of them the threshold falls
 with the root of their number; it is ``reject_below`` at least.
 
-The fit reads a bounded sample (``sample_rows`` rows in all, equally many of
-each language, texts of at most ``most_chars`` characters); scoring reads
-everything.
+The fit reads a bounded sample (``sample_rows`` documents in all, equally many
+of each language, whole texts); scoring reads everything.
 
 Defined cases: null text and text without a letter (Unicode category L) are
 ``und`` with score 0 and rejected; without any learnable row everything is.
+Equal texts have equal results; of equally near centroids the first wins
+(languages in the order of their names); repeated rows are judged each; a
+document given with several languages counts with the last by name; an empty
+table gives no rows. ``languages`` ignores other columns, ``accepted`` returns
+all of them.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .sampling import fold, sample_ids, sample_texts
+from .sampling import class_sizes, fold, sample_ids, sample_texts
 from .workspace import ship
 
 UNKNOWN = "und"
@@ -44,7 +48,6 @@ class Centroid:
     clusters: int = 4
     rounds: int = 8
     sample_rows: int = 6000
-    most_chars: int = 20_000
     folds: int = 3
     held_out_fold: int = 1
     reject_below: float = 0.02
@@ -158,9 +161,9 @@ def fit_centroids(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
 def fit(docs: DataFrame, m: Centroid = Centroid(), lang_col: str = "lang") -> Model:
     ship(docs.sparkSession)
     learn = docs.select("doc_id", F.col(lang_col).cast("string").alias("label")).filter(fold(F.col("doc_id"), m.folds) != m.held_out_fold).filter("label is not null")
-    kinds = max(1, learn.agg(F.count_distinct("label")).first()[0])
-    ids = sample_ids(learn, max(1, m.sample_rows // kinds))
-    rows = sample_texts(docs, ids, m.most_chars).mapInArrow(_bags(m), "doc_id long, label string, places binary, counts binary").toArrow().sort_by("doc_id")
+    sizes = class_sizes(learn)
+    ids = sample_ids(learn, max(1, m.sample_rows // max(1, len(sizes))), sizes)
+    rows = sample_texts(docs, ids).mapInArrow(_bags(m), "doc_id long, label string, places binary, counts binary").toArrow().sort_by([("doc_id", "ascending"), ("places", "ascending"), ("counts", "ascending")])
     bags = [(np.frombuffer(a, np.uint16), np.frombuffer(c, np.uint32)) for a, c in zip(rows["places"].to_pylist(), rows["counts"].to_pylist(), strict=True)]
     used = [i for i, b in enumerate(bags) if len(b[0])]
     return fit_centroids([bags[i] for i in used], np.array(rows["label"].to_pylist(), object)[used], m)

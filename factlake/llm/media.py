@@ -8,11 +8,14 @@ payload is stored once per shard at most; of the copies in several shards the
 catalogue keeps one address. The image header (a range read of the first 33
 bytes) gives width and height; features come from the whole member.
 
-A task names its shards uniquely and reports them only when they are closed, so
-a retried task leaves an unused file behind and nothing else. The rows are
-written as a table before anything reads the shards.
-
-Defined cases: null text is empty; equal texts have equal values.
+A task names its shards uniquely. Its rows are written as a table and count only
+when the whole task has succeeded, that is, when all its shards are closed; a
+retried task leaves an unused file behind and nothing else. A task holds the
+rows of one Arrow batch and the addresses of one shard.
+
+Defined cases: null text is empty; equal texts have equal values; repeated rows
+are rows of their own; an empty table gives no rows and no shards. Columns
+beyond doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -114,27 +117,24 @@ def _writer(uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(uri)
         store.create_dir(folder, recursive=True)
-        shard, rows = None, []
-
-        def closed() -> pa.RecordBatch:
-            shard.close()
-            return pa.RecordBatch.from_pylist([{"doc_id": i, "n_bytes": n, "payload_sha256": d, "shard": shard.uri, "offset": shard.at[d][0], "length": shard.at[d][1]} for i, n, d in rows], schema=schema)
-
+        shard = None
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i, scalar in zip(ids, texts, strict=True):
+            rows = []
+            for i, scalar in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = scalar.as_buffer().to_pybytes() if scalar.is_valid else b""
                 payload = padded(raw)
                 digest = hashlib.sha256(payload).hexdigest()
+                if shard and shard.size >= SHARD_BYTES:
+                    shard.close()
+                    shard = None
                 shard = shard or _Shard(store, folder, uri)
                 if digest not in shard.at:
                     shard.add(digest, to_png(payload))
-                rows.append((i, len(raw), digest))
-                if shard.size >= SHARD_BYTES:
-                    yield closed()
-                    shard, rows = None, []
+                offset, length = shard.at[digest]
+                rows.append((i, len(raw), digest, shard.uri, offset, length))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 6, schema.types, strict=True)], schema=schema)
         if shard:
-            yield closed()
+            shard.close()
 
     return run
 

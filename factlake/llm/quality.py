@@ -1,18 +1,24 @@
 """Quality: supervised subword embeddings, averaged per document, softmax output.
 
-Features are the words, the word pairs and the byte 3- and 4-grams of words (a
-blank marks a word's edge), hashed into ``2**bits`` learned vectors. A pair is
-hashed by the difference of its words, so that every repeated word ("of of")
-shares one vector. A document is the mean of
-its vectors; a linear layer and a softmax give the classes. Numpy stochastic
-gradient descent learns vectors and layer together. Because mean and layer are
-linear, scoring needs one number per place: its vector times the layer.
-
-The fit reads a bounded sample of labelled rows (``per_class`` rows of each
-label, texts of at most ``most_chars`` characters); scoring reads everything.
+Features are the words, the pairs of neighbouring words in their order and the
+character 3- and 4-grams of words (a blank marks a word's edge), hashed into
+``2**bits`` learned vectors. In a pair, a word equal to the one before it is
+written as a repeat mark and not as itself, so that what the sample shows of
+repeated words holds for words that it doesn't have. A document is the mean of its vectors; a linear layer and a
+softmax give the classes. Numpy stochastic gradient descent on the cross entropy
+learns vectors, layer and intercept together, one document a step, the rate
+falling linearly. Because mean and layer are linear, scoring needs one number
+per place: its vector times the layer.
+
+The fit reads a bounded sample of labelled rows (``per_class`` documents of each
+label, whole texts); scoring reads everything. The intercept is corrected from
+the sample's odds to those of all labelled rows.
 
 Defined cases: a text without words (null, empty, white space) gets the score
-of the bias; without labelled rows of both kinds every score is 0.
+of the intercept; without labelled rows of both kinds every score is 0; equal
+texts have equal scores; repeated rows are scored each; a document labelled
+both 1 and 0 counts as 1; sampled rows that repeat a doc_id all count; an
+empty table gives no rows. Columns beyond those named are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .sampling import fold, sample_ids, sample_texts
+from .sampling import class_sizes, fold, odds, sample_ids, sample_texts
 from .workspace import ship
 
 
@@ -36,23 +42,29 @@ class Subword:
     widths: tuple[int, ...] = (3, 4)
     dim: int = 12
     epochs: int = 6
-    rate: float = 0.6
+    rate: float = 4.0
     per_class: int = 3000
-    most_chars: int = 20_000
     folds: int = 5
     seed: int = 7
 
 
 def features(col: pa.Array, m: Subword) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each kind of feature: place at each position (-1: none) and the rows' offsets."""
-    data, offsets = tv.utf8(tv.spaced(col))
-    w = tv.Words(data, offsets)
-    kinds = [((w.hashes >> tv.U(64 - m.bits)).astype(np.int32), w.rows)]
-    first = np.minimum(w.rows[:-1], max(0, len(w.hashes) - 1))
-    pair = (tv.mix((w.hashes - np.roll(w.hashes, 1)) * tv.STEP + tv.MIX_B) >> tv.U(64 - m.bits)).astype(np.int32)
-    pair[first[np.diff(w.rows) > 0]] = -1
-    kinds.append((pair, w.rows))
-    return kinds + [(g, offsets) for g in tv.byte_grams(data, m.widths, m.bits)]
+    wide = tv.spaced(col)
+    w = tv.Words(*tv.utf8(wide))
+    shift = tv.U(64 - m.bits)
+    pairs, pair_rows = tv.grams(w.hashes, w.rows, 2)
+    pairs[_repeats(w, pair_rows)] = tv.STEP
+    kinds = [((w.hashes >> shift).astype(np.int32), w.rows), ((pairs >> shift).astype(np.int32), pair_rows)]
+    points, rows = tv.code_points(wide)
+    return kinds + [(g, rows) for g in tv.char_grams(points, m.widths, m.bits)]
+
+
+def _repeats(w: tv.Words, pair_rows: np.ndarray) -> np.ndarray:
+    """Whether the words of each pair are equal."""
+    counts = np.diff(pair_rows)
+    first = np.repeat(w.rows[:-1] - pair_rows[:-1], counts) + np.arange(pair_rows[-1])
+    return w.hashes[first] == w.hashes[first + 1]
 
 
 def _bags(m: Subword):
@@ -78,7 +90,8 @@ class Model:
     fitted: bool = True
 
 
-def fit_sgd(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, m: Subword) -> Model:
+def fit_sgd(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, m: Subword, odds: float = 1.0) -> Model:
+    """Plain SGD; ``odds``: label 1 to label 0 in the population over that in the sample."""
     rng = np.random.default_rng(m.seed)
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(1 << m.bits, np.float32), 0.0, False)
@@ -87,7 +100,7 @@ def fit_sgd(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, m: Su
     steps, done = m.epochs * len(bags), 0
     for _ in range(m.epochs):
         for i in rng.permutation(len(bags)):
-            rate = m.rate * (1 - done / steps)
+            rate = np.float32(m.rate * (1 - done / steps))
             done += 1
             at, count = bags[i]
             if not len(at):
@@ -100,10 +113,9 @@ def fit_sgd(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, m: Su
             p[labels[i]] -= 1
             back = p @ layer
             layer -= rate * np.outer(p, mean)
-            bias -= 0.1 * rate * p
-            # A place's share of the mean is tiny; the step is scaled so that rare places learn too.
-            vectors[at] -= (rate * np.sqrt(part))[:, None] * back[None, :]
-    return Model(vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0]))
+            bias -= rate * p
+            vectors[at] -= rate * part[:, None] * back[None, :]
+    return Model(vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0] + np.log(odds)))
 
 
 def _score(m: Subword, model: Model):
@@ -126,10 +138,13 @@ def _score(m: Subword, model: Model):
 def fit(docs: DataFrame, labels: DataFrame, m: Subword = Subword(), label_col: str = "quality") -> Model:
     ship(docs.sparkSession)
     learn = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).filter(fold(F.col("doc_id"), m.folds) != 0)
-    ids = sample_ids(learn.filter("label in (0, 1)"), m.per_class)
-    rows = sample_texts(docs, ids, m.most_chars).mapInArrow(_bags(m), "doc_id long, label int, places binary, counts binary").toArrow().sort_by("doc_id")
+    learn = learn.filter("label in (0, 1)")
+    sizes = class_sizes(learn)
+    ids = sample_ids(learn, m.per_class, sizes)
+    rows = sample_texts(docs, ids).mapInArrow(_bags(m), "doc_id long, label int, places binary, counts binary").toArrow().sort_by([("doc_id", "ascending"), ("places", "ascending"), ("counts", "ascending")])
     bags = [(np.frombuffer(a, np.int32), np.frombuffer(c, np.int32)) for a, c in zip(rows["places"].to_pylist(), rows["counts"].to_pylist(), strict=True)]
-    return fit_sgd(bags, rows["label"].to_numpy(), m)
+    y = rows["label"].to_numpy()
+    return fit_sgd(bags, y, m, odds(sizes, y))
 
 
 def quality(docs: DataFrame, labels: DataFrame, m: Subword = Subword(), model: Model | None = None, keep_from: float = 0.3) -> DataFrame:

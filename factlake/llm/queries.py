@@ -53,7 +53,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_table(table(spark, sf_dir, "documents")).drop("width", "height")
+    return media.media_table(table(spark, sf_dir, "documents"))
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

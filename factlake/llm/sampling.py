@@ -1,11 +1,13 @@
 """The bounded, reproducible samples that classifiers are fitted on.
 
 Only the fit uses them; scoring reads every row. The bound is the number of rows
-per class and the number of characters of a sampled text; both are parameters.
+per class, a parameter; sampled texts are taken whole, whatever their length.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,17 +17,48 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string")) % folds
 
 
-def sample_ids(labelled: DataFrame, per_class: int) -> DataFrame:
-    """doc_id, label: at most ``per_class`` rows of each label, those with the least hash of the id.
+def _one_label(labelled: DataFrame) -> DataFrame:
+    """doc_id, label: a document that has several labels counts with the largest."""
+    return labelled.filter("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def class_sizes(labelled: DataFrame) -> dict:
+    """Documents of each label; a model has a part for each class, so the driver may hold one number for each."""
+    return {r["label"]: r["n"] for r in _one_label(labelled).groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+
+def share_of(n: int, per_class: int) -> float:
+    """Share of a class of ``n`` documents that holds ``per_class`` of them and six standard deviations more."""
+    return min(1.0, (per_class + 6 * math.sqrt(per_class) + 16) / max(n, 1))
 
-    The top rows are found in each task first, so a frequent label isn't gathered.
+
+def sample_ids(labelled: DataFrame, per_class: int, sizes: dict) -> DataFrame:
+    """doc_id, label: at most ``per_class`` documents of each label, those with the least hash of the id.
+
+    ``sizes``: from ``class_sizes``. A cut by hash comes first, each class by its
+    own share, so the ranking sees little more than the sample however many
+    rows and tasks a class has.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.filter("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    return ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).drop("n")
+    if not sizes:
+        return _one_label(labelled.filter("false"))
+    hashed = F.xxhash64("doc_id")
+    cuts = {k: min(2**63 - 1, int(share_of(n, per_class) * 2**64) - 2**63) for k, n in sizes.items()}
+    # Every row under the largest cut first (before the aggregation), then each class under its own.
+    rows = _one_label(labelled.filter(hashed <= F.lit(max(cuts.values()))))
+    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    order = Window.partitionBy("label").orderBy(hashed, "doc_id")
+    rows = rows.filter(hashed <= F.element_at(cut, F.col("label")))
+    return rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).drop("n")
+
+
+def odds(sizes: dict, labels) -> float:
+    """Label 1 to label 0 in the population over that in the sample: what a balanced sample has to be corrected by."""
+    ones, zeros = int((labels == 1).sum()), int((labels == 0).sum())
+    if not ones or not zeros:
+        return 1.0
+    return (sizes.get(1, 0) / max(1, sizes.get(0, 0))) / (ones / zeros)
 
 
-def sample_texts(docs: DataFrame, ids: DataFrame, most_chars: int) -> DataFrame:
+def sample_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id, label, text of the sampled rows; ``ids`` has a bounded number of rows, so it is broadcast."""
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= most_chars)
-    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")

@@ -212,3 +212,32 @@ def byte_grams(data: np.ndarray, widths: tuple[int, ...], bits: int) -> list[np.
                 b[space[:n] & space[k:]] = -1
             out.append(np.concatenate([b, np.full(k, -1, np.int32)]))
     return out
+
+
+def code_points(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Unicode code points of a string column and the rows' offsets into them; null rows are empty."""
+    data, offsets = utf8(col)
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return points, before[offsets]
+
+
+def char_grams(points: np.ndarray, widths: tuple[int, ...], bits: int) -> list[np.ndarray]:
+    """For each width, the bucket of the characters from each position on; -1 where white space is inside.
+
+    White space may be the first or last character, where it marks a word's
+    edge. Rows made by ``spaced`` touch in two blanks, so no gram crosses rows.
+    """
+    space = (points == 0x20) | ((points >= 9) & (points <= 13))
+    code = mix(np.where(space, U(0x20), points.astype(U)) + STEP)
+    powers = np.cumprod(np.full(max(widths), STEP))
+    out, h, bad = [], code, np.zeros(len(points), bool)
+    for k in range(1, max(widths)):
+        n = max(0, len(points) - k)
+        h = h[:n] + code[k:] * powers[k - 1]
+        bad = bad[:n] | space[k - 1 : k - 1 + n] if k > 1 else bad[:n]
+        if k + 1 in widths:
+            b = (mix(h + U(k)) >> U(64 - bits)).astype(np.int32)
+            b[bad | (space[:n] & space[k : k + n])] = -1
+            out.append(np.concatenate([b, np.full(len(points) - n, -1, np.int32)]))
+    return out

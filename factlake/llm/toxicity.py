@@ -7,11 +7,15 @@ lower-cased. A document's features are the presence of its words, word stems
 keeps a learning rate per coordinate and, by its L1 term, exact zeros, so the
 model that goes to the executors is the list of its non-zero weights.
 
-The fit reads a bounded sample of labelled rows (``per_class`` rows of each
-label, texts of at most ``most_chars`` characters); scoring reads everything.
+The fit reads a bounded sample of labelled rows (``per_class`` documents of each
+label, whole texts); scoring reads everything. The intercept is corrected from
+the sample's odds to those of all labelled rows.
 
 Defined cases: a text without words (null, empty, punctuation) gets the score
-of the bias alone; without labelled rows of both kinds every score is 0.
+of the bias alone; without labelled rows of both kinds every score is 0; equal
+texts have equal scores; repeated rows are scored each; a document labelled
+both 1 and 0 counts as 1; sampled rows that repeat a doc_id all count; an
+empty table gives no rows. Columns beyond those named are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .sampling import fold, sample_ids, sample_texts
+from .sampling import class_sizes, fold, odds, sample_ids, sample_texts
 from .workspace import ship
 
 
@@ -38,7 +42,6 @@ class Ftrl:
     l2: float = 0.0
     epochs: int = 4
     per_class: int = 5000
-    most_chars: int = 40_000
     folds: int = 5
     seed: int = 7
     stem: int = 6
@@ -134,14 +137,12 @@ def fit(docs: DataFrame, labels: DataFrame, m: Ftrl = Ftrl(), label_col: str = "
     ship(docs.sparkSession)
     learn = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).filter(fold(F.col("doc_id"), m.folds) != 0)
     learn = learn.filter("label in (0, 1)")
-    total = {r["label"]: r["n"] for r in learn.groupBy("label").agg(F.count_distinct("doc_id").alias("n")).collect()}
-    ids = sample_ids(learn, m.per_class)
-    rows = sample_texts(docs, ids, m.most_chars).mapInArrow(_sets(m), "doc_id long, label int, places binary").toArrow().sort_by("doc_id")
+    sizes = class_sizes(learn)
+    ids = sample_ids(learn, m.per_class, sizes)
+    rows = sample_texts(docs, ids).mapInArrow(_sets(m), "doc_id long, label int, places binary").toArrow().sort_by([("doc_id", "ascending"), ("places", "ascending")])
     y = rows["label"].to_numpy()
     sets = [np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["places"].to_pylist()]
-    ones, zeros = int((y == 1).sum()), int((y == 0).sum())
-    odds = (total.get(1, 0) / max(1, total.get(0, 0))) / (ones / zeros) if ones and zeros else 1.0
-    return fit_ftrl(sets, y, m, odds)
+    return fit_ftrl(sets, y, m, odds(sizes, y))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, m: Ftrl = Ftrl(), weights: Weights | None = None) -> DataFrame:

@@ -19,12 +19,19 @@ PACKAGE_ROOT = Path(__file__).resolve().parents[2]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the shared folder; only a session without the setting gets a local one (tests)."""
+    """URI of the shared folder that the session names.
+
+    A session of one machine (tests) gets a folder of its own where none is
+    named. A cluster's driver and executors share no other folder, so there the
+    setting must be made.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         hadoop = spark.sparkContext._jsc.sc().getCheckpointDir()
         at = hadoop.get() if hadoop.isDefined() else None
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="factlake-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -39,15 +46,16 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files behind a frame that ``stored`` returned."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``stored`` returned, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
