@@ -1,33 +1,45 @@
 """SentencePiece encoding and decoding as shortest paths of a compiled transducer.
 
-``compile_model`` reads a model's pieces and flags and builds the parts:
-
-* the normaliser (identity with the flags for dummy prefix, extra white space
-  and escaped blanks; a model with its own character map is refused),
-* the piece acceptor, in the tropical semiring (weights add along a path, the
-  least total wins),
-* byte fallback: arcs that spell an unknown character as its UTF-8 bytes.
-
-For a unigram model the weight of a piece is minus its score. For a BPE model
-path weights alone can't say which segmentation merging gives. There the
-acceptor has a state per last piece, and an arc from piece x to piece y has
-weight 0 if merging the string xy ends with exactly [x, y], else infinity. Both
-pieces being results of merging themselves, a sequence is the BPE result of its
-string if and only if all neighbours agree in this sense (the same holds for
-every prefix), so exactly one path has a finite weight, and it's the library's.
+``compile_model`` reads a model file and builds the parts of a cascade:
+
+* the normaliser: rules of the model's character map (the longest rule at a
+  place rewrites it, any other character is copied), then the flags for extra
+  white space, dummy prefix and escaped blanks. It is deterministic and has one
+  output, so its composition with a text is again one string;
+* the piece transducer: arcs that read a piece's characters and write its id,
+  found by walking a trie of all pieces along the string;
+* byte fallback: an arc that reads one character without a piece and writes the
+  ids of its UTF-8 bytes (or the unknown id).
+
+``Transducer.shortest`` composes a string with the piece transducer: composed
+states are (position, state), and the path of least weight is found by relaxing
+arcs in the tropical semiring (weights add along a path, the least total wins)
+in the order of positions.
+
+For a unigram model there is one state, and the weight of a piece is minus its
+score. For a BPE model weights of single pieces can't say which segmentation
+merging gives, so a state is the last piece read, and from x there is an arc for
+piece y (weight 0) if merging the string xy ends with exactly [x, y]; all other
+arcs have infinite weight, that is, they don't exist. Both pieces being results
+of merging themselves, a sequence is the BPE result of its string if and only if
+all neighbours agree in this sense. The same holds for every prefix, so at each
+position one composed state is reached, and the path is the library's.
 
 White space begins chunks that no piece crosses (checked when compiling), so a
 text's path is the sequence of its chunks' paths, and each distinct chunk is
 solved once (see ``chunks``).
 
 Defined cases: null text is empty and has no ids; ids decode to the text with
-the literal character U+2581 as a blank.
+the literal character U+2581 as a blank; equal texts have equal ids; repeated
+rows are coded each; an empty table gives no rows. Columns beyond doc_id and
+text are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,8 +56,12 @@ from .chunks import ChunkEncoder
 from .workspace import ship
 
 BLANK = "▁"
-BPE = 2
+#: Values of the model file: model types, and the types of its pieces.
+UNIGRAM, BPE = 1, 2
+NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
+#: Pairs of pieces whose agreement a worker remembers.
+MOST_PAIRS = 2_000_000
 _LETTER_SIGN = re.compile(r"[A-Za-z][!-/:-@\[-`{-~]")
 
 
@@ -76,6 +92,37 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+def charsmap_rules(blob: bytes) -> dict[str, str]:
+    """Rules of a compiled character map: a double-array trie of UTF-8 keys, then the replacements.
+
+    A unit of the array holds its label, whether its node ends a key, and the
+    offset of its children: child c of node p with offset o is at p ^ o ^ c.
+    """
+    if not blob:
+        return {}
+    (size,) = struct.unpack_from("<I", blob)
+    units, texts = np.frombuffer(blob, np.uint32, size // 4, 4).astype(np.int64), blob[4 + size :]
+
+    def base(at: np.ndarray) -> np.ndarray:
+        u = units[at]
+        return at ^ ((u >> 10) << ((u & 512) >> 6))
+
+    rules: dict[str, str] = {}
+    nodes, keys = np.zeros(1, np.int64), [b""]
+    labels = np.arange(1, 256)
+    while len(nodes):
+        to = base(nodes)[:, None] ^ labels[None, :]
+        inside = to < len(units)
+        hit = inside & ((units[np.where(inside, to, 0)] & 0x800000FF) == labels[None, :])
+        row, col = np.nonzero(hit)
+        nodes = to[row, col]
+        keys = [keys[r] + bytes([labels[c]]) for r, c in zip(row.tolist(), col.tolist(), strict=True)]
+        for k in np.flatnonzero((units[nodes] >> 8) & 1).tolist():
+            at = int(units[base(nodes[k : k + 1])[0]] & 0x7FFFFFFF)
+            rules[keys[k].decode()] = texts[at : texts.index(0, at)].decode()
+    return rules
+
+
 @dataclass
 class Transducer:
     bpe: bool
@@ -90,16 +137,18 @@ class Transducer:
     byte_ids: list[int]
     unknown_id: int
     surface: list[bytes]
-    longest: int
     split_at_blank: bool
     #: No piece has an ASCII letter right before an ASCII sign.
     split_at_sign: bool = False
     unknown_cost: float = 0.0
+    #: The normaliser's rules.
+    rules: dict[str, str] = field(default_factory=dict)
     agree_memo: dict[tuple[str, str], bool] = field(default_factory=dict)
+    trie: dict = field(default_factory=dict)
 
     @property
     def fingerprint(self) -> str:
-        return hashlib.sha256(repr((self.bpe, self.add_prefix, self.squeeze, self.escape, list(self.ids.items()), self.byte_ids)).encode()).hexdigest()
+        return hashlib.sha256(repr((self.bpe, self.add_prefix, self.squeeze, self.escape, list(self.ids.items()), list(self.cost.items()), self.byte_ids, list(self.rules.items()))).encode()).hexdigest()
 
     def agree(self, x: str, y: str) -> bool:
         """Whether merging the string xy ends with [x, y].
@@ -133,71 +182,75 @@ class Transducer:
                     continue
                 limit = rank[b] + 0.5
                 b = split[b][0]
+        if len(self.agree_memo) >= MOST_PAIRS:
+            self.agree_memo.clear()
         self.agree_memo[x, y] = out
         return out
 
+    def _root(self) -> dict:
+        """The trie of pieces: a node has a child for each character, and its piece under the empty string."""
+        if not self.trie:
+            for piece in self.cost:
+                node = self.trie
+                for c in piece:
+                    node = node.setdefault(c, {})
+                node[""] = piece
+        return self.trie
+
+    def arcs(self, state: str, text: str, at: int) -> Iterator[tuple[str, str, float]]:
+        """Arcs that read ``text`` from ``at`` on: characters read, next state, weight."""
+        node, cost, bpe = self._root(), self.cost, self.bpe
+        single = False
+        for k in range(at, len(text)):
+            node = node.get(text[k])
+            if node is None:
+                break
+            piece = node.get("")
+            if piece is not None:
+                single |= k == at
+                if not bpe:
+                    yield piece, "", cost[piece]
+                elif not state or self.agree(state, piece):
+                    yield piece, piece, 0.0
+        if not single:
+            yield text[at], "", self.unknown_cost
+
+    def shortest(self, text: str) -> list[str]:
+        """The characters read by each arc of the path of least weight.
+
+        ``best[position][state]``: least weight, and the arc that leads there.
+        Of paths of equal weight the one whose last arc begins first stays.
+        """
+        best: list[dict[str, tuple]] = [{} for _ in range(len(text) + 1)]
+        best[0][""] = (0.0, 0, "", "")
+        for at in range(len(text)):
+            for state, reached in best[at].items():
+                for read, to, weight in self.arcs(state, text, at):
+                    total, there = reached[0] + weight, best[at + len(read)]
+                    if to not in there or total < there[to][0]:
+                        there[to] = (total, at, state, read)
+        out: list[str] = []
+        at, state = len(text), min(best[-1], key=lambda s: best[-1][s][0])
+        while at:
+            _, at, state, read = best[at][state]
+            out.append(read)
+        return out[::-1]
+
     def path(self, chunk: str) -> list[int]:
-        """Ids on the shortest path of a chunk's characters."""
-        out = self._bpe_path(chunk) if self.bpe else self._best_path(chunk)
+        """Ids on the shortest path of a chunk's characters; without byte pieces a run of unknown ones is one id."""
         ids: list[int] = []
-        for piece in out:
-            k = self.ids.get(piece) if piece in self.cost else None
+        unknown = False
+        for piece in self.shortest(chunk):
+            k = self.ids.get(piece)
             if k is not None:
                 ids.append(k)
             elif self.byte_ids:
                 ids += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
-            else:
+            elif not unknown:
                 ids.append(self.unknown_id)
+            unknown = k is None
         return ids
 
-    def _bpe_path(self, chunk: str) -> list[str]:
-        """The one finite path, searched depth first with the longest piece first.
-
-        A prefix has one finite path, so a position that can't be continued is
-        dead whatever led to it, and each is left at most once.
-        """
-        cost, agreed, n = self.cost, self.agree_memo, len(chunk)
-        out: list[str] = []
-        dead: set[int] = set()
-        at, most = 0, self.longest
-        while at < n:
-            before = out[-1] if out else ""
-            for size in range(min(most, n - at), 0, -1):
-                piece = chunk[at : at + size]
-                if piece in cost:
-                    if at + size in dead:
-                        continue
-                    if before in cost and not (agreed[before, piece] if (before, piece) in agreed else self.agree(before, piece)):
-                        continue
-                elif size > 1:
-                    continue
-                out.append(piece)
-                at, most = at + size, self.longest
-                break
-            else:
-                dead.add(at)
-                most = len(out.pop()) - 1
-                at -= most + 1
-        return out
-
-    def _best_path(self, chunk: str) -> list[str]:
-        best, last = [0.0] + [float("inf")] * len(chunk), [""] * (len(chunk) + 1)
-        for end in range(1, len(chunk) + 1):
-            for begin in range(max(0, end - self.longest), end):
-                piece = chunk[begin:end]
-                w = self.cost.get(piece)
-                if w is None:
-                    if begin < end - 1:
-                        continue
-                    w = self.unknown_cost
-                if best[begin] + w < best[end]:
-                    best[end], last[end] = best[begin] + w, piece
-        out, end = [], len(chunk)
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
-
 
 def _merge(text: str, rank: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
     """Merge the best-ranked pair, the leftmost first, until none is left; and the last pair merged."""
@@ -213,25 +266,25 @@ def _merge(text: str, rank: dict[str, float]) -> tuple[list[str], tuple[str, str
 
 
 def compile_model(path: str) -> Transducer:
-    from sentencepiece import SentencePieceProcessor
-
-    sp = SentencePieceProcessor(model_file=path)
-    flags = {"model_type": 1, "add_prefix": 1, "squeeze": 1, "escape": 1, "charsmap": b""}
+    kind, spec, pieces = UNIGRAM, {}, []
     with open(path, "rb") as f:
         for number, value in _fields(f.read()):
-            if number == 2:
-                flags["model_type"] = dict(_fields(value)).get(3, 1)
+            if number == 1:
+                piece = dict(_fields(value))
+                pieces.append((piece[1].decode(), struct.unpack("<f", piece.get(2, bytes(4)))[0], piece.get(3, NORMAL)))
+            elif number == 2:
+                kind = dict(_fields(value)).get(3, UNIGRAM)
             elif number == 3:
                 spec = dict(_fields(value))
-                flags |= {"charsmap": spec.get(2, b""), "add_prefix": spec.get(3, 1), "squeeze": spec.get(4, 1), "escape": spec.get(5, 1)}
-    if flags["charsmap"]:
-        raise ValueError("the model has a character map; only identity normalisers are compiled")
-    n = sp.vocab_size()
-    pieces = [sp.id_to_piece(k) for k in range(n)]
-    plain = [k for k in range(n) if not (sp.is_byte(k) or sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k))]
-    byte_ids = [k for k in range(n) if sp.is_byte(k)]
-    score = {pieces[k]: sp.get_score(k) for k in plain}
-    bpe = flags["model_type"] == BPE
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError("only unigram and BPE models are compiled")
+    if any(t == USER_DEFINED for _, _, t in pieces):
+        raise ValueError("pieces that a user defined aren't compiled")
+    plain = [k for k, (_, _, t) in enumerate(pieces) if t == NORMAL]
+    byte_ids = [k for k, (_, _, t) in enumerate(pieces) if t == BYTE]
+    unknown_id = next(k for k, (_, _, t) in enumerate(pieces) if t == UNKNOWN)
+    score = {pieces[k][0]: pieces[k][1] for k in plain}
+    bpe = kind == BPE
     split: dict[str, tuple[str, str]] = {}
     if bpe:
         order = sorted((p for p in score if len(p) > 1), key=lambda p: -score[p])
@@ -244,17 +297,17 @@ def compile_model(path: str) -> Transducer:
                 cost[p] = rank[p]
     else:
         cost = {p: -s for p, s in score.items()}
-    surface = [b""] * n
+    surface = [b""] * len(pieces)
     for k in plain:
-        surface[k] = pieces[k].replace(BLANK, " ").encode()
+        surface[k] = pieces[k][0].replace(BLANK, " ").encode()
     for b, k in enumerate(byte_ids):
         surface[k] = bytes([b])
-    surface[sp.unk_id()] = " ⁇ ".encode()
+    surface[unknown_id] = " ⁇ ".encode()
     return Transducer(
-        bpe=bpe, add_prefix=bool(flags["add_prefix"]), squeeze=bool(flags["squeeze"]), escape=bool(flags["escape"]),
-        ids={pieces[k]: k for k in plain}, cost=cost, split=split, byte_ids=byte_ids, unknown_id=sp.unk_id(), surface=surface,
-        longest=max(map(len, score)), split_at_sign=not any(_LETTER_SIGN.search(p) for p in score), split_at_blank=not any(BLANK in p.lstrip(BLANK) for p in score),
-        unknown_cost=max(cost.values()) + UNKNOWN_PENALTY,
+        bpe=bpe, add_prefix=bool(spec.get(3, 1)), squeeze=bool(spec.get(4, 1)), escape=bool(spec.get(5, 1)),
+        ids={pieces[k][0]: k for k in plain}, cost=cost, split=split, byte_ids=byte_ids, unknown_id=unknown_id, surface=surface,
+        split_at_sign=not any(_LETTER_SIGN.search(p) for p in score), split_at_blank=bool(spec.get(5, 1)) and not any(BLANK in p.lstrip(BLANK) for p in score),
+        unknown_cost=max(cost.values()) + UNKNOWN_PENALTY, rules=charsmap_rules(spec.get(2, b"")),
     )
 
 
@@ -274,12 +327,34 @@ def _encoder(t: Transducer, key: str) -> ChunkEncoder:
     return _live[key]
 
 
+def rewritten(text: str, rules: dict[str, str], longest: int, begins: re.Pattern) -> str:
+    """The output of the normaliser's rules; ``begins``: characters that some rule begins with."""
+    out, at = [], 0
+    while found := begins.search(text, at):
+        k = found.start()
+        out.append(text[at:k])
+        for n in range(min(longest, len(text) - k), 0, -1):
+            to = rules.get(text[k : k + n])
+            if to is not None:
+                out.append(to)
+                at = k + n
+                break
+        else:
+            out.append(text[k])
+            at = k + 1
+    return "".join([*out, text[at:]])
+
+
 def _normalised(col: pa.Array, t: Transducer) -> pa.Array:
-    col = col.fill_null("")
+    raw = col = col.fill_null("")
+    if t.rules:
+        begins = re.compile("[" + "".join(sorted({re.escape(k[0]) for k in t.rules})) + "]")
+        longest = max(map(len, t.rules))
+        col = pa.array([rewritten(x, t.rules, longest, begins) for x in col.to_pylist()], pa.string())
     if t.squeeze:
         col = pc.utf8_trim(pc.replace_substring_regex(col, " +", " "), " ")
     if t.add_prefix:
-        some = pc.greater(pc.binary_length(col), 0)
+        some = pc.greater(pc.binary_length(col if t.squeeze else raw), 0)
         col = pc.binary_join_element_wise(pc.if_else(some, " ", ""), col, "")
     return col
 

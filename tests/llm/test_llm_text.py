@@ -4,9 +4,11 @@ import hashlib
 import io
 import random
 import re
+import struct
 import tarfile
 import zlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -175,7 +177,7 @@ def test_sentencepiece(spark):
 
 def test_unigram_path_is_the_cheapest():
     pieces = {"▁": 2.0, "a": 1.5, "b": 1.5, "ab": 2.0, "▁a": 2.5, "ba": 1.0, "▁ab": 6.0}
-    t = sentencepiece_fst.Transducer(False, True, False, True, {p: k for k, p in enumerate(pieces)}, pieces, {}, [], 99, [], 3, True, False, 20.0)
+    t = sentencepiece_fst.Transducer(False, True, False, True, {p: k for k, p in enumerate(pieces)}, pieces, {}, [], 99, [], True, False, 20.0)
 
     def best(s):
         if not s:
@@ -186,10 +188,84 @@ def test_unigram_path_is_the_cheapest():
     r = random.Random(1)
     for _ in range(200):
         s = "▁" + "".join(r.choice("abab▁z") for _ in range(r.randrange(0, 9)))
-        cost = sum(pieces.get(p, 20.0) for p in t._best_path(s))
+        cost = sum(pieces.get(p, 20.0) for p in t.shortest(s))
         assert cost == pytest.approx(best(s)[0])
 
 
+def message(*fields):
+    """Bytes of a protocol buffer message: (number, value) with int, float, str or bytes values."""
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    out = b""
+    for number, value in fields:
+        if isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        elif isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        else:
+            raw = value.encode() if isinstance(value, str) else value
+            out += varint(number << 3 | 2) + varint(len(raw)) + raw
+    return out
+
+
+def double_array(rules):
+    """A character map in the model file's form: child c of node p with offset o is at p ^ o ^ c."""
+    texts, values = b"", {}
+    for key, to in rules.items():
+        values[key.encode()] = len(texts)
+        texts += to.encode() + b"\0"
+    units, used, bases, todo = [0] * 4096, {0}, set(), [(0, b"")]
+    while todo:
+        at, prefix = todo.pop()
+        children = sorted({k[len(prefix)] for k in values if k.startswith(prefix) and len(k) > len(prefix)})
+        slots = children + [0] * (prefix in values)
+        offset = next(o for o in range(1, 2000) if at ^ o not in bases and not any((at ^ o ^ c) in used for c in slots))
+        bases.add(at ^ offset)
+        units[at] |= offset << 10 | (256 if prefix in values else 0)
+        used |= {at ^ offset ^ c for c in slots}
+        if prefix in values:
+            units[at ^ offset] = 1 << 31 | values[prefix]
+        for c in children:
+            units[at ^ offset ^ c] = c
+            todo.append((at ^ offset ^ c, prefix + bytes([c])))
+    raw = struct.pack(f"<{len(units)}I", *units)
+    return struct.pack("<I", len(raw)) + raw + texts
+
+
+RULES = {"ﬁ": "fi", "Ａ": "A", "e\u0301": "é", "a": "a", "ab!": "B", "\t": " ", "\u00a0": " ", "…": "...", "x": ""}
+
+
+@pytest.mark.parametrize("with_bytes", [True, False])
+@pytest.mark.parametrize("flags", [(1, 1), (0, 0), (1, 0)])
+def test_unigram_models_with_a_character_map_as_the_library(tmp_path, with_bytes, flags):
+    from sentencepiece import SentencePieceProcessor
+
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] * with_bytes
+    r = random.Random(7)
+    chars = ["▁", *"abefiBAé.!lt"]
+    pieces += [(c, -round(r.uniform(3, 6), 3), 1) for c in chars]
+    words = {"".join(r.choices("abefiBAé.!lt", k=r.randrange(2, 5))) for _ in range(120)}
+    pieces += [(w, -round(r.uniform(2, 9), 3), 1) for w in sorted(words)] + [("▁" + w, -round(r.uniform(2, 9), 3), 1) for w in sorted(words)[::2]]
+    spec = message((2, double_array(RULES)), (3, flags[0]), (4, flags[1]), (5, 1))
+    raw = b"".join(message((1, message((1, p), (2, s), (3, t)))) for p, s, t in pieces)
+    raw += message((2, message((3, 1), *([(35, 1)] * with_bytes)))) + message((3, spec))
+    path = tmp_path / "m.model"
+    path.write_bytes(raw)
+    t = sentencepiece_fst.compile_model(str(path))
+    assert t.rules == RULES
+    lib = SentencePieceProcessor(model_file=str(path))
+    texts = ["", " ", "  a  b ", "ﬁle Ａb e\u0301…", "ab!a ab", "\ta\u00a0b", "日本a😀😀", "x", "xx a x"]
+    texts += ["".join(r.choice(["a", "b", "e", "f", "i", "B", "ﬁ", "Ａ", "é", ".", "!", "l", "t", " ", " ", "x", "ab!", "日"]) for _ in range(r.randrange(1, 40))) for _ in range(300)]
+    ids, offsets = sentencepiece_fst.encode_rows(pa.array(texts), t)
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == lib.encode(text), text
+
+
 def test_media(spark):
     rows = [*ODD[:11], (20, "nul\x00"), (21, "nul"), (22, "x" * 64)]
     stored = media.store_payloads(table(spark, rows).repartition(3))
