@@ -45,7 +45,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     at = stored(at, "links")
     for _ in range(most_rounds):
         if _all_stars(at):
-            return at.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            out = at.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            out.stored_at = at.stored_at
+            return out
         before, at = at, stored(_small_star(_large_star(at)), "star")
         drop_stored(before)
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")

@@ -7,7 +7,9 @@ minhashes per document and not ``2 * side**2 * width``. At similarity s a pair
 meets in some table with probability (1 - (1 - s**width)**side)**2: 0.9999 at
 0.75 for the defaults.
 
-1. Documents with equal shingle sets become one class, named by its least id.
+1. Documents with equal shingle sets become one class. Sets count as equal when
+   their sizes and two 64-bit sums over their members agree. Classes are the
+   nodes; a document id that has rows in several classes links them.
 2. A group of A (or B) whose value nobody shares can't be half of a shared key:
    keys are made only from groups that two classes share.
 3. In each bucket the least member is compared with the others by minhashes.
@@ -15,22 +17,30 @@ meets in some table with probability (1 - (1 - s**width)**side)**2: 0.9999 at
    different clusters are compared with one member picked by hash. What is
    apart still joins the bucket's dominant cluster without more ado, or else is
    compared in blocks of bounded size, where one plausible pair joins two
-   clusters. So every plausible pair that meets in a
-   bucket lies inside one cluster.
-   In each cluster the member nearest to the cluster's consensus (the most
-   frequent minhash of each place) is confirmed against the others, and each
-   member against its best counterpart. What this leaves apart from a cluster's
-   main component is compared with the whole cluster in blocks, by full shingle
-   sets; a block reports only the links that connect something.
+   clusters. So every plausible pair that meets in a bucket lies inside one
+   cluster; a dominant cluster only makes clusters larger, that is, more pairs
+   are compared by full sets, and none fewer.
+4. In each cluster the member nearest to the cluster's consensus (the most
+   frequent minhash of each place), its pivot, is confirmed against the others,
+   and each member against its best counterpart. A member that many are compared
+   with is sent to several tasks, each with a bounded part of the others.
+5. What this leaves apart from a cluster's main component is compared with the
+   whole cluster by full shingle sets, in blocks of bounded shingles; a block
+   reports only the links that connect something. Two exact tests leave out
+   pairs that can't be linked: set sizes must be within the threshold of each
+   other (blocks are made by size band, and only neighbouring bands meet), and
+   since Jaccard distance is a metric, so must the distances to the pivot.
    No bucket or cluster is cut short, and pairs within a component aren't listed.
-4. A confirmation compares the full shingle sets (64-bit shingle hashes) of the
-   two whole texts. Components come from distributed star contraction.
+6. A confirmation compares the full shingle sets of the two whole texts, as sets
+   of 64-bit hashes. Components come from distributed star contraction.
+
+Intermediate tables are deleted as soon as nothing reads them any more.
 
 Defined cases: with fewer than ``words`` words the whole sequence is the one
 shingle; null text, empty text and text without words have no shingle, are
 linked with nothing and form a component each. Rows that share a doc_id are one
-node. Rows without doc_id get no component and are kept. Columns beyond id and
-text are ignored.
+node. Rows without doc_id get no component and are kept. An empty table gives no
+rows. Columns beyond id and text are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +55,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .components import components
-from .workspace import ship, stored
+from .workspace import drop_stored, ship, stored
 
 U = np.uint64
 
@@ -58,7 +68,12 @@ class Banding:
     width: int = 2
     #: Pairs with fewer equal minhashes (share of all) aren't confirmed: at 0.75 a pair has fewer with probability 1e-6.
     plausible: float = 0.45
-    block: int = 512
+    #: Members of a bucket in a block (a signature each).
+    block: int = 4096
+    #: Shingles in a block of texts, and of those that one task compares with a pivot.
+    block_shingles: int = 2_000_000
+    #: Rows whose sets are intersected at once.
+    tile: int = 512
     #: A cluster dominates a bucket with so many members at least, and so large a share of the bucket.
     dominant: int = 8
     dominant_share: float = 0.75
@@ -95,7 +110,7 @@ def shingles(col: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(b: Banding):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = b.multipliers()
@@ -116,7 +131,7 @@ def _signatures(b: Banding):
                 set_b[d] = np.add.reduce(tv.mix(u))
             size = 4 * b.hashes
             packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.arange(0, (len(n) + 1) * size, size, dtype=np.int32)), pa.py_buffer(sig.tobytes())])
-            yield pa.record_batch([s.column(0), pa.array(count), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)), packed], schema=schema)
+            yield pa.record_batch([s.column(0), s.column(2), pa.array(count), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)), packed], schema=schema)
 
     return run
 
@@ -275,25 +290,46 @@ def _nearness(b: Banding):
     return run
 
 
+def _sets(col: pa.Array, words: int) -> list[np.ndarray]:
+    h, off = shingles(col, words)
+    return [np.unique(h[off[d] : off[d + 1]]) for d in range(len(off) - 1)]
+
+
+def _common(center: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of one set with many."""
+    sizes = np.array([len(x) for x in others])
+    if not len(center) or not sizes.sum():
+        return np.zeros(len(others), np.int64)
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(center, flat), len(center) - 1)
+    ends = np.concatenate([[0], np.cumsum(center[at] == flat)])
+    to = np.concatenate([[0], np.cumsum(sizes)])
+    return ends[to[1:]] - ends[to[:-1]]
+
+
 def _confirm(b: Banding):
-    """lo, hi, inter, union of the full shingle sets; columns lo, hi, text_lo, text_hi."""
+    """center, other, inter, union of the full shingle sets.
+
+    Columns: center, part, role, other, text. In the rows of a center's part, its
+    own text comes first (role 0), then the others, which are compared with it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in (x for y in tv.slices(batch, "text_lo") for x in tv.slices(y, "text_hi")):
-                x, y = (_sets(s.column(c), b.words) for c in (2, 3))
-                inter = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y, strict=True)], np.int64)
-                union = np.array([len(p) + len(q) for p, q in zip(x, y, strict=True)], np.int64) - inter
-                yield pa.record_batch([s.column(0), s.column(1), pa.array(inter), pa.array(union)], names=["lo", "hi", "inter", "union"])
+        own = np.zeros(0, np.uint64)
+        for s in tv.held(batches, "text"):
+            role, sets = s.column(2).to_numpy(zero_copy_only=False), _sets(s.column(4), b.words)
+            inter, size = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+            cuts = [*np.flatnonzero(role == 0).tolist(), len(sets)]
+            for i, j in zip([0, *cuts[:-1]], cuts, strict=True):
+                if i < len(sets) and role[i] == 0:
+                    own = sets[i]
+                inter[i:j], size[i:j] = _common(own, sets[i:j]), len(own)
+            union = size + np.array([len(x) for x in sets], np.int64) - inter
+            yield pa.record_batch([s.column(0), s.column(3), pa.array(inter), pa.array(union)], names=["center", "other", "inter", "union"]).filter(pa.array(role == 1))
 
     return run
 
 
-def _sets(col: pa.Array, words: int) -> list[np.ndarray]:
-    h, off = shingles(col, words)
-    return [np.unique(h[off[d] : off[d + 1]]) for d in range(len(off) - 1)]
-
-
 #: Columns of the 0/1 matrices (rows by shingles) that are multiplied at once.
 _COLUMNS = 4096
 
@@ -325,39 +361,56 @@ def _intersections(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 def _connecting(b: Banding):
     """In each (cluster, i, j) block, the links that connect components.
 
-    Columns: cluster, i, j, minor, rep, component, text: a block of the
-    cluster's members and a block of those outside its main component.
+    Columns: cluster, i, j, minor, rep, component, far, text: a block of the
+    cluster's members and a block of those outside its main component, with
+    their distances to the pivot. Both blocks are gone through in tiles, in the
+    order of that distance, and a tile meets only what the triangle inequality
+    leaves.
     """
+    reach = 1 - b.percent / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _keyed(batches, 3):
-            minor, rep, comp = (t.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
-            sets = [x for s in tv.slices(t, "text") for x in _sets(s.column(6), b.words)]
+            minor, rep, comp, far = (t.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
             x, y = np.flatnonzero(~minor), np.flatnonzero(minor)
             if not len(x) or not len(y):
                 continue
-            inter = _intersections([sets[k] for k in x], [sets[k] for k in y])
-            size = np.array([len(s) for s in sets])
-            union = size[x][:, None] + size[y][None, :] - inter
-            hit = (inter * 100 >= union * b.percent) & (comp[x][:, None] != comp[y][None, :])
+            sets = [z for s in tv.slices(t, "text") for z in _sets(s.column(7), b.words)]
+            size = np.array([len(z) for z in sets])
+            x, y = x[np.argsort(far[x], kind="stable")], y[np.argsort(far[y], kind="stable")]
             forest, lo, hi = _Forest(), [], []
-            for i, j in zip(*np.nonzero(hit), strict=True):
-                if forest.joins(int(comp[x[i]]), int(comp[y[j]])):
-                    lo.append(int(rep[x[i]]))
-                    hi.append(int(rep[y[j]]))
+            for at in range(0, len(x), b.tile):
+                p = x[at : at + b.tile]
+                near = y[np.searchsorted(far[y], far[p[0]] - reach) : np.searchsorted(far[y], far[p[-1]] + reach, side="right")]
+                for to in range(0, len(near), b.tile):
+                    q = near[to : to + b.tile]
+                    inter = _intersections([sets[k] for k in p], [sets[k] for k in q])
+                    union = size[p][:, None] + size[q][None, :] - inter
+                    hit = (inter * 100 >= union * b.percent) & (comp[p][:, None] != comp[q][None, :])
+                    for i, j in zip(*np.nonzero(hit), strict=True):
+                        if forest.joins(int(comp[p[i]]), int(comp[q[j]])):
+                            lo.append(int(rep[p[i]]))
+                            hi.append(int(rep[q[j]]))
             if lo:
                 yield _pairs(lo, hi)
 
     return run
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold, as links u, v."""
-    lo = texts.select(F.col("rep").alias("lo"), F.col("text").alias("text_lo"))
-    hi = texts.select(F.col("rep").alias("hi"), F.col("text").alias("text_hi"))
-    both = pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "text_lo", "text_hi")
-    done = both.mapInArrow(_confirm(b), "lo long, hi long, inter long, `union` long")
-    return done.filter(F.col("inter") * 100 >= F.col("union") * b.percent).select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+def _compared(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, b: Banding, name: str) -> DataFrame:
+    """center, other, inter, union of each pair (center, other).
+
+    A center with many others goes to as many parts as their shingles fill, so a
+    task reads a center's text once per part and a bounded number of others.
+    """
+    sized = pairs.join(sizes.select(F.col("rep").alias("other"), "n_shingles"), "other")
+    load = sized.groupBy("center").agg(F.greatest(F.ceil(F.sum("n_shingles") / b.block_shingles), F.lit(1)).alias("parts"))
+    part = F.pmod(F.xxhash64("other"), F.col("parts"))
+    others = pairs.join(load, "center").select("center", part.alias("part"), F.lit(1).alias("role"), "other")
+    centers = load.select("center", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("center").alias("other"))
+    rows = others.unionByName(centers).join(texts.withColumnRenamed("rep", "other"), "other").select("center", "part", "role", "other", "text")
+    rows = rows.repartition("center", "part").sortWithinPartitions("center", "part", "role")
+    return stored(rows.mapInArrow(_confirm(b), "center long, other long, inter long, `union` long"), name)
 
 
 def _plausible(pairs: DataFrame, reps: DataFrame, b: Banding, name: str) -> DataFrame:
@@ -370,6 +423,13 @@ def _links(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
 
 
+def _grown(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of those found and further links (u, v)."""
+    out = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links))
+    drop_stored(found)
+    return out
+
+
 def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
     near = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     return members.join(near, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
@@ -381,7 +441,7 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
     found = components(_links(stars))
 
     # Buckets in several clusters: who isn't in the cluster of a member picked by hash is compared with that one.
-    placed = stored(_placed(members, found), "placed")
+    placed = first_placed = stored(_placed(members, found), "placed")
     spot = F.col("rep").bitwiseXOR(F.col("key"))
     picked = placed.groupBy("key").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y"), F.min(spot).alias("spot"), F.min_by("cluster", spot).alias("at"))
     picked = picked.filter("x <> y").select(F.col("key").alias("k"), "at", F.col("spot").bitwiseXOR(F.col("key")).alias("other"))
@@ -389,7 +449,7 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
     more = _plausible(across.select(F.least("rep", "other").alias("lo"), F.greatest("rep", "other").alias("hi")), reps, b, "more-stars")
     pairs = stars.unionByName(more)
     if not more.isEmpty():
-        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_links(more)))
+        found = _grown(found, _links(more))
         placed = _placed(members, found)
 
     # A bucket with a dominant cluster puts its few others into that cluster, where full sets decide.
@@ -409,11 +469,14 @@ def _rough_clusters(members: DataFrame, reps: DataFrame, b: Banding) -> tuple[Da
     rest = rest.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "rep")
     bridges = stored(rest.mapInArrow(_bridges(b), "lo long, hi long").distinct(), "bridges")
     if not (bridges.isEmpty() and forced.isEmpty()):
-        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(forced).unionByName(_links(bridges)))
+        found = _grown(found, forced.unionByName(_links(bridges)))
         pairs = pairs.unionByName(bridges.withColumn("same", F.lit(0)))
+    pairs = stored(pairs, "star-pairs")
     cluster = found.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("rep"), "cluster").distinct())
-    return pairs, stored(cluster, "clusters")
+    cluster = stored(cluster, "clusters")
+    drop_stored(stars, more, first_placed, main, forced, bridges, found)
+    return pairs, cluster
 
 
 def _pivots(clusters: DataFrame, reps: DataFrame, b: Banding) -> DataFrame:
@@ -424,24 +487,49 @@ def _pivots(clusters: DataFrame, reps: DataFrame, b: Banding) -> DataFrame:
     consensus = top.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("consensus"))
     near = sigs.join(consensus, "cluster").select("cluster", "rep", "sig", "consensus").mapInArrow(_nearness(b), "cluster long, rep long, near int")
     pivot = near.groupBy("cluster").agg(F.max(F.struct("near", (-F.col("rep")).alias("m"))).alias("p")).select("cluster", (-F.col("p.m")).alias("pivot"))
-    both = clusters.join(pivot, "cluster").filter("rep <> pivot")
-    return both.select(F.least("rep", "pivot").alias("lo"), F.greatest("rep", "pivot").alias("hi"))
+    return pivot
 
 
-def _left_apart(clusters: DataFrame, found: DataFrame, texts: DataFrame, b: Banding) -> DataFrame:
-    """Links u, v between what lies outside a cluster's main component and the rest of the cluster."""
+def _left_apart(clusters: DataFrame, found: DataFrame, distances: DataFrame, texts: DataFrame, sizes: DataFrame, b: Banding) -> tuple[DataFrame, DataFrame]:
+    """Links u, v between what lies outside a cluster's main component and the rest of the cluster.
+
+    ``distances``: rep, far (Jaccard distance to the cluster's pivot; the pivot
+    itself isn't in it). Also returns the table that the links are read from.
+    """
     at = clusters.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    at = stored(at, "parted")
-    sizes = at.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).filter("n > most")
-    main = main.select("cluster", "main", F.ceil(F.col("n") / b.block).alias("n_i"), F.ceil((F.col("n") - F.col("most")) / b.block).alias("n_j"))
-    rows = at.join(main, "cluster").join(texts, "rep")
-    zero = F.lit(0).cast("bigint")
-    spot_i, spot_j = F.pmod(F.xxhash64("rep"), F.col("n_i")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("n_j"))
-    every = rows.select("cluster", spot_i.alias("i"), F.explode(F.sequence(zero, F.col("n_j") - 1)).alias("j"), F.lit(False).alias("minor"), "rep", "component", "text")
-    minor = rows.filter("component <> main").select("cluster", F.explode(F.sequence(zero, F.col("n_i") - 1)).alias("i"), spot_j.alias("j"), F.lit(True).alias("minor"), "rep", "component", "text")
-    both = every.unionByName(minor).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return both.mapInArrow(_connecting(b), "lo long, hi long").select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+    per = at.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    main = per.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).filter("n > most").select("cluster", "main")
+    # Sizes of linked sets differ by less than a band.
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100.0 / b.percent)) * (1 - 1e-12)).cast("int")
+    at = at.join(main, "cluster").join(sizes, "rep").join(distances, "rep", "left")
+    parted = stored(at.select("cluster", "rep", "component", F.coalesce("far", F.lit(0.0)).alias("far"), band.alias("band"), "n_shingles", (F.col("component") != F.col("main")).alias("minor")), "parted")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("cluster", "band").agg(F.greatest(F.ceil(F.sum("n_shingles") / b.block_shingles), F.lit(1)).alias("blocks"))
+
+    zero, beside = F.lit(0).cast("bigint"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)]))
+    all_blocks, minor_blocks = blocks(parted), blocks(parted.filter("minor"))
+
+    def spread(rows: DataFrame, own: DataFrame, opposite: DataFrame, salt: int, minor: bool) -> DataFrame:
+        """Each row in its own block, once for each block of the other side in its band and the two beside it."""
+        mine = F.format_string("%d:%d", F.col("band"), F.pmod(F.xxhash64("rep", F.lit(salt)), F.col("blocks")))
+        out = rows.join(own, ["cluster", "band"]).withColumn("mine", mine).drop("blocks").withColumn("beside", beside)
+        out = out.join(opposite.withColumnRenamed("band", "beside"), ["cluster", "beside"])
+        out = out.withColumn("k", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+        theirs = F.format_string("%d:%d", F.col("beside"), F.col("k"))
+        i, j = (theirs, F.col("mine")) if minor else (F.col("mine"), theirs)
+        return out.select("cluster", i.alias("at_i"), j.alias("at_j"), F.lit(minor).alias("minor"), "rep", "component", "far")
+
+    every = spread(parted, all_blocks, minor_blocks, 0, False)
+    minors = spread(parted.filter("minor"), minor_blocks, all_blocks, 1, True)
+    both = every.unionByName(minors).join(texts.select("rep", "text"), "rep")
+    both = both.select("cluster", F.xxhash64("at_i").alias("i"), F.xxhash64("at_j").alias("j"), "minor", "rep", "component", "far", "text")
+    both = both.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return both.mapInArrow(_connecting(b), "lo long, hi long").select(F.col("lo").alias("u"), F.col("hi").alias("v")), parted
+
+
+#: Ids (8 bytes each) that may be broadcast to pick the texts of clusters; beyond, the texts are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -449,16 +537,17 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str =
     b = banding
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sigs = stored(rows.mapInArrow(_signatures(b), "doc_id long, n_shingles long, set_a long, set_b long, sig binary"), "minhash")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    sigs = stored(rows.mapInArrow(_signatures(b), "doc_id long, h long, n_shingles long, set_a long, set_b long, sig binary"), "minhash")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = sigs.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes, "classes")
-    reps = sigs.select(F.col("doc_id").alias("rep"), *same, "sig").join(classes, ["rep", *same], "left_semi").select("rep", "sig")
-    reps = stored(reps, "reps")
+    with_set = sigs.filter("n_shingles > 0 and doc_id is not null")
+    classes = with_set.groupBy(*same).agg(F.min(F.struct("doc_id", "h")).alias("head"), F.any_value("sig").alias("sig"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("rep"), *same, F.col("head.doc_id").alias("least_id"), F.col("head.h").alias("h"), "sig"), "classes")
+    reps = classes.select("rep", "n_shingles", "sig")
+    repeated = stored(sigs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
 
     # Groups of minhashes that two classes share, as a bit mask per class.
-    groups = reps.mapInArrow(_groups(b), "rep long, at int, key long")
+    groups = reps.select("rep", "sig").mapInArrow(_groups(b), "rep long, at int, key long")
     shared = groups.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     bit = F.expr("shiftleft(1L, at)")
     masks = groups.join(shared, "key", "left_semi").groupBy("rep").agg(F.bit_or(bit).alias("mask"))
@@ -470,18 +559,46 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding(), id_col: str =
     # Buckets with the same members say the same: one of them is enough.
     buckets = buckets.groupBy("n", "least", "who").agg(F.min("key").alias("key")).select("key", "n", "least")
     members = stored(keys.join(buckets, "key"), "members")
+    drop_stored(keys)
 
     pairs, clusters = _rough_clusters(members, reps, b)
-    texts = rows.withColumnRenamed("doc_id", "rep").join(clusters.select("rep").distinct(), "rep", "left_semi")
+    drop_stored(members)
+    wanted = clusters.join(classes, "rep").select("rep", F.col("least_id").alias("doc_id"), "h")
+    if clusters.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    texts = rows.join(wanted, ["doc_id", "h"]).select("rep", "text")
+    ids_repeat = not repeated.isEmpty()
+    if ids_repeat:
+        texts = texts.dropDuplicates(["rep"])
     texts = stored(texts, "near-texts", compression="zstd")
-    best = pairs.groupBy("hi").agg(F.max(F.struct("same", "lo"))["lo"].alias("lo")).select("lo", "hi")
-    first = _pivots(clusters, reps, b).unionByName(best).distinct()
-    links = stored(_linked(first, texts, b), "near-links")
+    sizes = classes.select("rep", "n_shingles")
+
+    pivot = stored(_pivots(clusters, reps, b), "pivots")
+    from_pivot = clusters.join(pivot, "cluster").filter("rep <> pivot").select(F.col("pivot").alias("center"), F.col("rep").alias("other"))
+    best = pairs.groupBy("hi").agg(F.max(F.struct("same", "lo"))["lo"].alias("center")).select("center", F.col("hi").alias("other"))
+    done = _compared(from_pivot.unionByName(best).distinct(), texts, sizes, b, "compared")
+    links = done.filter(F.col("inter") * 100 >= F.col("union") * b.percent).select(F.col("center").alias("u"), F.col("other").alias("v"))
+    if ids_repeat:
+        # The classes of one document id are one node.
+        owners = with_set.join(repeated, "doc_id", "left_semi").join(classes.select(*same, "rep"), same).select("doc_id", "rep").distinct()
+        links = links.unionByName(owners.join(owners.groupBy("doc_id").agg(F.min("rep").alias("u")), "doc_id").select("u", F.col("rep").alias("v")))
     found = components(links)
-    more = stored(_left_apart(clusters, found, texts, b), "late-links")
+    far = (1 - F.col("inter") / F.col("union")).alias("far")
+    of_pivot = clusters.join(pivot, "cluster").select(F.col("pivot").alias("center"), F.col("rep").alias("other"))
+    distances = done.join(of_pivot, ["center", "other"]).select(F.col("other").alias("rep"), far)
+    late, parted = _left_apart(clusters, found, distances, texts, sizes, b)
+    more = stored(late, "late-links")
     if not more.isEmpty():
-        found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-
-    named = sigs.select("doc_id", *same).join(classes, same, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
-    named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
+        found = _grown(found, more)
+    drop_stored(pairs, clusters, texts, pivot, done, parted, more)
+
+    # A component is named by the least document id of its classes.
+    placed = classes.select("rep", *same, "least_id").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    names = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = sigs.select("doc_id", *same).join(placed.join(names, "component").select(*same, "component_id"), same, "left")
+    if ids_repeat:
+        # A row without shingles has the component of its id's other rows.
+        of_id = with_set.join(repeated, "doc_id", "left_semi").join(placed.join(names, "component").select(*same, F.col("component_id").alias("of_id")), same).groupBy("doc_id").agg(F.min("of_id").alias("of_id"))
+        named = named.join(of_id, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "of_id"))
+    named = named.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -100,7 +100,7 @@ def family_rows():
     return rows
 
 
-@pytest.mark.parametrize("banding", [minhash.Banding(), minhash.Banding(block=8)])
+@pytest.mark.parametrize("banding", [minhash.Banding(), minhash.Banding(block=8, block_shingles=700, tile=5)])
 def test_near_duplicates(spark, banding):
     rows = family_rows()
     want = brute([(i, t) for i, t, _ in rows])
@@ -113,10 +113,28 @@ def test_a_large_family_of_edits(spark):
     base = words(150, 99)
     rows = [(k, " ".join(edited(base, 0.02, 10_000 + k)), "s") for k in range(150)]
     want = brute([(i, t) for i, t, _ in rows])
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(table(spark, rows), minhash.Banding(block=32)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(table(spark, rows), minhash.Banding(block=32, block_shingles=3000, tile=16)).collect()}
     assert got == want
 
 
+def test_dominant_clusters_change_no_component(spark):
+    """Outliers that a bucket's dominant cluster takes in are decided by full sets, as without it."""
+    base = words(120, 5)
+    rows = [(k, " ".join(edited(base, 0.003 * (k % 4), 500 + k)), "s") for k in range(60)]
+    rows += [(100 + k, " ".join(base[: 30 + 2 * k] + words(90 - 2 * k, 700 + k)), "s") for k in range(45)]
+    want = {i: c for i, (_, c) in brute([(i, t) for i, t, _ in rows]).items()}
+    for dominant in (2, 8, 10**9):
+        got = minhash.near_duplicates(table(spark, rows), minhash.Banding(dominant=dominant, dominant_share=0.5, block_shingles=2000, tile=8))
+        assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, c = words(40, 1), words(40, 2)
+    rows = [(1, " ".join(a), "s"), (5, " ".join(a), "s"), (5, " ".join(c), "s"), (5, None, "s"), (7, " ".join(c), "s"), (7, " ".join(c), "s"), (9, "other", "s"), (9, "text", "s")]
+    got = sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(table(spark, rows)).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (5, 1), (7, 1), (7, 1), (9, 9), (9, 9)]
+
+
 def test_near_duplicates_of_nothing_and_repeats(spark):
     assert minhash.near_duplicates(table(spark, [])).count() == 0
     got = minhash.near_duplicates(table(spark, [(1, None, "s"), (2, "", "s"), (3, " ", "s"), (None, "a b", "s"), (4, "a b", "s"), (4, "a b", "s")]))
@@ -184,6 +202,54 @@ def test_mixing(spark):
     assert sorted((x["doc_id"], x["taken"]) for x in got) == sorted((x["doc_id"], x["taken"]) for x in again)
 
 
+def taken_by_brute_force(rows, plan, block_words):
+    """Words taken from each row: the schedule slot by slot, the blocks word by word."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    hashed = {(x["doc_id"]): x["h"] for x in spark.createDataFrame([(k,) for k, _, _ in rows], "doc_id bigint").select("doc_id", F.xxhash64(F.lit(mixing.SEED), "doc_id").alias("h")).collect()}
+    names = sorted(plan, key=lambda s: (s is None, (s or "").encode()))
+    need, goal = {}, {}
+    for s in names:
+        size, target = plan[s]
+        goal[s] = int(target)
+        full, rest = divmod(goal[s], size) if size else (0, 0)
+        need[s] = full * -(-size // block_words) + -(-rest // block_words) if size else 0
+    total, run, upper = sum(need.values()), 0, []
+    for s in names:
+        run += need[s]
+        upper.append(min(run * 2**64 // total, 2**64 - 1))
+    slots = {s: [] for s in names}
+    for n in range(total):
+        point = (n + 1) * mixing.GOLDEN % 2**64
+        at = next((k for k, u in enumerate(upper) if point < u), len(names) - 1)
+        slots[names[at]].append(n)
+    taken = {k: 0 for k, _, _ in rows}
+    for s in names:
+        order = sorted(((hashed[k] % 2**64, k, n) for k, n, source in rows if source == s and n))
+        words_of = [k for _, k, n in order for _ in range(n)]
+        size = len(words_of)
+        ranks = max(len(slots[s]), need[s])
+        for rank in range(min(ranks, need[s])):
+            blocks = -(-size // block_words)
+            start = rank % blocks * block_words
+            count = min(block_words, size - start, goal[s] - (rank // blocks * size + start))
+            for k in words_of[start : start + max(0, count)]:
+                taken[k] += 1
+    return taken
+
+
+def test_taken_words_per_document(spark):
+    r = random.Random(8)
+    rows = [(k, " ".join(words(r.choice([0, 3, 17, 40, 200]), k)), r.choice(["a", "b", "b", "c", None])) for k in range(120)]
+    got = mixing.mix(table(spark, rows)).collect()
+    size = {k: len(WORD.findall(t)) for k, t, _ in rows}
+    plan = {x["source"]: (x["source_size"], x["target"]) for x in got}
+    block_words = max(1, -(-sum(size.values()) // (mixing.SLOTS_PER_DOC * len(rows))))
+    want = taken_by_brute_force([(k, size[k], s) for k, _, s in rows], plan, block_words)
+    assert {x["doc_id"]: x["taken"] for x in got} == want
+
+
 def test_mixing_nothing(spark):
     assert mixing.mix(table(spark, [])).count() == 0
     assert [x["taken"] for x in mixing.mix(table(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
