@@ -8,8 +8,9 @@ decision goes back to the rows by (128-bit hash, SHA-256) without texts.
 
 Defined cases: null text counts as empty; empty texts equal each other; of rows
 that repeat a doc_id with an equal text all carry the same decision; a row
-without doc_id stays only if no other row of its group is at least as long.
-Columns beyond ``id_col`` and ``text_col`` are ignored.
+without doc_id stays only if no other row of its group is at least as long; an
+empty table gives no rows. Columns beyond ``id_col``, ``text_col`` and those
+carried are ignored.
 """
 
 from __future__ import annotations
@@ -45,28 +46,30 @@ def _id_of(packed: Column) -> Column:
     return F.when(place > 0, (_dec(_ID_SPAN // 2) - place).cast("bigint"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=F.md5) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=F.md5, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carry``.
 
     Of equal texts the row with the most code points stays, then the smallest
     id. ``hash_of``: the 128-bit hash of the normalised text; tests pass a weak
     one to force collisions.
     """
     rows = docs.select(
+        *carry,
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n_code"),
         normalised(F.col(text_col)).alias("norm"),
-    ).select("doc_id", "n_code", "norm", hash_of(F.col("norm")).alias("h128"))
+    ).select(*carry, "doc_id", "n_code", "norm", hash_of(F.col("norm")).alias("h128"))
     groups = (
         rows.groupBy("h128", "norm")
         .agg(F.count("*").alias("group_size"), F.max(_packed(F.col("n_code"), F.col("doc_id"))).alias("best"))
         .select("h128", F.sha2("norm", 256).alias("sha"), "group_size", _id_of(F.col("best")).alias("keep_id"))
     )
-    keys = rows.select("doc_id", "h128", F.sha2("norm", 256).alias("sha"))
+    keys = rows.select(*carry, "doc_id", "h128", F.sha2("norm", 256).alias("sha"))
     return keys.join(groups, ["h128", "sha"]).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
         F.col("sha").alias("text_sha256"),
+        *carry,
     )

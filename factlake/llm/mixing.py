@@ -12,7 +12,10 @@ inside each - so no task holds a source's rows.
 
 Defined cases: null text has size 0 and is never taken; the null source is a
 source and comes last; an empty table gives an empty result; repeated rows are
-rows of their own. Columns beyond the three named ones are ignored.
+rows of their own. Documents are ordered by a hash of their id, those with equal
+ids by size, and reruns agree; rows without an id have no lasting identity, so
+their order (but not their number of words) may differ from run to run. Columns
+beyond the three named ones and those carried are ignored.
 """
 
 from __future__ import annotations
@@ -113,7 +116,7 @@ def schedule(plan: DataFrame, block_words: int) -> DataFrame:
             ends.append(min(run * 2**64 // total, 2**64 - 1))
         upper = np.array(ends, np.uint64)
     drawn = spark.range(0, total, 1, max(1, min(math.ceil(total / PIECE_SLOTS), 4096))).mapInArrow(_slots(upper.tobytes()), "slot long, source_idx int")
-    drawn = drawn.withColumn("piece", F.floor(F.col("slot") / PIECE_SLOTS))
+    drawn = stored(drawn.withColumn("piece", F.floor(F.col("slot") / PIECE_SLOTS)), "mix-slots")
     pieces = drawn.groupBy("source_idx", "piece").agg(F.count("*").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("source_idx").orderBy("piece")) - F.col("n")
     pieces = pieces.select("source_idx", "piece", ahead.alias("ahead"))
@@ -134,7 +137,9 @@ def schedule(plan: DataFrame, block_words: int) -> DataFrame:
 def _shuffled(sizes: DataFrame, n_docs: int) -> DataFrame:
     """Each row's place (in words) in its source's shuffled order."""
     bits = max(1, math.ceil(math.log2(max(2, n_docs / PIECE_ROWS))))
-    rows = sizes.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")).withColumn("piece", F.shiftrightunsigned("h", 64 - bits))
+    # Rows without an id are spread by their number, else they would all lie in one piece.
+    hashed = F.xxhash64(F.lit(SEED), F.coalesce("doc_id", "row_id"))
+    rows = sizes.withColumn("h", hashed).withColumn("piece", F.shiftrightunsigned("h", 64 - bits))
     pieces = rows.groupBy("source_idx", "piece").agg(F.sum("size").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("source_idx").orderBy("piece")) - F.col("n")
     pieces = pieces.select("source_idx", "piece", ahead.alias("ahead"))
@@ -146,12 +151,12 @@ def _shuffled(sizes: DataFrame, n_docs: int) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row per row of ``docs``.
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken and the columns ``carry``: one row per row of ``docs``.
 
     ``taken``: words that the schedule takes from the document, repeats counted.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(*carry, F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     rows = stored(rows.withColumn("row_id", F.monotonically_increasing_id()), "mix-sizes")
     plan = stored(source_plan(rows, weights, most, share), "mix-plan")
     all_of = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.count_distinct("source").alias("sources")).first()
@@ -168,4 +173,4 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, sha
     part = F.greatest(F.least("end", "least_words") - F.col("begin"), F.lit(0))
     taken = cut.join(uses, ["source_idx", "block"]).select("row_id", ((F.col("uses") - 1) * (F.col("end") - F.col("begin")) + part).alias("t"))
     taken = taken.groupBy("row_id").agg(F.sum("t").alias("taken"))
-    return sized.join(taken, "row_id", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+    return sized.join(taken, "row_id", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *carry)
