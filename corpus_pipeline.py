@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as
 Parquet and read again as the next stage's docs. All but the last return the
-columns of ``documents``.
+columns of ``documents``, whatever they are.
+
+Decisions belong to rows and not to ids: stages that drop or repeat rows number
+them first and apply each decision by that number. Rows that share a doc_id but
+not a text are therefore judged apart, and so are rows without a doc_id. An
+empty table passes every stage as an empty table; null and empty texts go in the
+first.
 """
 
 from __future__ import annotations
@@ -17,10 +23,18 @@ from factlake.llm.queries import tokenizer_path
 from factlake.llm.workspace import stored
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids, each once; rows without an id can't be told apart and all stay."""
-    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.unionByName(docs.filter("doc_id is null"))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written so that it stays the same, and the number's column."""
+    name = "row_of_stage"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def _without(docs: DataFrame, row: str, decided: DataFrame, first: DataFrame) -> DataFrame:
+    """The rows but those that ``decided`` has and ``first`` hasn't: what goes is less than what stays, and often small enough for a broadcast."""
+    gone = decided.select(row).join(first.select(row), row, "left_anti")
+    return docs.join(gone, row, "left_anti").drop(row)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,21 +43,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _only(docs, exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"))
+    """One row of each group of equal texts: the longest, then the one with the smallest doc_id, then the first."""
+    docs, row = _numbered(docs)
+    decided = stored(exact_dedup.exact_dedup(docs, carry=(row,)).select(row, "kept", "text_sha256"), "exact-decisions")
+    return _without(docs, row, decided, decided.filter("kept").groupBy("text_sha256").agg(F.min(row).alias(row)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each connected group of near duplicates."""
-    return _only(docs, minhash.near_duplicates(docs).filter("kept").select("doc_id"))
+    """One row of each connected group of near duplicates: the one with the smallest doc_id, then the first."""
+    docs, row = _numbered(docs)
+    found = minhash.near_duplicates(docs, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    decided = stored(found.join(docs.select(row, "doc_id"), row), "near-decisions")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    return _without(docs, row, decided, decided.groupBy("component_id").agg(least[row].alias(row)))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in whole documents: a document as often as its taken words make up its text, rounded; a row without an id once."""
+    """The mix in whole rows: a row as often as its taken words make up its text, rounded."""
+    docs, row = _numbered(docs)
+    copies = row + "_copies"
     often = F.floor(F.try_divide("taken", "size") + 0.5).cast("int")
-    taken = mixing.mix(docs.filter("doc_id is not null")).groupBy("doc_id").agg(F.max(often).alias("__copies__")).filter("__copies__ > 0")
-    mixed = docs.join(taken, "doc_id").withColumn("__copy__", F.explode(F.sequence(F.lit(1), "__copies__")))
-    return mixed.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    taken = mixing.mix(docs, carry=(row,)).select(row, often.alias(copies)).filter(f"{copies} > 0")
+    return docs.join(taken, row).withColumn(copies, F.explode(F.sequence(F.lit(1), copies))).drop(row, copies)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
