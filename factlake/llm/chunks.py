@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 #: Chunks and ids that a Python worker remembers; when full, it keeps those and encodes others each time.
-MOST_CHUNKS = 1_000_000
-MOST_IDS = 6_000_000
+MOST_CHUNKS = 500_000
+MOST_IDS = 4_000_000
 
 
 def _room(x: np.ndarray, n: int) -> np.ndarray:

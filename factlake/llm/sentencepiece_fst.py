@@ -61,7 +61,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
 #: Pairs of pieces whose agreement a worker remembers.
-MOST_PAIRS = 2_000_000
+MOST_PAIRS = 200_000
 _LETTER_SIGN = re.compile(r"[A-Za-z][!-/:-@\[-`{-~]")
 
 
@@ -144,7 +144,9 @@ class Transducer:
     #: The normaliser's rules.
     rules: dict[str, str] = field(default_factory=dict)
     agree_memo: dict[tuple[str, str], bool] = field(default_factory=dict)
-    trie: dict = field(default_factory=dict)
+    #: Trie of the pieces: (node, character) as one number -> node; and each node's piece.
+    trie: dict[int, int] = field(default_factory=dict)
+    at_node: list[str | None] = field(default_factory=list)
 
     @property
     def fingerprint(self) -> str:
@@ -187,31 +189,38 @@ class Transducer:
         self.agree_memo[x, y] = out
         return out
 
-    def _root(self) -> dict:
-        """The trie of pieces: a node has a child for each character, and its piece under the empty string."""
-        if not self.trie:
-            for piece in self.cost:
-                node = self.trie
-                for c in piece:
-                    node = node.setdefault(c, {})
-                node[""] = piece
-        return self.trie
+    def _grow_trie(self) -> None:
+        self.at_node = [None]
+        for piece in self.cost:
+            node = 0
+            for c in piece:
+                key = node << 21 | ord(c)
+                node = self.trie.setdefault(key, len(self.at_node))
+                if node == len(self.at_node):
+                    self.at_node.append(None)
+            self.at_node[node] = piece
 
     def arcs(self, state: str, text: str, at: int) -> Iterator[tuple[str, str, float]]:
         """Arcs that read ``text`` from ``at`` on: characters read, next state, weight."""
-        node, cost, bpe = self._root(), self.cost, self.bpe
-        single = False
+        if not self.at_node:
+            self._grow_trie()
+        trie, at_node, cost, bpe, memo = self.trie.get, self.at_node, self.cost, self.bpe, self.agree_memo
+        node, single = 0, False
         for k in range(at, len(text)):
-            node = node.get(text[k])
+            node = trie(node << 21 | ord(text[k]))
             if node is None:
                 break
-            piece = node.get("")
+            piece = at_node[node]
             if piece is not None:
                 single |= k == at
                 if not bpe:
                     yield piece, "", cost[piece]
-                elif not state or self.agree(state, piece):
+                elif not state:
                     yield piece, piece, 0.0
+                else:
+                    agreed = memo.get((state, piece))
+                    if agreed or (agreed is None and self.agree(state, piece)):
+                        yield piece, piece, 0.0
         if not single:
             yield text[at], "", self.unknown_cost
 
