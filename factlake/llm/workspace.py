@@ -13,7 +13,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 PACKAGE_ROOT = Path(__file__).resolve().parents[2]
 
@@ -59,6 +60,30 @@ def drop_stored(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Files whose numbers may be broadcast (a path each); rows of more files are numbered by writing them once.
+BROADCAST_FILES = 50_000
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: a number of each row's own that stays the same however often the frame is computed.
+
+    Rows of a plain scan are numbered by their file and their place in it, from
+    the files' metadata. Rows of any other frame have no such place; they are
+    written with their numbers and read back.
+    """
+    spark = docs.sparkSession
+    plain = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    if plain and "_metadata" not in docs.columns:
+        at = docs.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+        files = stored(at, "files")
+        if files.count() <= BROADCAST_FILES:
+            ahead = F.sum("n").over(Window.orderBy("path")) - F.col("n")  # one row per file
+            first = F.broadcast(files.select(F.col("path").alias(f"{name}_path"), ahead.alias(f"{name}_first")))
+            rows = docs.select("*", F.col("_metadata.file_path").alias(f"{name}_path"), F.col("_metadata.row_index").alias(f"{name}_at"))
+            return rows.join(first, f"{name}_path").select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(f"{name}_first") + F.col(f"{name}_at")).alias(name))
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 _shipped: set[str] = set()
 
 

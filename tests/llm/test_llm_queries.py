@@ -104,6 +104,21 @@ def test_stages_of_nothing_and_with_clashing_columns(spark):
         assert n if table is docs else n == 0
 
 
+def test_rows_of_files_are_numbered_in_place(spark, tmp_path):
+    from factlake.llm.workspace import numbered
+
+    rows = spark.range(1000).selectExpr("id % 7 as doc_id", "cast(id as string) as text", "1 as _at")
+    rows.repartition(6).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    for frame in (docs, docs.filter("doc_id < 5"), rows):
+        got = numbered(frame, "r")
+        assert got.columns == [*frame.columns, "r"]
+        seen = {x["text"]: x["r"] for x in got.collect()}
+        assert len(set(seen.values())) == len(seen) == frame.count()
+        assert seen == {x["text"]: x["r"] for x in got.coalesce(1).filter("r >= 0").collect()}
+    assert numbered(docs.filter("false"), "r").count() == 0
+
+
 def test_pipeline_as_brute_force(spark):
     """Every stage over the whole driver table against plain Python, from the rows that the stage before kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
