@@ -20,15 +20,15 @@ from pyspark.sql import functions as F
 
 from factlake.llm import exact_dedup, langid, minhash, mixing, sentencepiece_fst
 from factlake.llm.queries import tokenizer_path
-from factlake.llm.workspace import stored
+from factlake.llm.workspace import drop_stored, numbered, stored
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number each, written so that it stays the same, and the number's column."""
+    """The rows with a lasting number each, and the number's column."""
     name = "row_of_stage"
-    while name in {c.lower() for c in docs.columns}:
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
-    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    return numbered(docs, name), name
 
 
 def _without(docs: DataFrame, row: str, decided: DataFrame, first: DataFrame) -> DataFrame:
@@ -87,5 +87,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if name != STAGES[0][0]:
+            drop_stored(before)
     return STAGES[-1][1](spark, docs, sf_dir)
