@@ -17,6 +17,18 @@ DATE_TOLERANCE_DAYS = 7
 ANNUAL_FORMS = ("10-K", "10-K/A", "20-F", "20-F/A")
 QUARTERLY_FORMS = ("10-Q", "10-Q/A")
 SHORTEST_YEAR, LONGEST_PERIOD_DAYS, YEARS_AHEAD = 1990, 548, 2
+QUARTERLY_WORDS = ("three months", "3 months", "three-months", "quarter", "quarterly", "q1", "q2", "q3", "q4")
+CUMULATIVE_WORDS = (
+    "six months", "6 months", "six-months", "nine months", "9 months", "nine-months", "twelve months", "12 months", "twelve-months",
+    "year to date", "ytd", "cumulative",
+)
+ANNUAL_WORDS = ("twelve months", "12 months", "twelve-months", "year ended", "annual", "yearly")
+FOREIGN_ANNUAL_FORMS = ("20-F", "20-F/A")
+FINANCIAL_FORMS = ("10-K", "10-Q", "20-F", "20-F/A")
+CONVENTION_CONCEPTS = (
+    "Revenues", "SalesRevenueNet", "RevenueFromContractWithCustomerExcludingAssessedTax", "GrossProfit", "OperatingIncomeLoss",
+    "NetIncomeLoss", "Assets",
+)
 PERIOD_TYPES = {
     "annual": ("annual", "annually", "yearly", "year"),
     "quarterly": ("quarterly", "quarter", "q1", "q2", "q3", "q4"),
@@ -87,17 +99,77 @@ def period_type(text: Column) -> Column:
     return out.otherwise(low)
 
 
-def period_class(text: Column) -> Column:
-    """quarterly, cumulative, annual or other, by the words of a column heading."""
+def _mentions(text: Column, words: tuple[str, ...]) -> Column:
     low = F.lower(text)
+    out = F.lit(False)
+    for w in words:
+        out = out | low.contains(w)
+    return F.coalesce(out, F.lit(False))
+
+
+def is_quarterly_heading(text: Column) -> Column:
+    return _mentions(text, QUARTERLY_WORDS)
+
+
+def is_cumulative_heading(text: Column) -> Column:
+    return _mentions(text, CUMULATIVE_WORDS)
+
+
+def is_annual_heading(text: Column) -> Column:
+    return _mentions(text, ANNUAL_WORDS)
+
+
+def cumulative_penalty(text: Column) -> Column:
+    """How bad a heading is for a quarter: nine months are worse than six, a year is worst."""
     return (
-        F.when(low.rlike(r"three months|quarter|\bq[1-4]\b|3 months"), F.lit("quarterly"))
-        .when(low.rlike(r"six months|nine months|year to date|ytd|cumulative|6 months|9 months"), F.lit("cumulative"))
-        .when(low.rlike(r"twelve months|annual|year ended|fiscal year|12 months"), F.lit("annual"))
-        .otherwise(F.lit("other"))
+        F.when(_mentions(text, ("six months", "6 months")), 75)
+        .when(_mentions(text, ("nine months", "9 months")), 100)
+        .when(_mentions(text, ("twelve months", "12 months", "year")), 150)
+        .otherwise(50)
     )
 
 
+def period_class(text: Column) -> Column:
+    """quarterly, cumulative, annual or other, by the words of a column heading."""
+    return F.when(is_quarterly_heading(text), "quarterly").when(is_annual_heading(text), "annual").when(is_cumulative_heading(text), "cumulative").otherwise("other")
+
+
+def period_choice(heading: Column, form: Column) -> Column:
+    """struct(valid, reason): whether a column heading suits a form."""
+    quarterly, cumulative, annual = is_quarterly_heading(heading), is_cumulative_heading(heading), is_annual_heading(heading)
+    reason = (
+        F.when(F.coalesce(heading, F.lit("")) == "", "none")
+        .when((form == "10-Q") & cumulative & ~quarterly, "cumulative")
+        .when((form == "10-Q") & ~quarterly, "not quarterly")
+        .when(form.isin(*ANNUAL_FORMS) & quarterly & ~annual, "quarterly")
+    )
+    return F.struct(reason.isNull().alias("valid"), F.coalesce(reason, F.lit("ok")).alias("reason"))
+
+
+def is_primary_period(period: Column, form: Column, as_of: Column) -> Column:
+    """Whether a period is a current one: months of a range by the form, an instant of the last three years before ``as_of``."""
+    start, end = period_start(period), period_end(period)
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+    quarter, year = months.between(2.5, 4.0), months.between(11.0, 13.0)
+    length = F.when(form == "10-Q", quarter).when(F.coalesce(form.isin(*ANNUAL_FORMS), F.lit(False)), year).otherwise(quarter | year)
+    instant = end >= F.date_sub(as_of, 3 * 365)
+    return F.coalesce(F.when(period.contains(" to "), length).otherwise(instant), F.lit(False))
+
+
+def in_years(form: Column, filing_date: Column, report_date: Column, code: Column, first: int, last: int | None = None) -> Column:
+    """Whether a filing belongs to a range of years: its filing year or its fiscal year may satisfy either bound.
+
+    Only financial forms; a foreign annual form needs a report date that can be read.
+    """
+    filed, reported = F.year(lenient_date(filing_date)), lenient_date(report_date)
+    fiscal = fiscal_year_of(reported, code)
+    known = form.isin(*FINANCIAL_FORMS) & (~form.isin(*FOREIGN_ANNUAL_FORMS) | reported.isNotNull()) & filed.isNotNull()
+    out = known & ((filed >= first) | F.coalesce(fiscal >= first, F.lit(False)))
+    if last is not None:
+        out = out & ((filed <= last) | F.coalesce(fiscal <= last, F.lit(False)))
+    return F.coalesce(out, F.lit(False))
+
+
 def valid_dates(start: Column, end: Column, as_of: Column) -> Column:
     """Years in range, start before end, at most 548 days; ``as_of`` stands for today."""
     in_range = (F.year(end) >= SHORTEST_YEAR) & (F.year(end) <= F.year(as_of) + YEARS_AHEAD)

@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 STOP_WORDS = ("and", "the", "for", "from", "with", "net", "total", "other", "of", "in")
-LABEL_TAGS = ("Member", "Domain", "Axis", "Abstract", "Line Items", "Table", "Roll Forward", "Extensible List")
-MEMBER_TAGS = ("Member", "Domain")
-GENERIC_BASES = ("reportable", "operating", "business", "all", "other")
+LABEL_TAGS = (
+    "member", "axis", "domain", "line items", "line item", "table", "abstract", "text block", "policy text block", "deprecated", "roll up",
+    "roll down", "roll forward", "roll forward rules", "details", "hierarchy", "alternative label", "preferred label", "documentation",
+    "calculation", "presentation", "definition",
+)
+MEMBER_TAGS = ("member", "domain")
+GENERIC_BASES = (
+    "operating", "reportable", "all", "other", "total", "combined", "business", "geographic", "geographical", "product", "products",
+    "service", "services", "customer", "customers", "industry", "consolidated", "segment",
+)
+SAFE_CURRENCY = "USD"
 WRAPPER_AXES = ("explicitmember", "typedmember", "dimension", "axis")
 USD_NAMES = ("USD", "US$", "U.S. DOLLAR", "U.S. DOLLARS", "US DOLLAR", "US DOLLARS", "DOLLARS", "ISO4217:USD")
 SHARE_NAMES = ("SHARES", "SHARE", "XBRLI:SHARES")
@@ -45,6 +53,11 @@ def plain_unit(unit: Column) -> Column:
     return F.upper(F.element_at(F.split(F.trim(unit), ":"), -1))
 
 
+def is_usd_safe(currency: Column) -> Column:
+    """Only the exact text USD; NULL isn't."""
+    return F.coalesce(currency == SAFE_CURRENCY, F.lit(False))
+
+
 def local_name(concept: Column) -> Column:
     return F.element_at(F.split(concept, ":"), -1)
 
@@ -65,16 +78,15 @@ def concept_tokens(concept: Column) -> Column:
 
 
 def clean_label(label: Column) -> Column:
-    """White space collapsed and one trailing [Tag] dropped; after a member tag also a trailing Segment(s).
+    """White space collapsed and one trailing [tag] of the known ones dropped; after a member tag also a trailing Segment(s).
 
-    The base of a generic name ("Reportable Segment") stays whole; the result is never empty.
+    "Segment" stays where only a generic word would be left ("Operating Segments"); the result is never empty.
     """
-    flat = F.trim(F.regexp_replace(label, r"\s+", " "))
-    tags = "|".join(LABEL_TAGS)
-    base = F.trim(F.regexp_replace(flat, rf"(?i)\s*\[({tags})\]$", ""))
-    was_member = flat.rlike(rf"(?i)\[({'|'.join(MEMBER_TAGS)})\]$")
-    short = F.trim(F.regexp_replace(base, r"(?i)\s+Segments?$", ""))
-    out = F.when(was_member & ~F.lower(short).isin(*GENERIC_BASES), short).otherwise(base)
+    flat = F.trim(F.regexp_replace(label, r"(?U)\s+", " "))
+    tag = F.lower(F.trim(F.regexp_extract(flat, r"\[([^\[\]]*)\]$", 1)))
+    base = F.when(tag.isin(*LABEL_TAGS), F.trim(F.regexp_replace(flat, r"\s*\[[^\[\]]*\]$", ""))).otherwise(flat)
+    short = F.trim(F.regexp_extract(base, r"(?i)^(.*?)[\s,]+segments?$", 1))
+    out = F.when(tag.isin(*MEMBER_TAGS) & (short != "") & ~F.lower(short).isin(*GENERIC_BASES), short).otherwise(base)
     return F.when(out == "", flat).otherwise(out)
 
 
@@ -145,3 +157,8 @@ def parent_anchor(parent_id: Column, concept_id: Column) -> Column:
 def same_parent(left_id: Column, left_name: Column, right_id: Column, right_name: Column) -> Column:
     """By id where both sides have one, else by name."""
     return F.when(left_id.isNotNull() & right_id.isNotNull(), left_id == right_id).otherwise(left_name.eqNullSafe(right_name))
+
+
+def is_dimensional(parent_id: Column, parent_concept: Column) -> Column:
+    """A row under a parent, whether it is named by id or by concept."""
+    return parent_id.isNotNull() | (F.coalesce(parent_concept, F.lit("")) != "")

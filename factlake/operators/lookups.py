@@ -116,3 +116,17 @@ def by_priority(*tables: DataFrame, keys: list[str]) -> DataFrame:
 def upper_median(values: Column) -> Column:
     """Middle element of a sorted array, the upper of two."""
     return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
+
+
+def concept_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds label: of the local name, with or without the us-gaap_ prefix; the concept itself where none is known.
+
+    ``labels`` (concept, label) is a taxonomy, so its names are joined by equality; all tries are one join.
+    """
+    name = F.trim(F.element_at(F.split("concept", ":"), -1))
+    bare = F.regexp_replace(name, "us-gaap_", "")
+    other = F.when(name.startswith("us-gaap_"), bare).otherwise(F.concat(F.lit("us-gaap_"), name))
+    asked = rows.select("concept").distinct()
+    tries = asked.select("concept", F.explode(F.array(F.struct(F.lit(0).alias("p"), name.alias("n")), F.struct(F.lit(1).alias("p"), other.alias("n")))).alias("t")).select("concept", "t.p", "t.n")
+    found = tries.join(labels.select(F.col("concept").alias("n"), "label"), "n").groupBy("concept").agg(F.min(F.struct("p", "label"))["label"].alias("_l"))
+    return rows.join(found, "concept", "left").withColumn("label", F.coalesce("_l", "concept")).drop("_l")

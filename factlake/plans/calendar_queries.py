@@ -18,7 +18,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {WITH_CALENDAR}, y AS (SELECT *, {_YEAR} AS fiscal_year FROM k) SELECT o_orderkey, fiscal_year::BIGINT AS fiscal_year, ({_QUARTER})::BIGINT AS fiscal_quarter FROM y")
 def fiscal_year_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C01, C02, C03, C04, C05, C06, C07"""
+    """C01, C02, C03, C04, C05, C06"""
     o = _orders(spark, sf_dir)
     year = P.fiscal_year_of(F.col("d"), F.col("code"), F.col("convention"))
     quarter = P.fiscal_quarter_of(F.col("d"), F.col("code"), F.col("convention"))
@@ -35,7 +35,7 @@ _START_YEAR, _ = fiscal_sql("d", "code", "'start'")
 SELECT o_custkey, count(*) FILTER (e) AS ends, count(*) FILTER (s) AS starts,
   CASE WHEN count(*) FILTER (e) > count(*) FILTER (s) THEN 'end' WHEN count(*) FILTER (e) < count(*) FILTER (s) THEN 'start' END AS convention FROM v GROUP BY o_custkey""")
 def convention_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C08, C09, C10"""
+    """C08"""
     o = _orders(spark, sf_dir)
     last = F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.col("d").desc(), F.col("o_orderkey").desc()))
     labelled = F.when(F.col("o_custkey") % 3 == 0, F.year("d") - 1).otherwise(F.year("d"))
@@ -49,7 +49,7 @@ def convention_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, (e - s)::BIGINT AS days, abs(months - 3.0) <= 0.35 AS quarterly, abs(months - 12.0) <= 1.0 AS annual,
   abs(e - (s + 91)) <= 7 AND abs(months - 3.0) <= 0.35 AS matches, e > s AND e - s <= 548 AND year(e) BETWEEN 1990 AND 2004 AS valid FROM m""")
 def duration_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B03, B27, C16, C17, D02, D05"""
+    """B03, B27, C16"""
     lines, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     s, e = F.to_date("o_orderdate"), F.to_date("l_shipdate")
     months = P.months_between_days(s, e)
@@ -75,7 +75,7 @@ SELECT o_orderkey, period,
   (CASE o_orderkey % 4 WHEN 2 THEN last_day(make_date(substr(period, 1, 4)::INT, 3 * substr(period, 7, 1)::INT, 1)) WHEN 3 THEN make_date(period::INT, 12, 31) ELSE try_cast(substr(period, 1, 10) AS DATE) END)::VARCHAR AS orderable
 FROM p""")
 def period_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B01, B02, B04, B05, B06, B07, B08"""
+    """B01, B04, B05, B06, B07, B08"""
     day, year = F.to_date("o_orderdate"), F.year("o_orderdate").cast("string")
     k = F.col("o_orderkey") % 4
     text = F.when(k == 0, F.concat_ws(" to ", day.cast("string"), F.date_add(day, 91).cast("string"))).when(k == 1, F.concat(day.cast("string"), F.lit(" (Q1)")))

@@ -29,20 +29,20 @@ def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_NODES} SELECT id, path, level::BIGINT AS level FROM p")
 def tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E05, E06, E08, E09, H11"""
+    """E05, E08, H11"""
     return hierarchy.tree_paths(_nodes(spark, sf_dir), []).select("id", "path", F.col("level").cast("bigint").alias("level"))
 
 
 @query(f"""WITH RECURSIVE {_NODES} SELECT count(*) AS nodes, count(*) FILTER (level = 0) AS roots, count(*) FILTER (NOT EXISTS (SELECT 1 FROM p c WHERE c.path LIKE p.path || '.%')) AS leaves, max(level)::BIGINT AS deepest, substr(path, 1, 3) AS region FROM p GROUP BY substr(path, 1, 3)""")
 def tree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G17, E18"""
+    """G17"""
     rows = hierarchy.tree_paths(_nodes(spark, sf_dir), []).withColumn("region", F.substring("path", 1, 3))
     return hierarchy.tree_stats(rows, ["region"]).withColumn("deepest", F.col("deepest").cast("bigint"))
 
 
 @query("""WITH r AS (SELECT n_nationkey::BIGINT AS n_nationkey, n_regionkey::BIGINT AS n_regionkey, row_number() OVER (PARTITION BY n_nationkey // 30 ORDER BY n_name, n_nationkey) - 1 AS rank FROM nation) SELECT *, chr((97 + rank % 26)::INT) AS order_key FROM r""")
 def order_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H14, H15"""
+    """H14"""
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), F.col("n_regionkey").cast("bigint").alias("n_regionkey"), "n_name").withColumn("g", F.floor(F.col("n_nationkey") / 30))
     out = hierarchy.order_rank(n, ["g"], [F.col("n_name"), F.col("n_nationkey")])
     return out.select("n_nationkey", "n_regionkey", F.col("rank").cast("bigint").alias("rank"), "order_key")

@@ -28,7 +28,7 @@ c AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY p_size, concept, label ORDER BY p, id) AS n FROM c)
 SELECT w.p_size::BIGINT AS p_size, w.concept, w.label, r.id, r.how FROM w LEFT JOIN r ON r.n = 1 AND r.p_size = w.p_size AND r.concept = w.concept AND r.label = w.label""")
 def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F02, F08, F10"""
+    """F02"""
     p, k, n = table(spark, sf_dir, "part"), F.col("p_partkey"), len(_TAGS)
     tags = F.array(*map(F.lit, _TAGS))
     wanted = p.filter(k % 2 == 0).select(F.col("p_size").cast("bigint").alias("p_size"), F.element_at(tags, (k % n + 1).cast("int")).alias("concept"), F.col("p_type").alias("label")).distinct()
@@ -55,7 +55,7 @@ def orphan_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {ORDER_FACTS}, s AS (SELECT DISTINCT cik, end_date, concept FROM o), d AS (SELECT DISTINCT cik, end_date, concept FROM o WHERE fiscal_year < 1998 OR quarter = 2)
 SELECT cik, end_date::VARCHAR AS end_date, concept FROM s ANTI JOIN d USING (cik, end_date, concept)""")
 def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F13, G03, N02, N03, K20"""
+    """F13, G03, K20"""
     o = order_facts(spark, sf_dir)
     source = o.select("cik", "end_date", "concept").distinct()
     out = lookups.unprocessed(source, o.filter("fiscal_year < 1998"), o.filter("quarter = 2"), ["cik", "end_date", "concept"])
@@ -79,14 +79,14 @@ def processing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ORDER_FACTS}, h AS (SELECT cik, fiscal_year, list_distinct(list(concept)) AS k FROM o GROUP BY ALL) SELECT cik, fiscal_year FROM h WHERE list_has_all(k, ['1-URGENT', '2-HIGH', '5-LOW'])""")
 def complete_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F14, D23"""
+    """F14"""
     return lookups.complete_filings(order_facts(spark, sf_dir), ["cik", "fiscal_year"], "concept", ("1-URGENT", "2-HIGH", "5-LOW"))
 
 
 @query(f"""WITH {ORDER_FACTS}, r AS (SELECT cik, fiscal_year, quarter, CASE WHEN value % 3 <> 0 THEN accession END AS accession, value FROM o), s AS (SELECT cik, fiscal_year, quarter, min(accession) AS f FROM o GROUP BY ALL)
 SELECT cik, fiscal_year, quarter, coalesce(accession, f) AS accession, value FROM r JOIN s USING (cik, fiscal_year, quarter)""")
 def accession_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F18, F01"""
+    """F18"""
     o = order_facts(spark, sf_dir).select("cik", "fiscal_year", "quarter", "accession", "value")
     rows = o.withColumn("accession", F.when(F.col("value") % 3 != 0, F.col("accession")))
     return lookups.backfilled(rows, o, ["cik", "fiscal_year", "quarter"], "accession")
@@ -113,7 +113,7 @@ SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, r
   + CASE WHEN period = '1998-06-01' THEN 0.2 ELSE 0.0 END + CASE WHEN dimensions = 'F' THEN 0.1 ELSE 0.0 END, 2)::DOUBLE AS score FROM s WHERE round(CASE WHEN concept = 'A' THEN 0.4 ELSE 0.0 END + CASE WHEN least(value, 2500000) / greatest(value, 2500000) >= 0.99 THEN 0.3 WHEN least(value, 2500000) / greatest(value, 2500000) >= 0.9 THEN 0.1 ELSE 0.0 END
   + CASE WHEN period = '1998-06-01' THEN 0.2 ELSE 0.0 END + CASE WHEN dimensions = 'F' THEN 0.1 ELSE 0.0 END, 2) >= 0.6""")
 def similar_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F19, G16"""
+    """F19"""
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey", cents("l_extendedprice").alias("value"), F.to_date("l_shipdate").cast("string").alias("period"), F.col("l_returnflag").alias("concept"), F.col("l_linestatus").alias("dimensions"),
     )
@@ -162,18 +162,9 @@ def latest_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.at_latest(e, ["user_id"], "day").withColumn("day", F.col("day").cast("string"))
 
 
-@query("""SELECT p_partkey, p_partkey % 5 IN (0, 1) OR p_partkey % 7 = 0 AS excluded FROM part""")
-def context_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D07, D09, D10, D18"""
-    k = F.col("p_partkey")
-    member = F.when(k % 5 == 0, "us-gaap:RestatementMember").when(k % 5 == 1, "co:ProjectedSalesMember").when(k % 5 == 2, "us-gaap:ForeignExchangeMember").otherwise("co:WidgetMember")
-    axis = F.when(k % 7 == 0, "srt:StatementScenarioAxis").otherwise("srt:ProductOrServiceAxis")
-    return table(spark, sf_dir, "part").select("p_partkey", select.excluded_context(F.create_map(axis, member)).alias("excluded"))
-
-
 @query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2026 WHEN event_id % 3 = 1 THEN 2025 ELSE 2024 END > 2025 AS future, abs(ts::DATE - DATE '2024-01-15') <= 2 OR event_id % 10 = 0 AS near FROM events""")
 def future_period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D11, D12, D13, D03"""
+    """D11, D12"""
     k = F.col("event_id")
     words = F.concat(F.lit("Year ended 2024 against "), F.when(k % 3 == 0, "2026").when(k % 3 == 1, "2025").otherwise("2024"))
     end = F.when(k % 10 != 0, F.to_date("ts"))
@@ -182,7 +173,7 @@ def future_period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ORDER_FACTS}, f AS (SELECT cik, accession, fiscal_year, quarter, CASE WHEN quarter = 4 THEN '10-K' ELSE '10-Q' END AS form, end_date FROM o) SELECT cik, accession, form, row_number() OVER (PARTITION BY cik ORDER BY fiscal_year DESC, CASE WHEN form = '10-K' THEN 4 ELSE quarter END, end_date, accession) AS place FROM f WHERE fiscal_year = 1997 AND quarter IN (2)""")
 def filings_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D20, H17, A02, A03"""
+    """D20, H17"""
     f = order_facts(spark, sf_dir).withColumn("form", F.when(F.col("quarter") == 4, "10-K").otherwise("10-Q"))
     rank = F.when(F.col("form") == "10-K", 4).otherwise(F.col("quarter"))
     w = Window.partitionBy("cik").orderBy(F.col("fiscal_year").desc(), rank, "end_date", "accession")
@@ -193,7 +184,7 @@ def filings_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT *, CASE WHEN months BETWEEN 2.5 AND 4.0 THEN 0 WHEN months BETWEEN 2.3 AND 4.2 THEN 1 ELSE 2 END AS tier FROM m), x AS (SELECT *, min(tier) OVER (PARTITION BY l_orderkey) AS best FROM t),
 y AS (SELECT *, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY e DESC, e - s) AS r FROM x WHERE tier = best) SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, e::VARCHAR AS end_date FROM y WHERE best = 2 OR r = 1""")
 def primary_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D02, D04, D05, D15, D16"""
+    """D02"""
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     f = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), F.to_date("o_orderdate").alias("s"), F.to_date("l_shipdate").alias("e"))
     out = select.latest_period_group(f, ["l_orderkey"], "s", "e", F.lit("10-Q"))
@@ -202,7 +193,7 @@ def primary_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_orderkey, l_returnflag, l_linestatus, min(l_shipdate)::DATE::VARCHAR AS first_date, count(*) AS n FROM lineitem WHERE l_discount <> 0 GROUP BY ALL""")
 def clean_and_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D08, D14, D17"""
+    """D08, D14"""
     li = table(spark, sf_dir, "lineitem").withColumn("dims", F.create_map(F.lit("a"), F.col("l_linestatus")))
     kept = select.clean_facts(li, "l_discount", "dims")
     n = kept.groupBy("l_orderkey", "l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))

@@ -16,7 +16,7 @@ SELECT coalesce(b.cik, s.cik) AS cik, coalesce(b.concept, s.concept) AS concept,
   CASE WHEN abs(b.value - s.value) > greatest(abs(b.value) * 1e-6, 1) THEN s.value END AS corrected_from, CASE WHEN s.cik IS NULL THEN 'insert' WHEN b.cik IS NOT NULL THEN 'update' ELSE 'keep' END AS action
 FROM s FULL JOIN b ON s.cik = b.cik AND s.concept = b.concept AND s.fiscal_year = b.fiscal_year AND s.quarter IS NOT DISTINCT FROM b.quarter""")
 def value_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K01, K02, K06, A24"""
+    """K01, K06"""
     q = quarter_sums(spark, sf_dir).withColumns({"bump": F.when(F.col("quarter") % 2 == 0, F.col("value") + 1000).otherwise(F.col("value")), "quarter": F.when(~F.col("concept").startswith("5"), F.col("quarter"))})
     keys = ["cik", "concept", "fiscal_year", "quarter"]
     stored = q.filter("fiscal_year <= 1998").groupBy(*keys).agg(F.sum("value").alias("value"))
@@ -44,7 +44,7 @@ def _promoted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"WITH {_PROMOTED} SELECT cik, winner AS concept, fiscal_year, quarter, value FROM r WHERE n = 1")
 def promote_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K08, K09, J21"""
+    """K08"""
     return _promoted(spark, sf_dir)[0]
 
 
@@ -56,14 +56,14 @@ def promote_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, event_type, ts::DATE::VARCHAR AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G06, G08"""
+    """G06"""
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
     return merge.duplicate_groups(e, ["user_id", "event_type", "day"])
 
 
 @query("SELECT user_id, event_type, max(ts)::VARCHAR AS newest, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
 def duplicate_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G07, K10"""
+    """G07"""
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
     out = merge.newest_of_duplicates(e, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
     return out.select("user_id", "event_type", F.col("ts").cast("string").alias("newest"), "event_id")
@@ -71,7 +71,7 @@ def duplicate_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH s AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderkey % 2 = 0) SELECT c_custkey AS k, c_name AS name FROM customer ANTI JOIN s ON s.k = c_custkey""")
 def company_copy_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K11, K20, K04"""
+    """K11, K20"""
     batch = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
     stored = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("k"))
     return merge.insert_missing(stored, batch, ["k"])
@@ -80,7 +80,7 @@ def company_copy_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {ORDER_FACTS}, s AS (SELECT cik, fiscal_year, quarter, accession, value FROM o), b AS (SELECT cik, fiscal_year, quarter, accession, value * 2 AS value FROM s WHERE fiscal_year = 1999 AND quarter = 1)
 SELECT s.* FROM s ANTI JOIN b USING (cik, fiscal_year, quarter) UNION ALL SELECT * FROM b""")
 def reload_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K14, K19"""
+    """K14"""
     s = order_facts(spark, sf_dir).select("cik", "fiscal_year", "quarter", "accession", "value")
     b = s.filter("fiscal_year = 1999 and quarter = 1").withColumn("value", F.col("value") * 2)
     return merge.replace_scope(s, b, ["cik", "fiscal_year", "quarter"])
@@ -96,7 +96,7 @@ def prune_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH n AS (SELECT n_nationkey::BIGINT AS id, n_regionkey, CASE WHEN n_nationkey < 5 THEN '001' WHEN n_nationkey = 24 THEN '404.001' ELSE '001.' || lpad((n_nationkey)::VARCHAR, 3, '0') END AS path FROM nation), p AS (SELECT n_regionkey, path, min(id) AS parent_id FROM n GROUP BY ALL)
 SELECT id, n.path, parent_id FROM n LEFT JOIN p ON p.n_regionkey = n.n_regionkey AND p.path = CASE WHEN contains(n.path, '.') AND NOT regexp_matches(n.path, '(^|\\.)(404|555)(\\.|$)') THEN regexp_replace(n.path, '\\.[^.]*$', '') END""")
 def parent_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K16, K17, D19"""
+    """K16, D19"""
     k = F.col("n_nationkey")
     n = table(spark, sf_dir, "nation").select(k.cast("bigint").alias("id"), "n_regionkey", F.when(k < 5, "001").when(k == 24, "404.001").otherwise(F.concat(F.lit("001."), F.lpad(k.cast("string"), 3, "0"))).alias("path"))
     return merge.parent_links(n, ["n_regionkey"]).select("id", "path", "parent_id")
@@ -104,7 +104,7 @@ def parent_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey, c_name FROM customer WHERE c_custkey % 7 <> 0 AND c_acctbal >= 0""")
 def insert_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K05, K12"""
+    """K05"""
     from ..operators.guard import admitted
 
     k = F.col("c_custkey")

@@ -22,7 +22,7 @@ def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN -round(-c_acctbal, 0) ELSE round(c_acctbal, 0) END AS value, CASE c_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'shares' WHEN 2 THEN 'EUR' ELSE 'USD' END AS unit,
   CASE c_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'SHARES' WHEN 2 THEN 'EUR' ELSE NULL END AS plain_unit FROM customer""")
 def unit_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B11, B12, B14, B15, B16"""
+    """B11, B12, B14"""
     k = F.col("c_custkey") % 4
     unit = F.when(k == 0, "US$").when(k == 1, "xbrli:shares").when(k == 2, "eur")
     whole = F.round("c_acctbal", 0)
@@ -36,7 +36,7 @@ def unit_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, 'brand=' || lower(trim(p_brand)) || CASE WHEN l_linenumber % 2 = 0 THEN '|geographical=' || lower(trim(n_name)) ELSE '' END AS signature,
   lpad(o_custkey::VARCHAR, 10, '0') || '|10-Q|income|' || CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE l_shipdate::DATE::VARCHAR END || '|' || p_type AS row_key FROM j""")
 def dimension_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L01, L02, L03, L04, B21"""
+    """L01, L03, B21"""
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     f = line_facts(spark, sf_dir).join(s, F.col("l_suppkey") == s["s_suppkey"]).join(n, F.col("s_nationkey") == n["n_nationkey"])
     place = F.when(F.col("l_linenumber") % 2 == 0, F.col("n_name")).otherwise("")
@@ -74,7 +74,7 @@ _TAG_LIST = ", ".join(f"'{t}'" for t in _TAGS)
 @query(f"""WITH m(tag, canonical) AS (VALUES {_CLASS_ROWS}), p AS (SELECT p_partkey, [{_TAG_LIST}][p_partkey % {len(_TAGS)} + 1] AS concept FROM part)
 SELECT p_partkey, concept, coalesce(canonical, concept) AS canonical, split_part(concept, ':', 2) AS local FROM p LEFT JOIN m ON m.tag = p.concept""")
 def canonical_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F21, B17, B23"""
+    """F21, B17"""
     concept = F.element_at(F.array(*[F.lit(t) for t in _TAGS]), (F.col("p_partkey") % len(_TAGS) + 1).cast("int"))
     p = table(spark, sf_dir, "part").select("p_partkey", concept.alias("concept"))
     return C.with_canonical(p).withColumn("local", T.local_name(F.col("concept")))
@@ -83,7 +83,7 @@ def canonical_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT n_nationkey::BIGINT AS n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN 'product' WHEN n_nationkey % 5 = 1 THEN 'geographic' WHEN n_nationkey % 5 = 2 THEN 'business' WHEN n_nationkey % 5 = 3 THEN 'skip' ELSE 'custom' END AS segment_type,
   CASE WHEN n_nationkey % 5 = 0 THEN 'custom:ProductsAndServices' WHEN n_nationkey % 5 = 1 THEN 'custom:Geography' WHEN n_nationkey % 5 = 2 THEN 'custom:BusinessSegments' END AS header FROM nation""")
 def segment_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E12, E13, E14, E15, J19"""
+    """E13, J19"""
     k = F.col("n_nationkey") % 5
     axis = F.when(k == 0, "srt:ProductOrServiceAxis").when(k == 1, "srt:StatementGeographicalAxis").when(k == 2, "us-gaap:StatementBusinessSegmentsAxis").when(k == 3, "srt:ConsolidationItemsAxis").otherwise("co:OwnAxis")
     member = F.when(k == 3, "srt:EliminationsMember").otherwise(F.concat(F.lit("co:"), F.col("n_name"), F.lit("Member")))

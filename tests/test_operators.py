@@ -173,11 +173,32 @@ def test_sign_of_the_table_wins(spark):
     assert one(spark, signs.presented(F.lit(5), F.lit("x:ProceedsFromX"), F.lit("cash_flow"), F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit("negatedLabel"), F.lit(1))) == 5
 
 
-def test_context_filter_matches_whole_words(spark):
-    keep = F.create_map(F.lit("a:Axis"), F.lit("us-gaap:ForeignExchangeMember"))
-    drop = F.create_map(F.lit("a:Axis"), F.lit("co:AccountingChangeMember"))
-    assert one(spark, select.excluded_context(keep)) is False
-    assert one(spark, select.excluded_context(drop)) is True
+@pytest.mark.parametrize(
+    ("member", "label", "dropped"),
+    [
+        ("us-gaap:ForeignExchangeContractMember", "Foreign Exchange Contract", True), ("co:ForeignExchangeContractMember", "Foreign Exchange Contract", False), ("us-gaap:InterestRateContractMember", "x", True),
+        ("us-gaap:LifeInsuranceSegmentMember", "Life Insurance", False), ("co:AMember", "Change in Estimate", True), ("co:AMember", "Exchange rates", False), ("nflx:ReportableSegmentMember", "Reportable Segment", True),
+        ("srt:AllSegmentsMember", "All", True), ("srt:MaterialReconcilingItemsMember", "x", True), ("AccumulatedOtherComprehensiveIncomeMember", "x", True),
+    ],
+)
+def test_context_filter(spark, member, label, dropped):
+    details = F.create_map(F.lit("a"), F.struct(F.lit("srt:ProductOrServiceAxis").alias("axis_qname"), F.lit(member).alias("member_qname"), F.lit(label).alias("member_label")))
+    assert one(spark, select.excluded_fact(F.create_map(F.lit("srt:ProductOrServiceAxis"), F.lit(member)), details)) is dropped
+    assert len(select.EXCLUDED_MEMBERS) == 39
+
+
+@pytest.mark.parametrize(
+    ("label", "clean"),
+    [
+        ("Rest Of World [Member]", "Rest Of World"), ("Geographic Segment [Member]", "Geographic Segment"), ("Products Segment [Member]", "Products Segment"), ("Cloud Segment [Member]", "Cloud"), ("Operating Segments [Member]", "Operating Segments"),
+        ("Debt [Text Block]", "Debt"), ("Debt [Policy Text Block]", "Debt"), ("Debt [Line Item]", "Debt"), ("Debt [Roll Forward Rules]", "Debt"), ("[Member]", "[Member]"), ("Debt [Note]", "Debt [Note]"), ("  Two   words ", "Two words"), ("", ""), (None, None),
+    ],
+)
+def test_clean_label(spark, label, clean):
+    from factlake.functions.text import clean_label
+
+    assert one(spark, clean_label(F.lit(label).cast("string"))) == clean
+    assert one(spark, clean_label(clean_label(F.lit(label).cast("string")))) == clean
 
 
 def test_cascade(spark):
