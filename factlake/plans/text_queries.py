@@ -80,17 +80,6 @@ def canonical_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.with_canonical(p).withColumn("local", T.local_name(F.col("concept")))
 
 
-@query("""SELECT n_nationkey::BIGINT AS n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN 'product' WHEN n_nationkey % 5 = 1 THEN 'geographic' WHEN n_nationkey % 5 = 2 THEN 'business' WHEN n_nationkey % 5 = 3 THEN 'skip' ELSE 'custom' END AS segment_type,
-  CASE WHEN n_nationkey % 5 = 0 THEN 'custom:ProductsAndServices' WHEN n_nationkey % 5 = 1 THEN 'custom:Geography' WHEN n_nationkey % 5 = 2 THEN 'custom:BusinessSegments' END AS header FROM nation""")
-def segment_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E13, J19"""
-    k = F.col("n_nationkey") % 5
-    axis = F.when(k == 0, "srt:ProductOrServiceAxis").when(k == 1, "srt:StatementGeographicalAxis").when(k == 2, "us-gaap:StatementBusinessSegmentsAxis").when(k == 3, "srt:ConsolidationItemsAxis").otherwise("co:OwnAxis")
-    member = F.when(k == 3, "srt:EliminationsMember").otherwise(F.concat(F.lit("co:"), F.col("n_name"), F.lit("Member")))
-    kind = C.segment_type(F.create_map(axis, member))
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), kind.alias("segment_type"), C.segment_header(kind).alias("header"))
-
-
 @query(r"""SELECT n_nationkey::BIGINT AS n_nationkey, upper(substr(n_name, 1, 1)) || replace(lower(substr(n_name, 2)), '_', ' ') AS pretty, lower(n_name) AS member FROM nation""")
 def member_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B21, B22"""
