@@ -140,8 +140,9 @@ def fit_centroids(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
         rows = np.flatnonzero(labels == name)
         x = np.zeros((len(rows), size), np.float32)
         for i, r in enumerate(rows):
-            x[i, bags[r][0]] = bags[r][1]
-        return _unit(x * idf)
+            x[i, bags[r][0]] = bags[r][1] * idf[bags[r][0]]
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-12)
+        return x
 
     for k, name in enumerate(names):
         c = _cluster(rows_of(name), m)

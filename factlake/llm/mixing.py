@@ -105,7 +105,7 @@ def schedule(plan: DataFrame, block_words: int) -> DataFrame:
     need = F.when(F.col("source_size") > 0, passes * n_blocks + F.ceil(rest / block_words)).otherwise(0)
     plan = plan.select("source_idx", "source_size", goal.alias("goal"), n_blocks.alias("n_blocks"), need.cast("bigint").alias("need"))
     # One row per source, eight bytes of it in the closure: the size of the mix's description, not of its data.
-    needs = plan.orderBy("source_idx").select("need").toPandas()["need"].to_numpy(np.int64)
+    needs = plan.orderBy("source_idx").select("need").toArrow()["need"].to_numpy()
     total = int(needs.sum())
     if not total:
         upper = np.zeros(max(1, len(needs)), np.uint64)

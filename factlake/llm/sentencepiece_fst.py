@@ -61,7 +61,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
 #: Pairs of pieces whose agreement a worker remembers.
-MOST_PAIRS = 200_000
+MOST_PAIRS = 400_000
 _LETTER_SIGN = re.compile(r"[A-Za-z][!-/:-@\[-`{-~]")
 
 
@@ -200,29 +200,34 @@ class Transducer:
                     self.at_node.append(None)
             self.at_node[node] = piece
 
-    def arcs(self, state: str, text: str, at: int) -> Iterator[tuple[str, str, float]]:
-        """Arcs that read ``text`` from ``at`` on: characters read, next state, weight."""
+    def readable(self, text: str, at: int) -> list[str]:
+        """Pieces that ``text`` goes on with, shortest first."""
         if not self.at_node:
             self._grow_trie()
-        trie, at_node, cost, bpe, memo = self.trie.get, self.at_node, self.cost, self.bpe, self.agree_memo
-        node, single = 0, False
+        step, at_node, node, out = self.trie.get, self.at_node, 0, []
         for k in range(at, len(text)):
-            node = trie(node << 21 | ord(text[k]))
+            node = step(node << 21 | ord(text[k]))
             if node is None:
                 break
-            piece = at_node[node]
-            if piece is not None:
-                single |= k == at
-                if not bpe:
-                    yield piece, "", cost[piece]
-                elif not state:
-                    yield piece, piece, 0.0
-                else:
-                    agreed = memo.get((state, piece))
-                    if agreed or (agreed is None and self.agree(state, piece)):
-                        yield piece, piece, 0.0
-        if not single:
-            yield text[at], "", self.unknown_cost
+            if at_node[node] is not None:
+                out.append(at_node[node])
+        return out
+
+    def arcs(self, state: str, pieces: list[str], char: str) -> list[tuple[str, str, float]]:
+        """Arcs of a state where the string goes on with ``pieces`` (or only ``char``): characters read, next state, weight."""
+        if not self.bpe:
+            out = [(p, "", self.cost[p]) for p in pieces]
+        elif not state:
+            out = [(p, p, 0.0) for p in pieces]
+        else:
+            memo, out = self.agree_memo, []
+            for p in pieces:
+                agreed = memo.get((state, p))
+                if agreed or (agreed is None and self.agree(state, p)):
+                    out.append((p, p, 0.0))
+        if not pieces or len(pieces[0]) > 1:
+            out.append((char, "", self.unknown_cost))
+        return out
 
     def shortest(self, text: str) -> list[str]:
         """The characters read by each arc of the path of least weight.
@@ -233,8 +238,11 @@ class Transducer:
         best: list[dict[str, tuple]] = [{} for _ in range(len(text) + 1)]
         best[0][""] = (0.0, 0, "", "")
         for at in range(len(text)):
+            if not best[at]:
+                continue
+            pieces = self.readable(text, at)
             for state, reached in best[at].items():
-                for read, to, weight in self.arcs(state, text, at):
+                for read, to, weight in self.arcs(state, pieces, text[at]):
                     total, there = reached[0] + weight, best[at + len(read)]
                     if to not in there or total < there[to][0]:
                         there[to] = (total, at, state, read)
