@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import ast
 import operator
+from functools import cache
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 _OPS = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv, ast.USub: operator.neg, ast.UAdd: operator.pos}
-MOST_CHARS = 1000
 
 
 def value_of(text: str | None) -> float | None:
-    """The value, or None where the text is anything else (names, calls, powers, division by zero)."""
+    """The value, or None where the text is anything else (names, calls, powers, division by zero, nesting beyond what the parser takes)."""
 
     def walk(n: ast.AST) -> float:
         if isinstance(n, ast.Expression):
@@ -27,14 +27,24 @@ def value_of(text: str | None) -> float | None:
             return _OPS[type(n.op)](walk(n.operand))
         raise ValueError("not arithmetic")
 
-    if text is None or len(text) > MOST_CHARS:
+    if text is None:
         return None
     try:
         return float(walk(ast.parse(text.replace(",", "").strip(), mode="eval")))
-    except (ValueError, SyntaxError, ZeroDivisionError, OverflowError, RecursionError, TypeError):
+    except (ValueError, SyntaxError, ZeroDivisionError, OverflowError, RecursionError, MemoryError, TypeError):
         return None
 
 
-@F.pandas_udf(DoubleType())
-def evaluate(texts: pd.Series) -> pd.Series:
-    return texts.map(value_of).astype("float64")
+@cache
+def _evaluator():
+    import pandas as pd
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(value_of).astype("float64")
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, DoubleType())
+
+
+def evaluate(text: Column) -> Column:
+    return _evaluator()(text)

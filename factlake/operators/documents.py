@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:  # workers import it; a driver that runs other queries needn't
+    import pandas as pd
+
 # --- fixed values -----------------------------------------------------------
 BLOCK_TAGS = ("p", "div", "br", "tr", "li", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "ul", "ol", "nav", "footer", "title")
 SILENT_TAGS = ("script", "style")
@@ -66,6 +69,8 @@ def html_lines(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [(i, n, x) for i, h in zip(pdf[id_col], pdf[html_col], strict=True) for n, x in enumerate(text_lines(h))]
+        import pandas as pd
+
         return pd.DataFrame(rows, columns=[id_col, "line_no", "line"])
 
     return pages.select(id_col, html_col).mapInPandas(_parsed(run), f"`{id_col}` {kind}, line_no int, line string")
@@ -113,6 +118,8 @@ def html_tables(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         rows = []
         for i, h in zip(pdf[id_col], pdf[html_col], strict=True):
             p = _Tables()

@@ -1,19 +1,25 @@
 """Trees as edge tables: paths, levels, orders, placement.
 
 A path is the chain of three-digit sibling numbers from the root ("001.002").
-Depth is bounded by the statement's tree (a handful of levels), so a tree is
-walked level by level with joins, never in the driver.
+A tree is walked level by level with joins, never in the driver.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.landing import stored
+
+if TYPE_CHECKING:  # workers import it; a driver that runs other queries needn't
+    import pandas as pd
+
 # --- fixed values -----------------------------------------------------------
 SEGMENT_DIGITS = 3
-MOST_LEVELS = 40
+MOST_LETTERS = 14  # 26**14 is beyond 64 bits
 HIDDEN_PATH = "555"
 ACTIVITY_TOTALS = ("NetCashProvidedByUsedIn", "CashFlowsFromUsedIn")
 CASH_ROOTS = (
@@ -30,32 +36,51 @@ def sibling_numbers(nodes: DataFrame, keys: list[str]) -> DataFrame:
     return nodes.withColumn("sibling", F.row_number().over(w))
 
 
-def tree_paths(nodes: DataFrame, keys: list[str], levels: int = MOST_LEVELS) -> DataFrame:
-    """keys, id, path, level, chain: nodes (keys, id, parent, position) reached from the roots.
+def tree_paths(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, id, path, level: nodes (keys, id, parent, position) reached from the roots.
 
-    Siblings are numbered in order of position. A node on a cycle is never
-    reached. One join per level; it ends when a level is empty.
+    Siblings are numbered in order of position. One join per level, written to
+    the shared folder; it ends when a level is empty, however many rows a level
+    has and however deep the tree is. A node on a cycle is never reached.
     """
     numbered = sibling_numbers(nodes, keys).withColumn("segment", F.lpad(F.col("sibling").cast("string"), SEGMENT_DIGITS, "0")).select(*keys, "id", "parent", "segment")
-    spark = nodes.sparkSession
-    numbered.createOrReplaceTempView("_tree_nodes")
-    on = " AND ".join(f"n.{k} <=> t.{k}" for k in keys) or "true"
-    cols, own = "".join(f"n.{k}, " for k in keys), "".join(f"{k}, " for k in keys)
-    return spark.sql(f"""
-        WITH RECURSIVE t MAX RECURSION LEVEL {levels} AS (
-          SELECT {own} id, segment AS path, 0 AS level FROM _tree_nodes WHERE parent IS NULL
-          UNION ALL
-          SELECT {cols} n.id, concat(t.path, '.', n.segment), t.level + 1 FROM t JOIN _tree_nodes n ON n.parent = t.id AND {on}
-        ) SELECT * FROM t""")
-
-
-def parents_by_level(rows: DataFrame, keys: list[str], deepest: int) -> DataFrame:
-    """Adds parent_position: the last earlier row that is one level higher, for flat lists with levels."""
-    w = Window.partitionBy(*keys).orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    out = F.lit(None).cast("bigint")
-    for level in range(1, deepest + 1):
-        out = F.when(F.col("level") == level, F.last(F.when(F.col("level") == level - 1, F.col("position")), ignorenulls=True).over(w)).otherwise(out)
-    return rows.withColumn("parent_position", out)
+    numbered = stored(numbered, "tree-nodes")
+    at = stored(numbered.filter("parent is null").select(*keys, "id", F.col("segment").alias("path"), F.lit(0).alias("level")), "tree-level")
+    levels = [at]
+    on = [F.col(f"n.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    while not at.isEmpty():
+        below = numbered.alias("n").join(at.alias("t"), [F.col("n.parent") == F.col("t.id"), *on])
+        at = stored(below.select(*[F.col(f"n.{k}") for k in keys], "n.id", F.concat_ws(".", "t.path", "n.segment").alias("path"), (F.col("t.level") + 1).alias("level")), "tree-level")
+        levels.append(at)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def reading_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds reading_order from 1: the place of a path in the statement, numbers compared as numbers."""
+    parts = F.transform(F.split("path", r"\."), lambda x: x.cast("int"))
+    return rows.withColumn("reading_order", F.row_number().over(Window.partitionBy(*keys).orderBy(parts)))
+
+
+def parents_by_level(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds parent_position: the last earlier row that is one level higher, for flat lists with levels.
+
+    One statement's rows are gone through in order by one task, with the last
+    row of each level at hand; a statement has some hundred rows.
+    """
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
+        last: dict[int, int] = {}
+        up = []
+        pdf = pdf.sort_values("position")
+        for level, position in zip(pdf["level"], pdf["position"], strict=True):
+            up.append(last.get(level - 1))
+            last[level] = position
+        return pdf.assign(parent_position=pd.array(up, dtype="Int64"))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", parent_position bigint"
+    return rows.groupBy(*keys).applyInPandas(link, schema)
 
 
 def levelled(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,9 +95,34 @@ def order_rank(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 
 
 def letters(rank: Column) -> Column:
-    """Bijective base 26 for ranks up to 26 + 26**2 - 1."""
-    one = F.char(rank % 26 + 97)
-    return F.when(rank < 26, one).otherwise(F.concat(F.char(F.floor(rank / 26) - 1 + 97), one))
+    """Bijective base 26 (0 a, 25 z, 26 aa) of any rank from 0; NULL below."""
+    left, out = rank.cast("bigint") + 1, F.when(rank >= 0, F.lit(""))
+    for _ in range(MOST_LETTERS):
+        # Each step uses the one before once, so the expression stays small; a number that is used up stays at 0.
+        out = F.concat(F.when(left > 0, F.char(F.pmod(left - 1, F.lit(26)) + 97)).otherwise(""), out)
+        left = F.call_function("div", left - 1, F.lit(26))
+    return out
+
+
+def letters_rank(key: Column) -> Column:
+    """The rank of letters, -1 for anything else."""
+    low = F.lower(F.trim(key))
+    n = F.aggregate(F.split(low, ""), F.lit(0).cast("bigint"), lambda a, c: a * 26 + F.when(c == "", 0).otherwise(F.ascii(c) - 96))
+    return F.when(low.rlike("^[a-z]+$"), n - 1).otherwise(F.lit(-1).cast("bigint"))
+
+
+def key_between(left: Column, right: Column) -> Column:
+    """A text key strictly between two neighbours' keys, of which either may be missing."""
+    a, b = F.nullif(left, F.lit("")), F.nullif(right, F.lit(""))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))), lambda n: F.substring(a, 1, n) == F.substring(b, 1, n)))
+    low = F.when(same < F.length(a), F.ascii(F.substring(a, same + 1, F.lit(1)))).otherwise(96)
+    high = F.when(same < F.length(b), F.ascii(F.substring(b, same + 1, F.lit(1)))).otherwise(123)
+    middle = F.concat(F.substring(a, F.lit(1), same), F.char(F.floor((low + high) / 2)))
+    inside = lambda c: (a < c) & (c < b)
+    both = F.when((high - low > 1) & inside(middle), middle).when(inside(F.concat(a, F.lit("n"))), F.concat(a, F.lit("n"))).when(inside(F.concat(a, F.lit("m"))), F.concat(a, F.lit("m"))).otherwise(F.concat(a, F.lit("n")))
+    first = F.when((F.length(b) == 1) & (b > "a"), F.char(F.floor((96 + F.ascii(b)) / 2))).otherwise("0n")
+    last = F.when(letters_rank(a) >= 0, letters(letters_rank(a) + 1)).otherwise(F.concat(a, F.lit("n")))
+    return F.when(a.isNull() & b.isNull(), "a").when(a.isNull(), first).when(b.isNull(), last).otherwise(both)
 
 
 def between(left: Column, right: Column) -> Column:
@@ -91,7 +141,7 @@ def rerooted(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Drops a common leading "001." when every path has it and none is "001"."""
     w = Window.partitionBy(*keys)
     strip = F.min(F.col("path").startswith("001.").cast("int")).over(w) == 1
-    return rows.withColumn("_s", strip).withColumn("path", F.when(F.col("_s"), F.substring("path", 5, 10_000)).otherwise(F.col("path"))).drop("_s")
+    return rows.withColumn("_s", strip).withColumn("path", F.when(F.col("_s"), F.expr("substring(path, 5)")).otherwise(F.col("path"))).drop("_s")
 
 
 def _local(concept: Column) -> Column:

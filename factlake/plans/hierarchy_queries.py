@@ -55,7 +55,7 @@ def parents_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H12, H13"""
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.row_number().over(order).cast("bigint").alias("position"), (F.col("l_quantity").cast("int") % 3).cast("bigint").alias("level"))
-    return hierarchy.parents_by_level(hierarchy.levelled(rows, ["l_orderkey"]), ["l_orderkey"], 2)
+    return hierarchy.parents_by_level(hierarchy.levelled(rows, ["l_orderkey"]), ["l_orderkey"])
 
 
 @query("""WITH p AS (SELECT s_nationkey, lpad((s_suppkey % 50 + 1)::VARCHAR, 3, '0') || '.001' AS path FROM supplier UNION ALL SELECT s_nationkey, '404.002' FROM supplier)
@@ -95,25 +95,6 @@ def tree_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.placed(rows, ["g"]).select(F.col("id").cast("bigint").alias("id"), "g", "path")
 
 
-@query("""WITH c AS (SELECT c_custkey AS id, c_nationkey AS cik, CASE WHEN c_custkey % 9 = 0 THEN '404' ELSE lpad((c_custkey % 40 + 1)::VARCHAR, 3, '0') END AS path, c_mktsegment AS concept, CASE WHEN c_custkey % 10 = 0 THEN 'GONE' WHEN c_custkey % 3 = 0 THEN 'BUILDING' END AS parent FROM customer),
-f AS (
-  SELECT cik, 'polluted_or_missing_path' AS type, count(*) AS n FROM c WHERE path = '404' GROUP BY cik
-  UNION ALL SELECT cik, 'orphan_parent_concept', count(*) FROM c WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c p WHERE p.cik = c.cik AND p.concept = c.parent) GROUP BY cik
-  UNION ALL SELECT cik, 'duplicate_path', count(*) FROM (SELECT cik, path FROM c WHERE path <> '404' GROUP BY ALL HAVING count(*) > 1) GROUP BY cik
-  UNION ALL SELECT cik, 'ungrouped_members', count(*) FROM c WHERE parent IS NULL GROUP BY cik HAVING count(*) >= 3
-) SELECT cik::BIGINT AS cik, type, n FROM f""")
-def hierarchy_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J16"""
-    from ..operators.audit import hierarchy_findings
-
-    k = F.col("c_custkey")
-    rows = table(spark, sf_dir, "customer").select(
-        k.alias("id"), F.col("c_nationkey").cast("bigint").alias("cik"), F.when(k % 9 == 0, "404").otherwise(F.lpad((k % 40 + 1).cast("string"), 3, "0")).alias("path"),
-        F.col("c_mktsegment").alias("concept"), F.when(k % 10 == 0, "GONE").when(k % 3 == 0, "BUILDING").alias("parent"),
-    )
-    return hierarchy_findings(rows, ["cik"])
-
-
 #: One balance sheet and one cash-flow statement of a customer: kind, concept, position, parent of a calculation arc, expected section parent.
 _SECTIONS = [
     ("balancesheet", "us-gaap:Cash", 0, None, "us-gaap:Assets"), ("balancesheet", "us-gaap:Stock", 1, "us-gaap:Cash", "us-gaap:Cash"), ("balancesheet", "us-gaap:Assets", 2, None, None), ("balancesheet", "us-gaap:Debt", 3, None, "us-gaap:LiabilitiesAndStockholdersEquity"),
