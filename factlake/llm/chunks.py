@@ -13,9 +13,9 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-#: Chunks and ids that a Python worker remembers; when full, it keeps those and encodes others each time.
-MOST_CHUNKS = 500_000
-MOST_IDS = 4_000_000
+#: Chunks that a Python worker remembers, and ids for each on average; when full, it keeps those and encodes others each time.
+MOST_CHUNKS = 1_000_000
+IDS_PER_CHUNK = 6
 
 
 def _room(x: np.ndarray, n: int) -> np.ndarray:
@@ -25,8 +25,8 @@ def _room(x: np.ndarray, n: int) -> np.ndarray:
 class ChunkEncoder:
     """``encode``: list of chunks (bytes) -> the chunks in an order of its own, their flat ids, the ids of each chunk."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[list[bytes], np.ndarray, np.ndarray]], most_chunks: int = MOST_CHUNKS):
+        self.encode, self.most_chunks = encode, most_chunks
         self.seen: dict[bytes, int] = {}
         self.starts = np.zeros(1024, np.int32)
         self.ids = np.zeros(4096, np.int32)
@@ -46,7 +46,7 @@ class ChunkEncoder:
         self.starts[known + 1 : known + len(new) + 1] = n_ids + np.cumsum(counts)
         at = dict(zip(chunks, range(known, known + len(chunks)), strict=True))
         place[new] = [at[distinct[k]] for k in new.tolist()]
-        if known + len(chunks) <= MOST_CHUNKS and n_ids + len(ids) <= MOST_IDS:
+        if known + len(chunks) <= self.most_chunks and n_ids + len(ids) <= IDS_PER_CHUNK * self.most_chunks:
             self.seen.update(at)
         return place
 

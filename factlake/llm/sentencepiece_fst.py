@@ -62,6 +62,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
 #: Pairs of pieces whose agreement a worker remembers.
 MOST_PAIRS = 400_000
+#: Chunks it remembers.
+MOST_CHUNKS = 500_000
 _LETTER_SIGN = re.compile(r"[A-Za-z][!-/:-@\[-`{-~]")
 
 
@@ -340,7 +342,7 @@ def _encoder(t: Transducer, key: str) -> ChunkEncoder:
 
     if key not in _live:
         _live.clear()
-        _live[key] = ChunkEncoder(encode)
+        _live[key] = ChunkEncoder(encode, MOST_CHUNKS)
     return _live[key]
 
 

@@ -45,6 +45,8 @@ from .workspace import new_path, ship
 END_ID = 0
 #: Chunks that go to the library as one text.
 JOINED = 256
+#: Text that is encoded at once.
+SLICE_BYTES = 2 << 20
 #: Bytes of input that make a file, as Spark estimates them from the scan.
 FILE_BYTES = 128 << 20
 MOST_FILES = 100_000
@@ -178,7 +180,7 @@ def _with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.nda
 
 def _tokens(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in tv.held(batches, "text"):
+        for s in tv.held(batches, "text", SLICE_BYTES):
             ids, to = _with_end(*encode_rows(s.column(1), path), end_id)
             tokens = pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(ids))
             yield pa.record_batch([s.column(0), pa.array(np.diff(to).astype(np.int32)), tokens], names=["doc_id", "n_tokens", "tokens"])
