@@ -182,6 +182,63 @@ def display_label(fiscal_year: Column, quarter: Column) -> Column:
     return F.when(quarter.isNull(), F.concat(F.lit("FY "), year)).otherwise(F.concat(F.lit("Q"), quarter.cast("string"), F.lit(" "), year))
 
 
+def period_label(period: Column) -> Column:
+    """Heading of a period's text: FY of a whole calendar year (1 January to 1 January), Qn of three months from a quarter's first month, else the range; "As of" an instant."""
+    ranged = period.contains(" to ")
+    parts = F.split(period, " to ")
+    first, last = (F.get(F.split(F.get(parts, F.lit(k)), " "), F.lit(0)) for k in (0, 1))
+    s, e = first.try_cast("date"), last.try_cast("date")
+    new_year = lambda d: (F.month(d) == 1) & (F.day(d) == 1)
+    whole = new_year(s) & new_year(e) & (F.year(e) == F.year(s) + 1)
+    three = (F.year(e) * 12 + F.month(e) - F.year(s) * 12 - F.month(s) == 3) & F.month(s).isin(1, 4, 7, 10)
+    out = F.when(whole, F.concat(F.lit("FY "), F.year(s).cast("string"))).when(three, F.concat(F.lit("Q"), F.quarter(s).cast("string"), F.lit(" "), F.year(s).cast("string"))).otherwise(F.concat_ws(" to ", first, last))
+    instant = F.concat(F.lit("As of "), F.get(F.split(period, " "), F.lit(0)))
+    return F.when(F.coalesce(period, F.lit("")) == "", "Unknown Period").when(ranged & (F.size(parts) == 2), out).when(ranged, period).otherwise(instant)
+
+
+def latest_label(labels: Column) -> Column:
+    """The label of the latest period of an array; the first of equally late ones."""
+    n = F.size(labels)
+    ranked = F.transform(labels, lambda x, i: F.struct(orderable_period(x).alias("d"), (n - i).alias("k"), x.alias("label")))
+    return F.array_max(F.filter(ranked, lambda r: r["d"].isNotNull()))["label"]
+
+
+def filing_period(form: Column, report_date: Column, code: Column, convention: Column, stated_year: Column, stated_quarter: Column) -> Column:
+    """struct(end_date, period_type, fiscal_year, quarter) of a filing's metadata; a stated year (1990 to 2100) and quarter (1 to 4) win, annual forms have no quarter."""
+    end = lenient_date(report_date)
+    annual = F.coalesce(form.isin(*ANNUAL_FORMS), F.lit(False))
+    conv = F.coalesce(convention, F.lit("end"))
+    year = F.coalesce(F.when(stated_year.between(1990, 2100), stated_year), fiscal_year_of(end, code, conv))
+    quarter = F.when(~annual, F.coalesce(F.when(stated_quarter.between(1, 4), stated_quarter), fiscal_quarter_of(end, code, conv)))
+    return F.struct(end.alias("end_date"), F.when(annual, "annual").otherwise("quarterly").alias("period_type"), year.alias("fiscal_year"), quarter.alias("quarter"))
+
+
+def standard_period(start: Column, end: Column, primary: Column, kind: Column, form: Column, code: Column, fiscal_year: Column, quarter: Column, xbrl_period: Column) -> Column:
+    """struct(start_date, fiscal_year, quarter, source, period_type): a reporting period with what is missing filled in.
+
+    The start comes from the primary period's text, else it is a year or three
+    months (less a day) before the end. For quarterly periods the document's own
+    Qn wins; a quarter that is missing is found from the form and the date.
+    """
+    first = F.coalesce(start, F.when(primary.isNotNull(), period_start(primary)).otherwise(standard_start(start, end, kind == "annual")))
+    known = end.isNotNull() & code.isNotNull()
+    own = F.when(known & (kind == "quarterly"), F.regexp_extract(F.upper(xbrl_period), r"Q([1-4])", 1).try_cast("int"))
+    found = F.when(known & (kind == "quarterly") & quarter.isNull() & own.isNull(), quarter_by_form(form, end, code))
+    year = F.coalesce(fiscal_year, F.when(known, fiscal_year_of(end, code)))
+    source = F.when(own.isNotNull(), "xbrl_document").when(found.isNotNull(), "form_type_and_date")
+    return F.struct(first.alias("start_date"), year.alias("fiscal_year"), F.coalesce(own, quarter, found).alias("quarter"), source.alias("source"), F.when(kind.isNotNull(), period_type(kind)).alias("period_type"))
+
+
+def detected_period(end: Column, quarter: Column, fiscal_year: Column, kind: Column, form: Column, label: Column) -> Column:
+    """struct(period_type, period_end, quarter, label, fiscal_year, short_label); NULL without an end."""
+    low = F.lower(F.coalesce(kind, F.lit("")))
+    made = F.when(low == "annual", "annual").when(low.isin("quarterly", "interim"), "quarterly").when(F.upper(form) == "10-K", "annual").when(F.upper(form) == "10-Q", "quarterly").when(quarter.isNotNull() & (quarter != 0), "quarterly").otherwise("annual")
+    year, q = F.coalesce(fiscal_year, F.year(end)), F.when(made != "annual", quarter)
+    words = F.concat(F.when(made == "annual", "Fiscal Year Ended ").otherwise("Three Months Ended "), end.cast("string"))
+    short = F.concat(F.lit("FY"), year.cast("string"), F.when(q.isNotNull(), F.concat(F.lit(" Q"), q.cast("string"))).otherwise(" (annual)"))
+    return F.when(end.isNotNull(), F.struct(made.alias("period_type"), end.alias("period_end"), q.alias("quarter"), F.coalesce(F.nullif(label, F.lit("")), words).alias("label"), year.alias("fiscal_year"), short.alias("short_label")))
+
+
 # --- fiscal calendar --------------------------------------------------------
 
 

@@ -20,6 +20,13 @@ SECTION_STARTS = r"(?i)item\s+(?:7|2|5)\s*\.?\s*management.s\s+discussion"
 SECTION_ENDS = r"(?i)item\s+(?:7a|8|3|4|6)\s*\."
 LEAST_SECTION_CHARS = 800
 LEAST_WORD = 4
+LISTING_HINTS = {"income": ("income", "oper"), "balance": ("balance",), "cash": ("cash",)}
+LISTING_WORDS = {
+    "income": ("operations", "income", "earnings", "revenue", "sales", "gross profit"),
+    "balance": ("balance sheet", "financial position", "assets", "liabilities", "stockholders"),
+    "cash": ("cash flows", "operating activities", "investing activities", "financing activities"),
+}
+LISTING_GENERAL = ("consolidated", "in millions", "in thousands")
 TABLE_SCALES = (1.0, 1e3, 1e6)
 
 
@@ -183,16 +190,25 @@ def section(text: Column, starts: str = SECTION_STARTS, ends: str = SECTION_ENDS
     return F.regexp_extract(chosen, f"(?s)^(.+?)(?:{ends}|$)", 1)
 
 
-def search_blocks(lines: DataFrame, keys: list[str], words: list[str], context: int = 3, most: int = 15) -> DataFrame:
-    """keys, first, last, hits: blocks of lines around those that have all words, or any where none has all.
+def word_index(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, word, line_no: the words of four letters and more of each line, once a line."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(f"[a-z]{{{LEAST_WORD},}}"), F.lit(0)))
+    return lines.select(*keys, "line_no", F.explode(words).alias("word"))
 
-    Blocks whose contexts touch are one; the first ``most`` of a document.
+
+def search_blocks(lines: DataFrame, keys: list[str], query: str, context: int = 3, most: int = 15) -> DataFrame:
+    """keys, first, last, hits: blocks of lines around those that have all words of a query, or any where none has all, and those that have the query itself.
+
+    Words have four letters at least. Blocks whose contexts touch are one; the
+    first ``most`` of a document are reported.
     """
-    low = F.lower("line")
-    n = sum((F.when(low.contains(w.lower()), 1).otherwise(0) for w in words), F.lit(0))
-    hits = lines.withColumn("_w", n).filter("_w > 0")
-    full = F.max(F.col("_w") == len(words)).over(Window.partitionBy(*keys))
-    hits = hits.withColumn("_f", full).filter(~F.col("_f") | (F.col("_w") == len(words)))
+    text = query.lower()
+    words = list(dict.fromkeys(re.findall(rf"[a-z]{{{LEAST_WORD},}}", text)))
+    direct = F.lower("line").contains(text)
+    found = F.array_intersect(F.regexp_extract_all(F.lower("line"), F.lit(f"[a-z]{{{LEAST_WORD},}}"), F.lit(0)), F.array(*map(F.lit, words)) if words else F.array().cast("array<string>"))
+    rows = lines.withColumns({"_w": F.size(found), "_d": direct}).filter("_w > 0 or _d")
+    full = F.max((F.col("_w") == len(words)) & (F.col("_w") > 0)).over(Window.partitionBy(*keys))
+    hits = rows.withColumn("_f", full).filter(F.col("_d") | F.when(F.col("_f"), F.col("_w") == len(words)).otherwise(F.col("_w") > 0))
     w = Window.partitionBy(*keys).orderBy("line_no")
     hits = hits.withColumn("_new", F.coalesce(F.col("line_no") - F.lag("line_no").over(w) > 2 * context, F.lit(True)).cast("int"))
     hits = hits.withColumn("_block", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -200,6 +216,29 @@ def search_blocks(lines: DataFrame, keys: list[str], words: list[str], context:
     return blocks.filter(F.col("_block") <= most).select(*keys, F.greatest("first", F.lit(0)).alias("first"), "last", "hits")
 
 
+def listed_tables(cells: DataFrame, keys: list[str], hint: str = "", most: int = 20) -> DataFrame:
+    """keys, table_no, rows, score, place: the tables whose first four rows speak most of a statement, the first ``most`` of a document."""
+    low = hint.strip().lower()
+    kind = next((k for k, words in LISTING_HINTS.items() if any(w in low for w in words)), None)
+    head = F.lower(F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.when(F.col("row_no") < 4, F.struct("row_no", "col_no", "cell")))), lambda x: x["cell"])))
+    per = cells.groupBy(*keys, "table_no").agg((F.max("row_no") + 1).alias("rows"), head.alias("_head"))
+    score = sum((F.when(F.col("_head").contains(w), 3).otherwise(0) for w in LISTING_WORDS.get(kind, ())), F.lit(0))
+    general = F.lit(False)
+    for w in LISTING_GENERAL:
+        general = general | F.col("_head").contains(w)
+    per = per.withColumn("score", score + F.when(general, 1).otherwise(0))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("score").desc(), "table_no"))
+    return per.withColumn("place", place).filter(F.col("place") <= most).drop("_head")
+
+
+def table_rows(cells: DataFrame, keys: list[str], table_no: int, start: int = 0, most: int = 80) -> DataFrame:
+    """keys, row_no, line: rows of one table as text, from ``start`` on, at most 150."""
+    last = start + max(1, min(most, 150))
+    rows = cells.filter((F.col("table_no") == table_no) & (F.col("row_no") >= start) & (F.col("row_no") < last))
+    line = F.concat_ws(" | ", F.transform(F.array_sort(F.collect_list(F.struct("col_no", "cell"))), lambda x: x["cell"]))
+    return rows.groupBy(*keys, "row_no").agg(line.alias("line"))
+
+
 def annual_cover(form: Column, report_date: Column, text: Column) -> Column:
     """Whether a 20-F cover says that it is an annual report: the form, a report date, and the checked box."""
     checked = text.rlike(r"(?is)(?:\[x\]|☒|☑|&#9746;)\s*annual\s+report")

@@ -61,6 +61,50 @@ def score(actual: Column, low: Column, high: Column, metric: Column) -> Column:
     return F.when(actual.isNull(), None).when(above, F.when(lower, "miss").otherwise("beat")).when(below, F.when(lower, "beat").otherwise("miss")).otherwise("inline")
 
 
+def raw_value(value: Column, scale: Column, metric: Column, unit: Column) -> Column:
+    """A number in whole units; NULL beyond what any company reports."""
+    out = value * multiplier(scale, metric, unit)
+    return F.when(F.abs(out) <= LARGEST, out)
+
+
+def result(actual: Column, value: Column, low: Column, high: Column, form: Column, metric: Column) -> Column:
+    """struct(outcome, delta_abs, delta_pct) of guidance and its actual.
+
+    Words have no result; a floor or ceiling is missed when it is crossed,
+    whatever the metric; a band without bounds is the value itself, and a bound
+    that is missing is open.
+    """
+    form = F.lower(F.coalesce(form, F.lit("point")))
+    words = (form == "qualitative") | value.isNull()
+    none = low.isNull() & high.isNull()
+    lo, hi = F.when(none, value).otherwise(low), F.when(none, value).otherwise(high)
+    outcome = F.when(words, "qualitative").when(form == "min", F.when(actual > value, "beat").otherwise("miss")).when(form == "max", F.when(actual < value, "beat").otherwise("miss")).otherwise(score(actual, lo, hi, metric))
+    delta = F.when(~words, actual - value)
+    return F.struct(outcome.alias("outcome"), delta.alias("delta_abs"), F.when(value != 0, delta / F.abs(value) * 100).alias("delta_pct"))
+
+
+def period_kind(kind: Column, quarter: Column) -> Column:
+    """quarterly or annual, from the period's own kind, else from whether it has a quarter."""
+    low = F.lower(F.trim(F.coalesce(kind, F.lit(""))))
+    return F.when(low.isin("annual", "multi_year"), "annual").when(low.isin("quarterly", "ytd", "current_quarter"), "quarterly").when(quarter.isNotNull(), "quarterly").otherwise("annual")
+
+
+def after_rerun(stored: DataFrame, batch: DataFrame, filing: list[str], keys: list[str]) -> DataFrame:
+    """The guidance table after a filing was read again, with action: keep, update, insert.
+
+    Rows of other filings and rows that a person entered stay; of the filing's
+    own rows those with a key of the batch are replaced and all others swept.
+    """
+    own = batch.select(*filing).distinct().withColumn("_f", F.lit(True))
+    s = stored.join(own, filing, "left")
+    kept = s.filter(F.col("_f").isNull() | F.col("manual")).drop("_f").withColumn("action", F.lit("keep"))
+    replaced = s.filter(F.col("_f").isNotNull() & ~F.col("manual")).select(*filing, *keys).distinct().withColumn("_r", F.lit(True))
+    first = F.row_number().over(Window.partitionBy(*filing, *keys).orderBy("id"))
+    new = batch.withColumn("_n", first).filter("_n = 1").drop("_n").join(replaced, [*filing, *keys], "left")
+    new = new.withColumn("action", F.when(F.col("_r"), "update").otherwise("insert")).drop("_r")
+    return kept.unionByName(new)
+
+
 def deduplicated(records: DataFrame, filing: list[str], keys: list[str], most: int = MOST_RECORDS) -> DataFrame:
     """One record per key: numbers replace words, else the first; it keeps the first's place; the first ``most`` of a filing."""
     own = Window.partitionBy(*filing, *keys)

@@ -301,3 +301,9 @@ def tree_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
     inner = rows.filter(F.col("path").contains(".")).select(*keys, F.regexp_replace("path", r"\.[^.]*$", "").alias("path")).distinct().withColumn("_i", F.lit(True))
     j = rows.join(inner, [*keys, "path"], "left")
     return j.groupBy(*keys).agg(F.count("*").alias("nodes"), F.count_if(F.col("level") == 0).alias("roots"), F.count_if(F.col("_i").isNull()).alias("leaves"), F.max("level").alias("deepest"))
+
+
+def level_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, level, nodes, conflicts: rows of each level, and paths there that several rows have."""
+    per = rows.groupBy(*keys, "level", "path").agg(F.count("*").alias("n"))
+    return per.groupBy(*keys, "level").agg(F.sum("n").alias("nodes"), F.count_if(F.col("n") > 1).alias("conflicts"))

@@ -113,9 +113,10 @@ def by_priority(*tables: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_p")
 
 
-def upper_median(values: Column) -> Column:
-    """Middle element of a sorted array, the upper of two."""
-    return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
+def upper_medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, median, most: the middle value, the upper of two, from counts of equal values that each task makes first."""
+    down = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
+    return rows.groupBy(*keys).agg(down.alias("median"), F.max(value).alias("most"))
 
 
 def concept_label(rows: DataFrame, labels: DataFrame) -> DataFrame:

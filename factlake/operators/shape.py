@@ -111,3 +111,49 @@ def point_scan(rows: DataFrame, equal: dict, columns: list[str], order: list[Col
     for c, v in equal.items():
         out = out.filter(F.col(c) == v)
     return out.select(*columns).orderBy(*order).limit(limit)
+
+
+def filing_records(raw: DataFrame) -> DataFrame:
+    """cik, accession, form, filing_date, accepted: filings of submissions, the acceptance time in either of its two formats."""
+    accepted = F.coalesce(F.try_to_timestamp("acceptance", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")), F.try_to_timestamp("acceptance", F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    return raw.select(T.ten_digit_cik(F.col("cik")).alias("cik"), "accession", "form", F.col("filing_date").try_cast("date").alias("filing_date"), accepted.alias("accepted"))
+
+
+def dimensional_model(edges: DataFrame, filing: list[str]) -> DataFrame:
+    """filing, dimensions, domains, members, primary_items, hypercubes, defaults, typed: what the arcs (arcrole, parent, child) and dimensions (typed) of a taxonomy say, sorted arrays."""
+
+    def of(role: str, end: str) -> Column:
+        return F.array_sort(F.collect_set(F.when(F.col("arcrole") == role, F.col(end))))
+
+    return edges.groupBy(*filing).agg(
+        of("dimension-domain", "parent").alias("dimensions"), of("dimension-domain", "child").alias("domains"), of("domain-member", "child").alias("members"), of("all", "parent").alias("primary_items"),
+        of("all", "child").alias("hypercubes"), F.array_sort(F.collect_set(F.when(F.col("arcrole") == "dimension-default", F.concat_ws("=", "parent", "child")))).alias("defaults"), F.array_sort(F.collect_set(F.when(F.col("typed"), F.col("parent")))).alias("typed"),
+    )
+
+
+def fiscal_years(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, fiscal_year, periods (sorted array), annual: the quarters of each fiscal year, and its last annual value."""
+    q = F.array_sort(F.collect_set(F.when(~F.col("annual"), F.col("period"))))
+    return rows.groupBy(*keys, "fiscal_year").agg(q.alias("periods"), F.max(F.when(F.col("annual"), F.struct("position", "value")))["value"].alias("annual"))
+
+
+def company_summary(rows: DataFrame, keys: list[str], most: int = 10) -> DataFrame:
+    """keys, accessions, last (the last ten by text), latest, years (sorted)."""
+    acc = F.array_sort(F.collect_set("accession"))
+    out = rows.groupBy(*keys).agg(acc.alias("_a"), F.max("end_date").alias("latest"), F.array_sort(F.collect_set("fiscal_year")).alias("years"))
+    return out.select(*keys, F.size("_a").alias("accessions"), F.slice("_a", F.greatest(F.size("_a") - most + 1, F.lit(1)), F.lit(most)).alias("last"), "latest", "years")
+
+
+def latest_label(annual: DataFrame, quarterly: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, end_date, label of the newest stored period of either table; on a tie the annual one."""
+    a = annual.select(*keys, "end_date", "fiscal_year", F.lit(None).cast("bigint").alias("quarter"), F.lit(1).alias("_a"))
+    q = quarterly.select(*keys, "end_date", "fiscal_year", "quarter", F.lit(0).alias("_a"))
+    best = a.unionByName(q).groupBy(*keys).agg(F.max(F.struct("end_date", "_a", "fiscal_year", "quarter")).alias("b"))
+    year = F.concat(F.lit("FY"), F.col("b.fiscal_year").cast("string"))
+    label = F.when((F.col("b._a") == 0) & F.col("b.quarter").isNotNull(), F.concat(year, F.lit(" Q"), F.col("b.quarter").cast("string"))).otherwise(F.concat(year, F.lit(" Annual")))
+    return best.select(*keys, F.col("b.end_date").alias("end_date"), label.alias("label"))
+
+
+def processed(annual: DataFrame, quarterly: DataFrame, keys: list[str]) -> DataFrame:
+    """The companies that either table has."""
+    return annual.select(*keys).union(quarterly.select(*keys)).distinct()

@@ -105,7 +105,7 @@ def period_types(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::DATE ELSE ((o_orderdate::DATE - INTERVAL (CASE WHEN o_orderkey % 5 = 0 THEN 12 ELSE 3 END) MONTH)::DATE + 1) END::VARCHAR AS start_date,
   CASE WHEN o_orderkey % 7 = 0 THEN 2010 WHEN o_orderkey % 7 = 1 THEN year(o_orderdate) WHEN dayofyear(o_orderdate) <= 7 THEN year(o_orderdate) - 1 ELSE year(o_orderdate) END::BIGINT AS fiscal_year FROM orders""")
 def reporting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B29, C11, C13, C14, C15"""
+    """C11"""
     day, k = F.to_date("o_orderdate"), F.col("o_orderkey")
     year, annual = F.year("o_orderdate"), k % 5 == 0
     stated = F.when(k % 7 == 0, 2010).when(k % 7 == 1, year)

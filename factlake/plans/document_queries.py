@@ -11,7 +11,7 @@ from .registry import query, table
 
 @query()
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E24, A12"""
+    """E24"""
     return documents.html_lines(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
@@ -35,27 +35,36 @@ def table_value_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SEARCH = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
-h AS (SELECT *, contains(lower(line), 'the')::INT + contains(lower(line), 'idiot')::INT AS w FROM l), f AS (SELECT * FROM (SELECT *, max(w) OVER (PARTITION BY doc_id) AS m FROM h WHERE w > 0) WHERE m < 2 OR w = 2),
+h AS (SELECT *, list_distinct(regexp_extract_all(lower(line), '[a-z]{4,}')) AS ws, contains(lower(line), 'this from') AS d FROM l), k AS (SELECT *, list_contains(ws, 'this')::INT + list_contains(ws, 'from')::INT AS w FROM h),
+f AS (SELECT * FROM (SELECT *, max(w) OVER (PARTITION BY doc_id) AS m FROM k WHERE w > 0 OR d) WHERE d OR (m = 2 AND w = 2) OR (m < 2 AND w > 0)),
 g AS (SELECT *, CASE WHEN line_no - lag(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) <= 6 THEN 0 ELSE 1 END AS fresh FROM f), b AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY line_no) AS block FROM g)
 SELECT doc_id, greatest(min(line_no) - 3, 0)::BIGINT AS first, (max(line_no) + 3)::BIGINT AS last, count(*) AS hits FROM b WHERE block <= 15 GROUP BY doc_id, block"""
 
 
+def _lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
 @query(_SEARCH)
 def text_search_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M11"""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    out = documents.search_blocks(lines, ["doc_id"], ["the", "idiot"])
+    out = documents.search_blocks(_lines_of(spark, sf_dir), ["doc_id"], "this from")
     return out.select("doc_id", F.col("first").cast("bigint").alias("first"), F.col("last").cast("bigint").alias("last"), "hits")
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND length(text) >= 900 THEN 'Item 7. Management''s Discussion ' || left(text, 900) END AS section FROM documents""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(line), '[a-z]{4,}'))) AS word FROM l) SELECT word, count(*) AS lines, count(DISTINCT doc_id) AS documents FROM w GROUP BY word""")
+def text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word index"""
+    return documents.word_index(_lines_of(spark, sf_dir), ["doc_id"]).groupBy("word").agg(F.count("*").alias("lines"), F.count_distinct("doc_id").alias("documents"))
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) >= 900 THEN 'Item 7. Management''s Discussion ' || text END AS section FROM documents""")
 def section_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E25"""
-    d = table(spark, sf_dir, "documents")
+    """Whole texts after a table of contents; short texts have no heading"""
     head = "Item 7. Management's Discussion "
-    whole = F.concat(F.lit("Contents\n" + head + "12\n"), F.lit("Item 8. Statements 40\n"), F.lit(head), F.substring("text", 1, 900), F.lit("Item 8. Statements"), F.col("text"))
-    text = F.when((F.col("doc_id") % 2 == 0) & (F.length("text") >= 900), whole).otherwise(F.concat(F.lit("None here. "), F.col("text")))
-    return d.select("doc_id", documents.section(text).alias("section"))
+    whole = F.concat(F.lit("Contents\n" + head + "12\n"), F.lit("Item 8. Statements 40\n"), F.lit(head), "text", F.lit("Item 8. Statements and more"))
+    text = F.when(F.length("text") >= 900, whole).otherwise(F.concat(F.lit("None here. "), F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", documents.section(text).alias("section"))
 
 
 @query("""SELECT page_id, page_id % 3 = 0 AND page_id % 2 = 0 AS annual FROM pages""")
@@ -74,7 +83,7 @@ b AS (SELECT *, CASE k WHEN 0 THEN v * 0.9 WHEN 1 THEN v * 1.0 WHEN 3 THEN v - 1
 a AS (SELECT *, (v + 1500 * (o_orderkey % 3 - 1))::DOUBLE AS actual FROM b)
 SELECT o_orderkey, low, high, CASE WHEN actual > high THEN CASE WHEN o_orderkey % 2 = 0 THEN 'miss' ELSE 'beat' END WHEN actual < low THEN CASE WHEN o_orderkey % 2 = 0 THEN 'beat' ELSE 'miss' END ELSE 'inline' END AS outcome FROM a""")
 def guidance_band_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M03, M07, M09, F11"""
+    """M03"""
     k = F.col("o_orderkey") % 5
     v = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("double")
     form = F.when(k == 0, "range").when(k == 1, "min").when(k == 2, "max").when(k == 3, "point").otherwise("qualitative")
@@ -97,7 +106,7 @@ def guidance_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH r AS (SELECT event_id AS id, user_id, event_type, event_id % 50 = 0 AS manual FROM events)
 SELECT id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY manual DESC, id DESC) = 1 AS is_current, lag(id) OVER (PARTITION BY user_id, event_type ORDER BY id) AS supersedes FROM r""")
 def guidance_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M08"""
+    """Who precedes whom"""
     r = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "user_id", "event_type", (F.col("event_id") % 50 == 0).alias("manual"))
     return guidance.superseded(r, ["user_id", "event_type"], [F.col("id")]).select("id", "is_current", "supersedes")
 
@@ -107,7 +116,7 @@ p AS (SELECT *, CASE WHEN k = 0 THEN CASE WHEN q = 4 THEN fy + 1 ELSE fy END WHE
 SELECT o_orderkey, gfy::BIGINT AS fiscal_year, gq::BIGINT AS quarter, gfy * 4 + coalesce(gq, 4) > fy * 4 + q AS future, gfy * 4 + coalesce(gq, 4) <= fy * 4 + q AS arrived,
   CASE o_orderkey % 4 WHEN 0 THEN 1e3 WHEN 1 THEN 1e6 WHEN 2 THEN 1e9 ELSE 1.0 END::DOUBLE AS factor FROM p""")
 def guidance_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M01, M02, M04, M06, M10"""
+    """M01, M02, M06"""
     k, fy, q = F.col("o_orderkey") % 3, F.year("o_orderdate"), F.quarter("o_orderdate")
     said_fy, said_q = F.when(k == 1, fy + 1).when(k == 2, fy - 1), F.when(k == 2, 2)
     period = guidance.default_period(said_fy, said_q, fy, F.when(k >= 0, q), F.when(k == 1, "annual").otherwise("quarterly"))

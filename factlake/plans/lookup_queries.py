@@ -64,7 +64,7 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ORDER_FACTS} SELECT fiscal_year, quarter, count(DISTINCT cik) AS companies, count(DISTINCT (cik, concept, end_date)) AS statements, count(*) AS filings, max(end_date)::VARCHAR AS last_date FROM o GROUP BY ALL""")
 def company_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G01, G02, G04, G10, G14, G20"""
+    """G01, G04"""
     return order_facts(spark, sf_dir).groupBy("fiscal_year", "quarter").agg(
         F.count_distinct("cik").alias("companies"), F.count_distinct("cik", "concept", "end_date").alias("statements"), F.count("*").alias("filings"), F.max("end_date").cast("string").alias("last_date")
     )
@@ -123,14 +123,15 @@ def similar_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH v AS (SELECT c_nationkey, list_sort(list(round(c_acctbal * 100)::BIGINT)) AS v FROM customer GROUP BY ALL) SELECT c_nationkey::BIGINT AS c_nationkey, v[len(v) // 2 + 1] AS median, v[len(v)] AS most FROM v""")
 def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G18"""
-    v = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.collect_list(cents("c_acctbal")).alias("v"))
-    return v.select(F.col("c_nationkey").cast("bigint").alias("c_nationkey"), lookups.upper_median(F.col("v")).alias("median"), F.array_max("v").alias("most"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("bigint").alias("c_nationkey"), cents("c_acctbal").alias("v"))
+    out = lookups.upper_medians(rows, ["c_nationkey"], "v")
+    return out.select("c_nationkey", F.col("median").cast("bigint").alias("median"), "most")
 
 
 @query("""WITH a AS (SELECT c_custkey AS k, 'map' AS source FROM customer WHERE c_custkey % 2 = 0), b AS (SELECT DISTINCT o_custkey AS k, 'stored' AS source FROM orders)
 SELECT k, 'stored' AS source FROM b UNION ALL SELECT k, source FROM a ANTI JOIN b USING (k)""")
 def ticker_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A05, G15"""
+    """A05"""
     a = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.lit("map").alias("source"))
     b = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.lit("stored").alias("source")).distinct()
     return lookups.by_priority(b, a, keys=["k"])
@@ -173,7 +174,7 @@ def future_period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ORDER_FACTS}, f AS (SELECT cik, accession, fiscal_year, quarter, CASE WHEN quarter = 4 THEN '10-K' ELSE '10-Q' END AS form, end_date FROM o) SELECT cik, accession, form, row_number() OVER (PARTITION BY cik ORDER BY fiscal_year DESC, CASE WHEN form = '10-K' THEN 4 ELSE quarter END, end_date, accession) AS place FROM f WHERE fiscal_year = 1997 AND quarter IN (2)""")
 def filings_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D20, H17"""
+    """D20"""
     f = order_facts(spark, sf_dir).withColumn("form", F.when(F.col("quarter") == 4, "10-K").otherwise("10-Q"))
     rank = F.when(F.col("form") == "10-K", 4).otherwise(F.col("quarter"))
     w = Window.partitionBy("cik").orderBy(F.col("fiscal_year").desc(), rank, "end_date", "accession")

@@ -118,7 +118,7 @@ m AS (
 
 @query(_GAP_SQL)
 def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F09, H08, H10, F19"""
+    """F09, H08"""
     start = F.make_date(F.col("fiscal_year").cast("int"), (F.col("quarter") * 3 - 2).cast("int"), F.lit(1))
     rows = quarter_sums(spark, sf_dir).withColumns({"start": start, "period_end": F.last_day(F.add_months(start, 2))})
     target = "1-URGENT"
@@ -134,13 +134,13 @@ def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT c_nationkey, c_mktsegment, CASE WHEN min(c_acctbal) > 0 THEN 1 ELSE -1 END AS sign FROM customer WHERE c_acctbal <> 0
 GROUP BY c_nationkey, c_mktsegment HAVING min(c_acctbal) > 0 OR max(c_acctbal) < 0""")
 def sign_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H09"""
+    """The signs"""
     return series.one_sign(table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"], "c_acctbal")
 
 
 @query("""WITH w AS (SELECT user_id, event_id, event_type AS status, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) SELECT user_id, event_id, status FROM w WHERE n = 1""")
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G13, D21"""
+    """G13"""
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.col("event_type").alias("status"))
     return series.latest(rows, ["user_id"], [F.col("ts"), F.col("event_id")]).drop("ts")
 

@@ -98,14 +98,14 @@ def entity_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT lpad(c_custkey::VARCHAR, 10, '0') AS cik, c_name AS name, c_mktsegment AS sic, 'T' || c_custkey::VARCHAR AS ticker, '1231' AS fiscal_year_end FROM customer""")
 def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B28, A16"""
+    """companies"""
     raw = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.concat(F.lit(" "), F.col("c_name")).alias("name"), F.col("c_mktsegment").alias("sic"), F.array(F.concat(F.lit("T"), F.col("c_custkey").cast("string"))).alias("tickers"), F.array(F.lit("X")).alias("exchanges"), F.lit("1231").alias("fiscal_year_end"))
     return shape.company_rows(raw).select("cik", "name", "industry.sic", F.get("market_info.tickers", F.lit(0)).alias("ticker"), "corporate_info.fiscal_year_end")
 
 
 @query("""WITH f AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders GROUP BY o_custkey) SELECT lpad(o_custkey::VARCHAR, 10, '0') AS cik, unnest(k)::VARCHAR AS accession, '10-Q' AS form, true AS is_xbrl FROM f""")
 def submissions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written as submission documents and parsed again"""
+    """Recent filings, rows written as submission documents and parsed again"""
     o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("k"))
     each = lambda v: F.transform("k", lambda _: F.lit(v))
     recent = F.struct(each("10-Q").alias("form"), F.transform("k", lambda x: x.cast("string")).alias("accessionNumber"), each("2024-01-01").alias("filingDate"), each("2023-12-31").alias("reportDate"), each(1).alias("isXBRL"), each("a.htm").alias("primaryDocument"))
@@ -116,7 +116,7 @@ def submissions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT lpad(c_custkey::VARCHAR, 10, '0') AS cik, 'us-gaap:' || c_mktsegment AS tag, 'USD' AS unit, '2023-12-31' AS end_date, c_acctbal AS val FROM customer""")
 def company_facts_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A04, A06, A14"""
+    """A04"""
     row = F.struct(F.lit("2023-01-01").alias("start"), F.lit("2023-12-31").alias("end"), F.col("c_acctbal").alias("val"), F.lit("10-K").alias("form"))
     facts = F.create_map(F.lit("us-gaap"), F.create_map(F.col("c_mktsegment"), F.struct(F.lit("l").alias("label"), F.create_map(F.lit("USD"), F.array(row)).alias("units"))))
     doc = F.to_json(F.struct(F.col("c_custkey").alias("cik"), F.col("c_name").alias("entityName"), facts.alias("facts")))

@@ -144,7 +144,7 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION ALL SELECT a.filing, a.statement_type, 'orphan_hierarchy_path', count(*) FROM s a WHERE contains(path, '.') AND NOT EXISTS (SELECT 1 FROM s b WHERE b.filing = a.filing AND b.path = split_part(a.path, '.', 1)) GROUP BY ALL
 ) SELECT filing, statement_type, type, count(*) AS findings, sum(n)::BIGINT AS rows FROM f GROUP BY ALL""")
 def structure_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J02, E20, F06"""
+    """J02"""
     found = validate.check_structure(lines(spark, sf_dir), ["filing"]).filter("type <> 'duplicate_concept'")
     n = F.coalesce(F.col("evidence")["n"].cast("bigint"), F.lit(1))
     return found.groupBy("filing", "statement_type", "type").agg(F.count("*").alias("findings"), F.sum(n).alias("rows"))
@@ -180,7 +180,7 @@ def cross_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {LINES}, a AS (SELECT filing, concept, max(value) AS value FROM s GROUP BY ALL), b AS (SELECT filing, concept, CASE WHEN filing % 5 = 1 THEN NULL WHEN filing % 5 = 2 THEN -value ELSE value END AS value FROM a WHERE filing % 5 <> 0)
 SELECT a.filing, a.concept, CASE WHEN b.filing IS NULL THEN 'missing_concept' WHEN b.value IS NULL THEN 'missing_value' ELSE 'sign_mismatch' END AS type FROM a LEFT JOIN b USING (filing, concept) WHERE b.filing IS NULL OR b.value IS NULL OR sign(a.value) * sign(b.value) < 0""")
 def presentation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F16, J06, E23"""
+    """F16, J06"""
     shown = lines(spark, sf_dir).groupBy("filing", "concept").agg(F.max("value").alias("value"))
     k = F.col("filing") % 5
     bundle = shown.filter(k != 0).withColumn("value", F.when(k == 1, None).when(k == 2, -F.col("value")).otherwise(F.col("value")))
@@ -242,7 +242,7 @@ q AS (SELECT filing, string_agg(statement_type, ',' ORDER BY statement_type) AS
 
 @query(f"WITH {_POLICY} SELECT filing, CASE WHEN n = 0 THEN 'write' ELSE 'skip' END AS action, CASE WHEN n = 0 THEN alls ELSE '' END AS statements, permitted FROM q")
 def policy_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J11, K13"""
+    """J11"""
     findings = _findings(spark, sf_dir)
     out = decide.policy(decide.write_ceiling(_statements(spark, sf_dir), findings, ["filing"]), findings, ["filing"])
     return out.select("filing", "action", F.array_join("statements", ",").alias("statements"), F.array_join("permitted", ",").alias("permitted"))
@@ -262,7 +262,7 @@ def plan_narrowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_FINDINGS} SELECT filing, count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium, count(*) FILTER (severity = 'low') AS low,
   CASE WHEN bool_or(severity = 'high' AND type = 'math_mismatch') THEN 'fail' ELSE 'pass_with_findings' END AS status FROM f GROUP BY filing""")
 def severity_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G11, G12"""
+    """G11"""
     return validate.severity_counts(_findings(spark, sf_dir), ["filing"])
 
 

@@ -21,7 +21,7 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH j AS (SELECT CASE WHEN event_id % 100 = 99 THEN 'invalid' WHEN event_id % 7 = 0 THEN 'skipped' WHEN event_type <> 'error' THEN 'done' WHEN event_id % 4 + 1 < 3 THEN 'retry' ELSE 'dead' END AS route, event_id % 4 AS a, event_id FROM events)
 SELECT route, CASE WHEN route = 'invalid' THEN 0 WHEN route IN ('retry', 'dead') THEN a + 1 ELSE a END::BIGINT AS attempts, count(*) AS n FROM j GROUP BY ALL""")
 def queue_retry_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A18, A19, N01, N07"""
+    """The routes"""
     done = queue.routed(queue.parsed(_jobs(spark, sf_dir)))
     return done.groupBy("route", F.col("attempts").cast("bigint").alias("attempts")).agg(F.count("*").alias("n"))
 
@@ -29,7 +29,7 @@ def queue_retry_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 600000000 PRECEDING AND CURRENT ROW) AS used,
   count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 600000000 PRECEDING AND CURRENT ROW) > 2 AS over FROM events""")
 def sliding_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N04, N05"""
+    """N05"""
     return queue.sliding_budget(table(spark, sf_dir, "events"), ["event_type"], 600, 2).select("event_id", "used", "over")
 
 
@@ -50,7 +50,7 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_orderkey, sum(round(l_extendedprice * 100)::BIGINT) FILTER (l_returnflag = 'A')::BIGINT AS "A", sum(round(l_extendedprice * 100)::BIGINT) FILTER (l_returnflag = 'N')::BIGINT AS "N", sum(round(l_extendedprice * 100)::BIGINT) FILTER (l_returnflag = 'R')::BIGINT AS "R" FROM lineitem GROUP BY l_orderkey""")
 def pivot_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A20, A21"""
+    """Without dimensions"""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", cents("l_extendedprice").alias("v"))
     return files.pivoted(li, ["l_orderkey"], "l_returnflag", "v", ["A", "N", "R"])
 

@@ -12,6 +12,7 @@ FILINGS_SCHEMA = (
     "cik string, name string, tickers array<string>, exchanges array<string>, sic string, fiscalYearEnd string, filings struct<recent: struct<"
     "form: array<string>, accessionNumber: array<string>, filingDate: array<string>, reportDate: array<string>, isXBRL: array<int>, primaryDocument: array<string>>>"
 )
+PAGE_SCHEMA = "form array<string>, accessionNumber array<string>, filingDate array<string>, reportDate array<string>, isXBRL array<int>, primaryDocument array<string>"
 COMPANY_FACTS_SCHEMA = (
     "cik bigint, entityName string, facts map<string, map<string, struct<label: string, units: map<string, array<struct<"
     "start: string, end: string, val: double, accn: string, fy: int, fp: string, form: string, filed: string, frame: string>>>>>>"
@@ -41,6 +42,26 @@ def filing_rows(raw: DataFrame) -> DataFrame:
     )
 
 
+def paged_filings(pages: DataFrame) -> DataFrame:
+    """One row per filing of the older pages of a submission: the arrays are at the top, the company's number is in the file's name."""
+    zipped = F.arrays_zip("form", "accessionNumber", "filingDate", "reportDate", "isXBRL", "primaryDocument")
+    cik = ten_digit_cik(F.regexp_extract("file", r"CIK(\d+)-", 1))
+    return pages.select(cik.alias("cik"), F.inline(zipped)).select(
+        "cik", "form", F.col("accessionNumber").alias("accession"), F.col("filingDate").try_cast("date").alias("filing_date"), F.col("reportDate").try_cast("date").alias("report_date"), (F.col("isXBRL") == 1).alias("is_xbrl"), F.col("primaryDocument").alias("document")
+    )
+
+
+def all_filings(raw: DataFrame, pages: DataFrame) -> DataFrame:
+    """Recent and paged filings with their place in the company, newest first."""
+    rows = filing_rows(raw).unionByName(paged_filings(pages))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("cik").orderBy(F.col("filing_date").desc_nulls_last(), "accession")))
+
+
+def submission_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The page files of submissions, with their names."""
+    return spark.read.schema(PAGE_SCHEMA).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_name"))
+
+
 def company_facts(spark: SparkSession, path: str) -> DataFrame:
     """One row per reported fact of company-facts files."""
     return fact_rows(spark.read.schema(COMPANY_FACTS_SCHEMA).option("multiLine", True).json(path))
@@ -60,6 +81,59 @@ def xbrl_facts(spark: SparkSession, path: str, tag: str = "fact") -> DataFrame:
     return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path).select(F.col("_concept").alias("concept"), F.col("_contextRef").alias("context"), F.col("_unitRef").alias("unit"), F.col("_decimals").alias("decimals"), F.col("_VALUE").alias("value"))
 
 
+def xbrl_contexts(spark: SparkSession, path: str) -> DataFrame:
+    """context, entity, start, end, instant, dimensions (axis -> member) of XML instances."""
+    member = "array<struct<_dimension: string, _VALUE: string>>"
+    schema = f"_id string, entity struct<identifier: string, segment: struct<explicitMember: {member}>>, period struct<startDate: string, endDate: string, instant: string>"
+    rows = spark.read.format("xml").option("rowTag", "context").schema(schema).load(path)
+    dims = F.map_from_entries(F.transform(F.coalesce("entity.segment.explicitMember", F.array().cast(member)), lambda m: F.struct(m["_dimension"], m["_VALUE"])))
+    return rows.select(F.col("_id").alias("context"), F.col("entity.identifier").alias("entity"), F.col("period.startDate").alias("start"), F.col("period.endDate").alias("end"), F.col("period.instant").alias("instant"), dims.alias("dimensions"))
+
+
+def xbrl_units(spark: SparkSession, path: str) -> DataFrame:
+    """unit, measure."""
+    return spark.read.format("xml").option("rowTag", "unit").schema("_id string, measure string").load(path).select(F.col("_id").alias("unit"), "measure")
+
+
+def xbrl_instance(spark: SparkSession, path: str) -> DataFrame:
+    """Facts with their contexts and units; a fact whose context is absent has no period."""
+    facts, contexts, units = xbrl_facts(spark, path), xbrl_contexts(spark, path), xbrl_units(spark, path)
+    return facts.join(contexts, "context", "left").join(units, "unit", "left").select("concept", "value", "decimals", "measure", "entity", "start", "end", "instant", "dimensions")
+
+
+def batch_states(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON files that hold one object or a list of objects each."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
+def _archive_writer(uri: str):
+    def run(batches):
+        import gzip
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(uri)
+        for b in batches:
+            names, sizes = [], []
+            for ticker, accession, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                raw = (html or "").encode()
+                store.create_dir(f"{folder}/{ticker}", recursive=True)
+                for name, body in ((f"{ticker}/{accession}.htm", raw), (f"{ticker}/{accession}.html.gz", gzip.compress(raw, mtime=0))):
+                    with store.open_output_stream(f"{folder}/{name}", compression=None) as f:
+                        f.write(body)
+                    names.append(name)
+                    sizes.append(len(body))
+            yield pa.record_batch({"file": pa.array(names, pa.string()), "bytes": pa.array(sizes, pa.int64())})
+
+    return run
+
+
+def write_html_archive(rows: DataFrame, path: str) -> DataFrame:
+    """Write <ticker>/<accession>.htm and .html.gz of rows (ticker, accession, html); file and bytes of each. A task that runs again writes the same files."""
+    return rows.select("ticker", "accession", "html").mapInArrow(_archive_writer(path), "file string, bytes long")
+
+
 def newest_labels(labels: DataFrame) -> DataFrame:
     """concept, label: the standard English label of the newest year."""
     return labels.filter("role = 'label' and lang = 'en-US'").groupBy("concept").agg(F.max_by("label", F.struct("year", "label")).alias("label"))
@@ -100,6 +174,16 @@ def pivoted(rows: DataFrame, keys: list[str], period: str, value: str, periods:
     return rows.groupBy(*keys).pivot(period, periods).agg(F.sum(value))
 
 
+def statement_sheet(rows: DataFrame, keys: list[str], periods: list[str]) -> DataFrame:
+    """keys, concept, slice and a column per period: a row for each line item, and one for each of its dimension combinations ("axis=member | ...") under it.
+
+    ``rows``: keys, concept, period, value, dimensions; of several facts of a cell the last by position counts.
+    """
+    pairs = F.transform(F.map_entries("dimensions"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    own = F.when(F.coalesce(F.size("dimensions"), F.lit(0)) > 0, F.array_join(F.array_sort(pairs), " | ")).otherwise("")
+    return rows.withColumn("slice", own).groupBy(*keys, "concept", "slice").pivot("period", periods).agg(F.max_by("value", "position"))
+
+
 def xbrl_file_score(name: Column, accession: Column) -> Column:
     """Rank of a file as a filing's data file: the higher the likelier, 0 never."""
     low, acc = F.lower(name), F.lower(accession)

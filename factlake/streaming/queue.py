@@ -44,18 +44,41 @@ def is_transient(message: Column) -> Column:
     return F.coalesce(message.rlike(TRANSIENT), F.lit(False))
 
 
+def recovery(attempts: Column, message: Column, most: int = MOST_ATTEMPTS) -> Column:
+    """What to do after an error: 'retry' a passing one while attempts are left, 'fail' otherwise; 'none' without an error."""
+    return F.when(message.isNull(), "none").when(is_transient(message) & (F.coalesce(attempts, F.lit(0)) + 1 < most), "retry").otherwise("fail")
+
+
+def pending(jobs: DataFrame, ledger: DataFrame, key: str = "accession") -> DataFrame:
+    """Jobs whose latest record in the ledger (key, status, position) isn't 'saved'."""
+    last = ledger.groupBy(key).agg(F.max_by("status", "position").alias("_s")).filter("_s = 'saved'")
+    return jobs.join(last.select(key), key, "left_anti")
+
+
 def run_queue(spark: SparkSession, source: str, out: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int = 100) -> StreamingQuery:
-    """Consume all JSON job files that are there, route them into tables ``out``/<route>/batch=<n>, and stop."""
-    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(source)
+    """Consume all job messages that are there, route them into tables ``out``/batch=<n>/route=<r>, and stop.
+
+    Jobs to retry go back to the source as messages with one attempt more, in a
+    folder of the batch's own, so a batch that is run again replaces them.
+    """
+    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True).text(source)
 
     def write(batch: DataFrame, number: int) -> None:
         jobs = parsed(batch)
-        done = routed(work(jobs) if work else jobs)
-        done.write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={number}")
+        routed(work(jobs) if work else jobs).write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={number}")
+        done = spark.read.parquet(f"{out}/batch={number}")  # what was written is what is retried
+        again = done.filter("route = 'retry'").select(F.to_json(F.struct("job_id", "filing_url", "ticker", "filing_type", "attempts", F.lit(False).alias("failed"))).alias("value"))
+        again.write.mode("overwrite").text(f"{source}/retry-{number}")
 
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def drain_queue(spark: SparkSession, source: str, out: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], most: int = MOST_ATTEMPTS) -> None:
+    """Run the queue until nothing is left to retry: each run takes the messages that the one before put back."""
+    for _ in range(most):
+        run_queue(spark, source, out, checkpoint, work).awaitTermination()
+
+
 def windowed_counts(events: DataFrame, late: str = "10 minutes", length: str = "5 minutes") -> DataFrame:
     """Counts and sums per window and type; rows later than ``late`` are dropped by the watermark."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", length), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
@@ -65,11 +88,19 @@ def _micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
-def sliding_budget(events: DataFrame, keys: list[str], seconds: int = 60, most: int | None = None) -> DataFrame:
-    """Adds used: events of the key in the last ``seconds`` (the row itself included), and over: whether that passes ``most``."""
-    micros = _micros("ts")
-    w = Window.partitionBy(*keys).orderBy(micros).rangeBetween(-seconds * 1_000_000, 0)
-    out = events.withColumn("used", F.count("*").over(w))
+def sliding_budget(events: DataFrame, keys: list[str], seconds: int = 60, most: int | None = None, bucket: int = 100) -> DataFrame:
+    """Adds used: events of the key in the last ``seconds`` (the row itself included), and over: whether that passes ``most``.
+
+    Time is cut into buckets of ``bucket`` windows, each a group of its own, and
+    a bucket also gets the rows of the window before it; so a key with many
+    events is shared out over time.
+    """
+    micros, length = _micros("ts"), seconds * 1_000_000
+    span = length * bucket
+    own = F.floor(micros / span)
+    rows = events.withColumn("_b", F.explode(F.when(F.pmod(micros, F.lit(span)) >= span - length, F.array(own, own + 1)).otherwise(F.array(own)))).withColumn("_own", F.col("_b") == own)
+    w = Window.partitionBy(*keys, "_b").orderBy(micros).rangeBetween(-length, 0)
+    out = rows.withColumn("used", F.count("*").over(w)).filter("_own").drop("_b", "_own")
     return out if most is None else out.withColumn("over", F.col("used") > most)
 
 
