@@ -83,3 +83,26 @@ def fill_gaps(gaps: DataFrame, facts: DataFrame, classes: DataFrame, stored: Dat
     order = Window.partitionBy(*keys, "canonical", "period_end").orderBy((F.col("form") != form).cast("int"), F.col("frame").isNull().cast("int"), "rank", "accession", "val")
     best = found.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
     return best.join(stored.select(*keys, "canonical", "period_end").distinct(), [*keys, "canonical", "period_end"], "left_anti").select(*keys, "canonical", "period_end", "tag", "val", "accession")
+
+
+def filing_order(filings: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds place: newest fiscal year first, in it the quarters, the annual report, amendments, others."""
+    form = F.col("form")
+    rank = F.when(form.isin("10-K", "20-F"), 4).when(form == "10-Q", F.coalesce("quarter", F.lit(6))).when(form.endswith("/A"), 5).otherwise(6)
+    return filings.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("fiscal_year").desc_nulls_last(), rank, "end_date", "accession")))
+
+
+def applied_fills(gaps: DataFrame, fills: DataFrame, stored: DataFrame, values: DataFrame, keys: list[str], period: list[str], may_flip: tuple[str, ...] = (), concept: str = "concept") -> DataFrame:
+    """keys, period, val, state of each gap: 'filled' (to be inserted), 'exists' (stored meanwhile) or 'absent' (nothing found).
+
+    A fill takes the sign that all stored values of its series have, unless the
+    concept is one that may change its sign. Writing the filled rows only is
+    the run, writing none a dry run.
+    """
+    on = [*keys, *period]
+    signed = fills.join(one_sign(values, keys), keys, "left")
+    keep = F.col("sign").isNull() | F.col(concept).isin(*may_flip)
+    signed = signed.withColumn("val", F.when(keep, F.col("val")).otherwise(F.col("sign") * F.abs("val"))).drop("sign")
+    out = gaps.join(signed, on, "left").join(stored.select(*on, F.lit(True).alias("_s")), on, "left")
+    state = F.when(F.col("val").isNull(), "absent").when(F.col("_s"), "exists").otherwise("filled")
+    return out.select(*on, "val", state.alias("state"))

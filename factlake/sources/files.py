@@ -147,7 +147,7 @@ def identifiers(spark: SparkSession, path: str) -> DataFrame:
 
 def html_archive(spark: SparkSession, path: str) -> DataFrame:
     """accession, html of an archive of text files (.html.gz, .html, .htm); of several files of one accession the first in this order."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
     rank = F.when(F.col("file").endswith(".html.gz"), 0).when(F.col("file").endswith(".html"), 1).otherwise(2)
     w = Window.partitionBy("accession").orderBy(rank, "file")
     rows = rows.withColumn("accession", F.regexp_extract("file", r"^(.+?)\.html?(?:\.gz)?$", 1)).filter("accession <> ''")
