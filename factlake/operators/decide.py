@@ -55,6 +55,14 @@ def proposal(old: Column, stored: Column, absolute: Column) -> Column:
     return F.when(F.abs(old - stored) <= F.abs(old - absolute), stored).otherwise(absolute)
 
 
+def proposals(findings: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, statement_type, concept, old, new, reason, source: a repair for every identity that doesn't hold (finding with target, expected and absolute in its evidence)."""
+    e = lambda c: F.col("evidence")[c].cast("double")
+    bad = findings.filter((F.col("type") == "math_mismatch") & e("target").isNotNull() & e("expected").isNotNull() & F.col("concept").isNotNull())
+    new = proposal(e("target"), e("expected"), F.coalesce(e("absolute"), e("expected")))
+    return bad.select(*keys, "statement_type", "concept", e("target").alias("old"), new.alias("new"), F.concat(F.lit("recomputed from "), F.coalesce(F.col("evidence")["identity"], F.lit("an identity"))).alias("reason"), F.lit("calculation").alias("source"))
+
+
 def approve(current: Column, old: Column, new: Column, source: Column, reason: Column, mode: Column) -> Column:
     """struct(approved, why): finite, an allowed source, a reason, the old value still current, a real change, a mode that repairs."""
     why = (

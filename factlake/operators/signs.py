@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import periods as P
+from ..functions import text as T
 from ..functions.text import local_name
 
 # --- fixed values -----------------------------------------------------------
@@ -84,3 +86,20 @@ def presented(value: Column, concept: Column, statement: Column, label: Column,
     )
     negated = F.coalesce(F.lower(role).contains("negated"), F.lit(False))
     return F.when(value.isNull() | (value == 0), value).when(shown_sign.isin(-1, 1), shown_sign * F.abs(value)).when(negated, -value).otherwise(rules)
+
+
+def transformed(items: DataFrame, as_of: Column) -> DataFrame:
+    """Line items (concept, statement_type, label, value, unit, weight, role, html_sign, period, facts) as they are shown.
+
+    Units are standard, the value before the sign rules is kept as
+    original_value, nested facts (structs with concept, label, value and sign)
+    follow the item's rules, and odd period dates are marked.
+    """
+    def shown(value: Column, concept: Column, label: Column, html: Column) -> Column:
+        return presented(value, concept, F.col("statement_type"), label, F.col("weight"), F.col("role"), html)
+
+    facts = F.transform("facts", lambda f: F.struct(f["concept"].alias("concept"), f["label"].alias("label"), shown(f["value"], F.coalesce(f["concept"], F.col("concept")), F.coalesce(f["label"], F.col("label")), F.coalesce(f["sign"], F.col("html_sign"))).alias("value"), f["sign"].alias("sign")))
+    start, end = P.period_start(F.col("period")), P.period_end(F.col("period"))
+    odd = F.coalesce(start.isNotNull() & end.isNotNull() & ~P.valid_dates(start, end, as_of), F.lit(False))
+    out = items.withColumns({"original_value": F.col("value"), "unit": F.when(F.col("value").isNotNull(), T.standard_unit(F.col("unit"))).otherwise(F.col("unit")), "facts": facts, "period_warning": odd})
+    return out.withColumn("value", shown(F.col("original_value"), F.col("concept"), F.col("label"), F.col("html_sign")))

@@ -84,7 +84,7 @@ def check_math(lines: DataFrame, keys: list[str]) -> DataFrame:
         stored = sum((F.col(f"t{i}_{j}") * s for j, (_, s) in enumerate(terms)), F.lit(0))
         absolute = sum((F.col(f"t{i}_{j}") if s > 0 else -F.abs(F.col(f"t{i}_{j}")) for j, (_, s) in enumerate(terms)), F.lit(0))
         bad = one.filter((F.col("statement_type") == statement) & ~(_close(t, stored) | _close(t, absolute)))
-        out.append(_finding(bad, [*keys, "statement_type"], "math_mismatch", "high", F.lit(target[0]), identity=F.lit(name), target=t, expected=stored))
+        out.append(_finding(bad, [*keys, "statement_type"], "math_mismatch", "high", F.lit(target[0]), identity=F.lit(name), target=t, expected=stored, absolute=absolute))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -208,3 +208,37 @@ def severity_counts(findings: DataFrame, keys: list[str]) -> DataFrame:
     """keys, high, medium, low, status."""
     one = findings.groupBy(*keys).agg(*[F.count_if(F.col("severity") == s).alias(s) for s in ("high", "medium", "low")], F.coalesce(F.bool_or(is_blocking()), F.lit(False)).alias("blocked"))
     return one.withColumn("status", F.when(F.col("blocked"), "fail").when(F.col("high") + F.col("medium") + F.col("low") > 0, "pass_with_findings").otherwise("pass")).drop("blocked")
+
+
+#: Checks of every statement, by name.
+CHECKS = {"math": check_math, "plausibility": check_plausibility, "structure": check_structure}
+
+
+def report(statements: DataFrame, lines: DataFrame, keys: list[str], shown: DataFrame | None = None, cross: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Findings of all checks (one schema, with check), and a report per filing: status, counts by severity, blocking, checks.
+
+    ``statements`` as in ``check_periods``, one row per statement. Coverage and
+    the presentation's differences are checked for filings that ``shown`` has,
+    one concept in two statements only on request.
+    """
+    def named(f: DataFrame, name: str) -> DataFrame:
+        return f.select(*keys, "statement_type", "type", "severity", "concept", F.lit(name).alias("check"))
+
+    parts = [named(f(lines, keys), name) for name, f in CHECKS.items()] + [named(check_periods(statements, lines, keys), "periods")]
+    n_checks = F.lit(len(CHECKS) + 1)
+    one = statements.groupBy(*keys).agg(F.count("*").alias("statements"))
+    if shown is not None:
+        have = shown.select(*keys).distinct()
+        parts.append(named(check_coverage(lines, keys).join(have, keys, "left_semi"), "coverage"))
+        diff = presentation_diff(lines, shown, keys).select("*", F.lit(None).cast("string").alias("statement_type"), F.lit("medium").alias("severity"))
+        parts.append(named(diff, "presentation"))
+        one = one.join(have.withColumn("_h", F.lit(2)), keys, "left")
+        n_checks = n_checks + F.coalesce("_h", F.lit(0))
+    if cross:
+        both = cross_statement(lines, keys).select(*keys, F.lit(None).cast("string").alias("statement_type"), F.lit("cross_statement_mismatch").alias("type"), F.lit("high").alias("severity"), F.lit("us-gaap:NetIncomeLoss").alias("concept"))
+        parts.append(named(both, "cross"))
+    findings = reduce(DataFrame.unionByName, parts)
+    counts = findings.groupBy(*keys).agg(*[F.count_if(F.col("severity") == x).alias(x) for x in ("high", "medium", "low")], F.count_if(is_blocking()).alias("blocking"))
+    out = one.withColumn("checks", F.col("statements") * n_checks).join(counts, keys, "left").fillna(0, ["high", "medium", "low", "blocking"])
+    status = F.when(F.col("blocking") > 0, "fail").when(F.col("high") + F.col("medium") + F.col("low") > 0, "pass_with_findings").otherwise("pass")
+    return findings, out.withColumn("status", status).select(*keys, "statements", "checks", "high", "medium", "low", "blocking", "status")

@@ -54,13 +54,39 @@ def deaccumulated(frames: Frames) -> Frames:
 
 
 def reconciled(provider: Callable[[DataFrame], DataFrame]) -> Stage:
-    """Adds what a provider has for the gaps of the series."""
+    """Adds what a provider (gaps -> cik, concept, period, val) has for the gaps of the series."""
 
     def stage(frames: Frames) -> Frames:
-        gaps = series.interior_gaps(frames["quarterly"].withColumn("period", F.concat_ws("-", "fiscal_year", "quarter")), ["cik"], ["cik", "concept"])
-        return {"gaps": gaps, "fills": provider(gaps)}
+        at = frames["quarterly"].withColumn("period", F.concat_ws("-", "fiscal_year", "quarter"))
+        gaps = series.interior_gaps(at, ["cik"], ["cik", "concept"])
+        fills = provider(gaps).join(gaps, ["cik", "concept", "period"], "left_semi")
+        whole = at.select("cik", "concept", "period", F.col("quarter_value").alias("value")).unionByName(fills.select("cik", "concept", "period", F.col("val").alias("value")))
+        return {"gaps": gaps, "fills": fills, "series": whole}
 
     return stage
 
 
+def audited(frames: Frames) -> Frames:
+    """What is still missing, and jumps of scale, after fills."""
+    left = series.interior_gaps(frames["series"], ["cik"], ["cik", "concept"])
+    return {"left": left, "jumps": series.scale_jumps(frames["series"], ["cik", "concept"])}
+
+
+def finalised(frames: Frames) -> Frames:
+    """One row per company: gaps, filled, left, jumps and a status."""
+
+    def per(name: str, column: str) -> DataFrame:
+        return frames[name].groupBy("cik").agg(F.count("*").alias(column))
+
+    out = frames["totals"].select("cik").distinct()
+    for name, column in (("gaps", "gaps"), ("fills", "filled"), ("left", "left"), ("jumps", "jumps")):
+        out = out.join(per(name, column), "cik", "left")
+    out = out.fillna(0, ["gaps", "filled", "left", "jumps"])
+    return {"companies": out.withColumn("status", F.when(F.col("left") + F.col("jumps") > 0, "findings_detected").otherwise("clean"))}
+
+
+def company_stage(provider: Callable[[DataFrame], DataFrame]) -> list[Stage]:
+    return [deaccumulated, reconciled(provider), audited, finalised]
+
+
 FILING_STAGE: list[Stage] = [enrich, check, decision()]

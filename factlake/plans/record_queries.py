@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
-from ..operators import concepts, documents, guidance, hierarchy, series, shape
+from ..operators import cache, concepts, documents, guidance, hierarchy, series, shape
 from ..sources import files, landing
 from ..streaming import queue
 from .registry import query, table
@@ -352,3 +352,29 @@ def resume_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("accession")).distinct()
     return queue.pending(jobs, ledger)
 
+
+@query("""WITH e AS (SELECT event_id, event_type, epoch_us(ts) AS t, row_number() OVER (PARTITION BY event_type ORDER BY epoch_us(ts), event_id) AS i FROM events), p AS (SELECT *, max(t - i * 300000000.0) OVER (PARTITION BY event_type ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS paid FROM e)
+SELECT event_id, ceil(greatest(t::DOUBLE, coalesce(i * 300000000.0 + paid - 3 * 300000000.0, t::DOUBLE)))::BIGINT AS granted FROM p""")
+def token_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request in five minutes, four held"""
+    return queue.granted(table(spark, sf_dir, "events"), ["event_type"], 1 / 300, 4).select("event_id", "granted")
+
+
+@query("""WITH j AS (SELECT o_orderkey AS job, epoch_us(o_orderdate) AS s, epoch_us(o_orderdate) + (o_orderkey % 400) * 1000000 AS e FROM orders), b AS (SELECT job, unnest(range(s + 60000000, e, 60000000)) AS t FROM j WHERE e - s > 60000000), a AS (SELECT job, s AS t, 'start' AS kind FROM j UNION ALL SELECT job, e, 'end' FROM j UNION ALL SELECT job, t, 'heartbeat' FROM b)
+SELECT job, kind, count(*) AS n, min(t) AS first, max(t) AS last FROM a GROUP BY ALL""")
+def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A25"""
+    start = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    jobs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("job"), start.alias("started"), (start + F.col("o_orderkey") % 400 * 1_000_000).alias("ended"))
+    return queue.heartbeats(jobs).groupBy("job", "kind").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+
+
+@query(r"""WITH r AS (SELECT p_partkey, 'm' || (p_partkey % 2)::VARCHAR AS model, p_name AS prompt FROM part), c AS (SELECT DISTINCT model, prompt FROM r WHERE p_partkey % 3 = 0)
+SELECT p_partkey, CASE WHEN c.prompt IS NOT NULL THEN 'stored' ELSE 'new ' || r.prompt END AS response, c.prompt IS NOT NULL AS hit FROM r LEFT JOIN c USING (model, prompt)""")
+def cached_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a provider answers is asked once per question"""
+    k = F.col("p_partkey")
+    r = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("m"), (k % 2).cast("string")).alias("model"), F.col("p_name").alias("prompt"))
+    stored = r.filter(k % 3 == 0).select(cache.cache_key(F.col("model"), F.col("prompt")).alias("key"), F.lit("stored").alias("response")).distinct()
+    out, _ = cache.answered(r, stored, lambda asked: asked.select("key", F.concat(F.lit("new "), "prompt").alias("response")))
+    return out.select("p_partkey", "response", "hit")

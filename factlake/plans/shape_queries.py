@@ -11,7 +11,7 @@ from ..sources import files
 from . import pipeline
 from .quarter_queries import TOTALS, _totals
 from .registry import query, table
-from .statement_queries import lines
+from .statement_queries import _MATH, _once, lines
 from .tables import LINE_FACTS, cents, line_facts
 
 _ROLE_CASE = "CASE p_size % 6 WHEN 0 THEN 'CONSOLIDATED BALANCE SHEETS' WHEN 1 THEN 'Consolidated Statements of Cash Flows' WHEN 2 THEN 'BALANCE SHEETS (Parenthetical)' WHEN 3 THEN 'Combined Statements of Operations' WHEN 4 THEN 'Statements of Comprehensive Income' ELSE 'Details' END"
@@ -130,17 +130,26 @@ def point_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.point_scan(table(spark, sf_dir, "orders"), {"o_orderstatus": "F"}, ["o_orderkey", "o_orderpriority", "o_totalprice"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 20)
 
 
-@query("""WITH d AS (SELECT DISTINCT l_orderkey AS filing FROM lineitem) SELECT count(*) AS filings FROM d""")
+@query(f"""WITH {_MATH}, o AS (SELECT *, row_number() OVER (PARTITION BY filing, concept ORDER BY position) AS n FROM s), c AS (SELECT filing, statement_type, NOT bool_or(CASE WHEN statement_type = 'income' THEN regexp_matches(lower(concept), 'revenue|operatingincome|netincome') ELSE regexp_matches(lower(concept), 'asset|liabilit|equity') END) AS missing FROM o WHERE n = 1 GROUP BY ALL)
+SELECT c.filing, CASE WHEN missing OR m.filing IS NOT NULL THEN 'skip' ELSE 'write' END AS action, CASE WHEN missing OR m.filing IS NOT NULL THEN '' ELSE c.statement_type END AS statements, CASE WHEN missing THEN '' ELSE c.statement_type END AS permitted FROM c LEFT JOIN m USING (filing)""")
 def filing_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every filing gets one decision"""
-    frames = pipeline.run(pipeline.FILING_STAGE, {"lines": lines(spark, sf_dir)})
-    return frames["decision"].agg(F.count("*").alias("filings"))
-
-
-@query(f"""WITH {TOTALS}, h AS (SELECT cik, fiscal_year, bool_or(quarter = 1) AS h1, bool_or(quarter = 2) AS h2 FROM y GROUP BY ALL), r AS (SELECT y.* FROM y JOIN h USING (cik, fiscal_year) WHERE quarter = 1 OR (quarter = 2 AND h1) OR (quarter = 3 AND h2)),
-v AS (SELECT cik, concept, fiscal_year::VARCHAR || '-' || quarter::VARCHAR AS period FROM r), s AS (SELECT cik, concept, min(period) AS a, max(period) AS z FROM v GROUP BY ALL), u AS (SELECT DISTINCT cik, period FROM v)
-SELECT s.cik, count(*) AS gaps FROM s JOIN u ON u.cik = s.cik AND period > a AND period < z ANTI JOIN v ON v.cik = s.cik AND v.concept = s.concept AND v.period = u.period GROUP BY s.cik""")
+    """Enrich, check, decide; the decision on every filing"""
+    frames = pipeline.run(pipeline.FILING_STAGE, {"lines": _once(lines(spark, sf_dir))})
+    return frames["decision"].withColumns({"statements": F.array_join("statements", ","), "permitted": F.array_join("permitted", ",")})
+
+
+@query(f"""WITH {TOTALS}, h AS (SELECT cik, fiscal_year, bool_or(quarter = 1) AS h1, bool_or(quarter = 2) AS h2 FROM y GROUP BY ALL), p AS (SELECT cik, concept, fiscal_year, max(value) FILTER (quarter = 1) AS v1, max(value) FILTER (quarter = 2) AS v2 FROM y GROUP BY ALL),
+r AS (SELECT y.cik, concept, y.fiscal_year::VARCHAR || '-' || quarter::VARCHAR AS period, CASE WHEN quarter = 1 THEN value WHEN quarter = 2 AND h1 THEN value - coalesce(v1, 0) WHEN quarter = 3 AND h2 THEN value - coalesce(v2, v1, 0) END AS value FROM y JOIN h USING (cik, fiscal_year) JOIN p USING (cik, concept, fiscal_year)),
+v AS (SELECT * FROM r WHERE value IS NOT NULL), s AS (SELECT cik, concept, min(period) AS a, max(period) AS z FROM v GROUP BY ALL), u AS (SELECT DISTINCT cik, period FROM v),
+g AS (SELECT s.cik, s.concept, u.period FROM s JOIN u ON u.cik = s.cik AND period > a AND period < z ANTI JOIN v ON v.cik = s.cik AND v.concept = s.concept AND v.period = u.period),
+f AS (SELECT g.*, v.value FROM g JOIN v ON v.cik = g.cik AND v.period = g.period AND v.concept = '2-HIGH'), w AS (SELECT cik, concept, period, value FROM v UNION ALL SELECT * FROM f),
+l AS (SELECT g.* FROM g ANTI JOIN f USING (cik, concept, period)), j AS (SELECT *, lag(value) OVER (PARTITION BY cik, concept ORDER BY period) AS prev FROM w), k AS (SELECT cik FROM j WHERE abs(value) > 1 AND abs(prev) > 1 AND greatest(abs(value), abs(prev)) >= 500 * least(abs(value), abs(prev)))
+SELECT c.cik, (SELECT count(*) FROM g WHERE g.cik = c.cik) AS gaps, (SELECT count(*) FROM f WHERE f.cik = c.cik) AS filled, (SELECT count(*) FROM l WHERE l.cik = c.cik) AS "left", (SELECT count(*) FROM k WHERE k.cik = c.cik) AS jumps,
+  CASE WHEN EXISTS (SELECT 1 FROM l WHERE l.cik = c.cik) OR EXISTS (SELECT 1 FROM k WHERE k.cik = c.cik) THEN 'findings_detected' ELSE 'clean' END AS status FROM (SELECT DISTINCT cik FROM y) c""")
 def company_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N08, G20"""
-    frames = pipeline.run([pipeline.deaccumulated, pipeline.reconciled(lambda gaps: gaps.limit(0))], {"totals": _totals(spark, sf_dir)})
-    return frames["gaps"].groupBy("cik").agg(F.count("*").alias("gaps"))
+    """Deaccumulate, fill gaps from a provider of facts, audit, finalise"""
+    totals = _totals(spark, sf_dir)
+    facts = pipeline.deaccumulated({"totals": totals})["quarterly"].filter("concept = '2-HIGH'")
+    facts = facts.select("cik", F.concat_ws("-", "fiscal_year", "quarter").alias("period"), F.col("quarter_value").alias("val"))
+    frames = pipeline.run(pipeline.company_stage(lambda gaps: gaps.join(facts, ["cik", "period"])), {"totals": totals})
+    return frames["companies"]

@@ -156,7 +156,7 @@ def structure_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT filing, statement_type, 'unusual_period_duration' AS type FROM p UNION ALL SELECT filing, statement_type, 'missing_period_end' FROM f WHERE filing % 11 = 0 UNION ALL SELECT filing, statement_type, 'unparseable_period_end' FROM f WHERE filing % 11 = 1
 UNION ALL SELECT filing, statement_type, 'missing_fiscal_year' FROM f WHERE filing % 7 = 0 UNION ALL SELECT filing, statement_type, 'period_type_form_mismatch' FROM f WHERE filing % 5 = 0""")
 def period_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J03, J08"""
+    """J03"""
     rows = lines(spark, sf_dir)
     f = F.col("filing")
     statements = rows.select("filing", "statement_type").distinct().select(
@@ -266,17 +266,67 @@ def severity_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.severity_counts(_findings(spark, sf_dir), ["filing"])
 
 
-@query("""WITH p AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::BIGINT AS old, l_linenumber % 4 AS k FROM lineitem)
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, k <> 0 AND k <> 3 AS approved, CASE k WHEN 0 THEN 'source' WHEN 3 THEN 'no_change' ELSE 'ok' END AS why, CASE WHEN k = 1 THEN old + 5 WHEN k = 2 THEN old - 9 ELSE old END AS value, old - 9 AS nearer_to_low FROM p""")
+@query("""WITH p AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place, round(l_extendedprice * 100)::BIGINT AS old, l_linenumber % 4 AS k FROM lineitem)
+SELECT l_orderkey, place, CASE WHEN k = 1 THEN old + 5 WHEN k = 2 THEN old - 9 ELSE old END AS value, CASE WHEN k IN (1, 2) THEN old END AS corrected_from, CASE WHEN k IN (1, 2) THEN 'filing' END AS corrected_by FROM p""")
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J13, J14, J15"""
-    k = F.col("l_linenumber") % 4
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), cents("l_extendedprice").alias("old"), k.alias("k"))
-    new = F.when(F.col("k") == 1, F.col("old") + 5).when(F.col("k") == 2, F.col("old") - 9).otherwise(F.col("old"))
-    gate = decide.approve(F.col("old"), F.col("old"), new, F.when(F.col("k") == 0, "rumour").otherwise("filing"), F.lit("checked"), F.lit("repair"))
-    rows = rows.withColumns({"gate": gate, "new": new})
-    near = decide.proposal(F.col("old"), F.col("old") - 9, F.col("old") + 100)
-    return rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "gate.approved", "gate.why", F.when(F.col("gate.approved"), F.col("new")).otherwise(F.col("old")).alias("value"), near.alias("nearer_to_low"))
+    """Decisions of the gate applied to the lines"""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", place.cast("bigint").alias("place"), (F.col("l_linenumber") % 4).alias("k"), cents("l_extendedprice").alias("value"))
+    v = F.col("value")
+    new = F.when(F.col("k") == 1, v + 5).when(F.col("k") == 2, v - 9).otherwise(v)
+    source = F.when(F.col("k") == 0, "rumour").otherwise("filing")
+    gate = decide.approve(v, v, new, source, F.lit("checked"), F.lit("repair"))
+    decisions = rows.select("l_orderkey", "place", gate["approved"].alias("approved"), new.alias("new"), source.alias("source"))
+    return decide.corrected(rows.drop("k"), decisions, ["l_orderkey", "place"])
+
+
+@query(f"""WITH {_MATH}, a AS (SELECT m.*, r.revenue - abs(r.cost) AS absolute FROM m JOIN r USING (filing)) SELECT filing, concept, target::DOUBLE AS old, (CASE WHEN abs(target - expected) <= abs(target - absolute) THEN expected ELSE absolute END)::DOUBLE AS new FROM a""")
+def repair_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the identities that don't hold"""
+    flipped = _once(lines(spark, sf_dir))
+    return decide.proposals(validate.check_math(flipped, ["filing"]), ["filing"]).select("filing", "concept", "old", "new")
+
+
+@query(f"""WITH {LINES}, o AS (SELECT *, row_number() OVER (PARTITION BY filing, concept ORDER BY position) AS n FROM s), x AS (SELECT * FROM o WHERE n = 1),
+st AS (SELECT filing, any_value(statement_type) AS statement_type, count(DISTINCT statement_type) AS statements FROM x GROUP BY filing),
+mm AS (SELECT filing, {_first('Revenues')} AS revenue, {_first('CostOfRevenue')} AS cost, {_first('GrossProfit')} AS gross FROM x WHERE statement_type = 'income' GROUP BY filing),
+f AS (
+  SELECT filing, 'high' AS severity, true AS blocking FROM mm WHERE revenue IS NOT NULL AND cost IS NOT NULL AND gross IS NOT NULL AND abs(gross - (revenue - cost)) > greatest(abs(gross) * 0.005, 1.0) AND abs(gross - (revenue - abs(cost))) > greatest(abs(gross) * 0.005, 1.0)
+  UNION ALL SELECT filing, 'low', false FROM x GROUP BY filing, statement_type HAVING count(*) >= 3 AND min(value) = max(value)
+  UNION ALL SELECT filing, 'medium', false FROM x WHERE order_key IS NULL
+  UNION ALL SELECT filing, 'medium', false FROM x GROUP BY filing, statement_type HAVING count(*) FILTER (level < 0) > 0
+  UNION ALL SELECT filing, 'medium', false FROM x WHERE order_key IS NOT NULL GROUP BY filing, statement_type, path, order_key HAVING count(DISTINCT concept) > 1
+  UNION ALL SELECT a.filing, 'medium', false FROM x a WHERE contains(path, '.') AND NOT EXISTS (SELECT 1 FROM x b WHERE b.filing = a.filing AND b.path = split_part(a.path, '.', 1)) GROUP BY a.filing, a.statement_type
+  UNION ALL SELECT filing, 'low', false FROM x WHERE days < 30 OR days > 400 GROUP BY filing, statement_type
+  UNION ALL SELECT filing, 'low', false FROM st WHERE filing % 7 = 0
+  UNION ALL SELECT filing, 'high', true FROM x WHERE filing % 2 = 0 GROUP BY filing, statement_type HAVING NOT bool_or(CASE WHEN statement_type = 'income' THEN regexp_matches(lower(concept), 'revenue|operatingincome|netincome') ELSE regexp_matches(lower(concept), 'asset|liabilit|equity') END)
+), c AS (SELECT filing, count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium, count(*) FILTER (severity = 'low') AS low, count(*) FILTER (blocking) AS blocking FROM f GROUP BY filing)
+SELECT st.filing, statements, CASE WHEN st.filing % 2 = 0 THEN 6 ELSE 4 END AS checks, coalesce(high, 0) AS high, coalesce(medium, 0) AS medium, coalesce(low, 0) AS low, coalesce(blocking, 0) AS blocking, CASE WHEN blocking > 0 THEN 'fail' WHEN high + medium + low > 0 THEN 'pass_with_findings' ELSE 'pass' END AS status FROM st LEFT JOIN c USING (filing)""")
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check over every filing; even ones have a presentation, the same as their lines"""
+    rows = _once(lines(spark, sf_dir))
+    f = F.col("filing")
+    statements = rows.select("filing", "statement_type").distinct().select("*", F.lit("2024-01-01").alias("end_text"), F.when(f % 7 != 0, 2024).alias("fiscal_year"), F.lit("annual").alias("period_type"), F.lit("10-K").alias("form"))
+    shown = rows.filter(f % 2 == 0).select("filing", "concept", "value")
+    return validate.report(statements, rows, ["filing"], shown)[1].select("filing", "statements", F.col("checks").cast("int").alias("checks"), "high", "medium", "low", "blocking", "status")
+
+
+@query("""WITH v AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::BIGINT AS v, l_linenumber % 3 AS k, l_suppkey % 5 = 0 AS odd FROM lineitem)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, v AS original_value, CASE k WHEN 0 THEN -v WHEN 1 THEN v ELSE -v END AS value, CASE k WHEN 0 THEN -7 ELSE 7 END AS nested, odd AS period_warning, CASE WHEN l_linenumber % 2 = 0 THEN 'USD' ELSE 'shares' END AS unit FROM v""")
+def line_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payment, a receipt, and a sign that the HTML shows, each with a nested fact"""
+    n = F.col("l_linenumber")
+    k = n % 3
+    concept = F.when(k == 0, "us-gaap:PaymentsToAcquireBusinesses").otherwise("us-gaap:ProceedsFromIssuanceOfDebt")
+    none = F.lit(None)
+    fact = F.struct(none.cast("string").alias("concept"), none.cast("string").alias("label"), F.lit(7).cast("bigint").alias("value"), F.when(k == 2, 1).alias("sign"))
+    period = F.when(F.col("l_suppkey") % 5 == 0, "2024-12-31 to 2024-01-01").otherwise("2024-01-01 to 2024-03-31")
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", n.cast("bigint").alias("l_linenumber"), cents("l_extendedprice").alias("value"), concept.alias("concept"), F.lit("cash_flow").alias("statement_type"), none.cast("string").alias("label"),
+        F.when(n % 2 == 0, "US$").otherwise("xbrli:shares").alias("unit"), none.cast("double").alias("weight"), none.cast("string").alias("role"), F.when(k == 2, -1).alias("html_sign"), period.alias("period"), F.array(fact).alias("facts"),
+    )
+    out = signs.transformed(items, F.to_date(F.lit("2024-06-30")))
+    return out.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "original_value", F.col("value").cast("bigint").alias("value"), F.col("facts")[0]["value"].cast("int").alias("nested"), "period_warning", "unit")
 
 
 _SIGNED = ("PaymentsToAcquireBusinesses", "ProceedsFromIssuanceOfDebt", "IncreaseDecreaseInAccountsReceivable", "IncreaseDecreaseInAccountsPayable", "ShareBasedCompensation", "NetCashProvidedByUsedInOperatingActivities", "OtherNoncashIncomeExpense")
@@ -286,7 +336,7 @@ _SIGNED = ("PaymentsToAcquireBusinesses", "ProceedsFromIssuanceOfDebt", "Increas
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, v AS raw, CASE l_linenumber WHEN 1 THEN -abs(v) WHEN 2 THEN v WHEN 3 THEN -v WHEN 4 THEN v WHEN 5 THEN abs(v) WHEN 6 THEN v ELSE -abs(v) END AS shown,
   CASE l_linenumber % 3 WHEN 0 THEN -abs(v) WHEN 1 THEN -v ELSE abs(v) END AS balance FROM v""")
 def sign_convention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E26, E27, E28, E29, E30"""
+    """E26, E27, E28, E29"""
     li = table(spark, sf_dir, "lineitem")
     v = F.when(F.col("l_returnflag") == "R", -cents("l_extendedprice")).otherwise(cents("l_extendedprice"))
     n = F.col("l_linenumber")

@@ -111,3 +111,26 @@ def sessions(events: DataFrame, keys: list[str], gap_seconds: int = 600) -> Data
     rows = events.withColumn("_new", F.coalesce(gap > gap_seconds * 1_000_000, F.lit(True)).cast("int"))
     rows = rows.withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(*keys, "session").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n"))
+
+
+def granted(requests: DataFrame, keys: list[str], rate: float, capacity: float | None = None, at: str = "ts") -> DataFrame:
+    """Adds granted (microseconds): when a token bucket of ``rate`` tokens a second lets each request of a key pass, in order of arrival.
+
+    The bucket is full at first and holds ``capacity`` tokens (the rate, unless
+    given). Request i may pass when the bucket's debt is paid: a running maximum
+    over the arrivals before it says when, so no request is walked through.
+    """
+    step, held = 1_000_000 / rate, (rate if capacity is None else capacity) - 1
+    order = Window.partitionBy(*keys).orderBy(_micros(at), "event_id")
+    rows = requests.withColumns({"_t": _micros(at).cast("double"), "_i": F.row_number().over(order).cast("double")})
+    paid = F.max(F.col("_t") - F.col("_i") * step).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    free = F.col("_i") * step + paid - held * step
+    return rows.withColumn("granted", F.ceil(F.greatest(F.col("_t"), F.coalesce(free, F.col("_t")))).cast("bigint")).drop("_t", "_i")
+
+
+def heartbeats(jobs: DataFrame, seconds: int = 60) -> DataFrame:
+    """job, at (microseconds), kind: the progress events of jobs (job, started, ended in microseconds): start, one beat every ``seconds`` while they run, end."""
+    step = seconds * 1_000_000
+    beats = F.transform(F.when(F.col("ended") - F.col("started") > step, F.sequence(F.col("started") + step, F.col("ended") - 1, F.lit(step))).otherwise(F.array().cast("array<bigint>")), lambda t: F.struct(t.alias("at"), F.lit("heartbeat").alias("kind")))
+    ends = F.array(F.struct(F.col("started").alias("at"), F.lit("start").alias("kind")), F.struct(F.col("ended").alias("at"), F.lit("end").alias("kind")))
+    return jobs.select("job", F.inline(F.concat(ends, beats)))
