@@ -71,7 +71,7 @@ def fill_gaps(gaps: DataFrame, facts: DataFrame, classes: DataFrame, stored: Dat
 
     ``gaps``: keys, canonical, period_end, is_instant, expected_days.
     ``facts``: keys, tag, start, end, val, form, frame, accession.
-    ``classes``: canonical, tag, rank (bounded by the taxonomy).
+    ``classes``: canonical, tag, rank.
     """
     low, high = ANNUAL_DAYS if annual else QUARTER_DAYS
     form = "10-K" if annual else "10-Q"
@@ -79,7 +79,7 @@ def fill_gaps(gaps: DataFrame, facts: DataFrame, classes: DataFrame, stored: Dat
     fits = F.when(F.col("is_instant"), F.col("start").isNull()).otherwise(
         F.when(F.col("expected_days").isNotNull(), F.abs(days - F.col("expected_days")) <= LEARNED_TOLERANCE_DAYS).otherwise(days.between(low, high))
     )
-    found = gaps.join(F.broadcast(classes), "canonical").join(facts.withColumnRenamed("end", "period_end").withColumn("end", F.col("period_end")), [*keys, "tag", "period_end"]).filter(fits)
+    found = gaps.join(classes, "canonical").join(facts.withColumnRenamed("end", "period_end").withColumn("end", F.col("period_end")), [*keys, "tag", "period_end"]).filter(fits)
     order = Window.partitionBy(*keys, "canonical", "period_end").orderBy((F.col("form") != form).cast("int"), F.col("frame").isNull().cast("int"), "rank", "accession", "val")
     best = found.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
     return best.join(stored.select(*keys, "canonical", "period_end").distinct(), [*keys, "canonical", "period_end"], "left_anti").select(*keys, "canonical", "period_end", "tag", "val", "accession")

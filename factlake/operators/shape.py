@@ -20,6 +20,7 @@ ROLE_WORDS = (
 ROLE_SCORE, COMPREHENSIVE_WEIGHT, OTHER_WEIGHT = 100.0, 2.0, 0.5
 BASE_PRIORITY, CONSOLIDATED, COMBINED, PARENTHETICAL = 50, -20, -10, 30
 VALID_FISCAL_YEAR, NO_DIMENSIONS = 50, 10
+MOST_PATTERNS = 10_000
 
 
 def role_statement(description: Column) -> Column:
@@ -45,8 +46,10 @@ def classified_roles(roles: DataFrame, concepts: DataFrame, keys: DataFrame, fil
 
     The description decides; a role without a telling one goes to the statement
     with the most key concepts (weighted). ``concepts``: filing, role, concept;
-    ``keys``: statement, pattern (a few dozen rows, matched as substrings).
+    ``keys``: statement, pattern (matched as substrings, so they are broadcast; their number is checked).
     """
+    if keys.count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
     hits = concepts.join(F.broadcast(keys), F.lower("concept").contains(F.lower("pattern")))
     weight = F.when(F.col("statement") == "comprehensive_income", COMPREHENSIVE_WEIGHT).otherwise(OTHER_WEIGHT)
     counts = hits.groupBy(*filing, "role", "statement").agg((F.count_distinct("concept") * F.first(weight)).alias("s"))

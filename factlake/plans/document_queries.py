@@ -9,26 +9,39 @@ from ..operators import documents, guidance
 from .registry import query, table
 
 
-@query()
+_BLOCKS = "|".join(documents.BLOCK_TAGS)
+_PLAIN = "html"
+for _pattern, _to in (
+    ("(?is)<script[^>]*>.*?</script>", ""), ("(?is)<style[^>]*>.*?</style>", ""), ("(?s)<!--.*?-->", ""), (f"(?i)</?({_BLOCKS})(\\s[^>]*)?/?>", "\n"), ("(?s)<[!a-zA-Z/][^>]*>", ""),
+):
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_pattern}', '{_to}', 'g')"
+for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&eacute;", "\u00e9"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&hellip;", "\u2026"), ("&amp;", "&")):
+    _PLAIN = f"replace({_PLAIN}, '{_entity}', '{_char}')"
+
+
+@query(f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split({_PLAIN}, chr(10)), lambda x: trim(regexp_replace(replace(x, chr(160), ' '), '\\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM pages)
+SELECT page_id, unnest(l) AS line, (generate_subscripts(l, 1) - 1)::INTEGER AS line_no FROM l""")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E24"""
     return documents.html_lines(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
-@query()
+@query("""WITH c(row_no, col_no, cell, value) AS (VALUES (0, 0, 'Total assets', NULL), (0, 1, '$ 1,234', 1234.0), (0, 2, NULL, NULL), (1, 0, 'Net income', NULL), (1, 1, '-', NULL))
+SELECT page_id, 0 AS table_no, row_no, col_no, coalesce(cell, '(' || page_id::VARCHAR || ')') AS cell, CASE WHEN cell IS NULL THEN -page_id ELSE value END::DOUBLE AS value, CASE WHEN cell IS NULL THEN -sign(page_id) ELSE sign(value) END::INTEGER AS sign, 'balancesheet' AS statement FROM pages CROSS JOIN c""")
 def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages turned into tables of their links"""
+    """Pages with a table behind them"""
     rows = F.concat(F.lit("<table><tr><td>Total assets</td><td>$ 1,234</td><td>("), F.col("page_id").cast("string"), F.lit(")</td></tr><tr><td>Net income</td><td>-</td></tr></table>"))
     pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.col("html"), rows).alias("html"))
     cells = documents.html_tables(pages, "page_id", "html")
     return cells.join(documents.statement_vote(cells, ["page_id", "table_no"]), ["page_id", "table_no"], "left")
 
 
-@query("""SELECT page_id, 0::BIGINT AS table_no, 0::BIGINT AS row_no, 18::BIGINT AS points FROM pages""")
+@query("""SELECT page_id, 0::BIGINT AS table_no, CASE page_id % 4 WHEN 0 THEN 0 ELSE 1 END::BIGINT AS row_no, CASE page_id % 4 WHEN 0 THEN 18 WHEN 1 THEN 2 ELSE 12 END::BIGINT AS points FROM pages WHERE page_id % 4 < 3""")
 def table_value_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole page, with a test table before it"""
-    first = F.lit("<table><tr><td>Total assets</td><td>$ 1,234</td></tr><tr><td>Other</td><td>(1,234)</td></tr></table>")
-    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(first, F.coalesce("html", F.lit(""))).alias("html"))
+    """Whole pages, with a table before them that shows the value in thousands, negative, in millions with a decimal, or not at all"""
+    k = F.col("page_id") % 4
+    rows = F.when(k == 0, "<tr><td>Total assets</td><td>$ 1,234</td></tr><tr><td>Other</td><td>(1,234)</td></tr>").when(k == 1, "<tr><td>Assets</td><td>99</td></tr><tr><td>Other</td><td>(1,234)</td></tr>").when(k == 2, "<tr><td>Assets</td><td>99</td></tr><tr><td>Other</td><td>1.2</td></tr>").otherwise("<tr><td>Total assets</td><td>77</td></tr>")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("<table>"), rows, F.lit("</table>"), F.coalesce("html", F.lit(""))).alias("html"))
     cells = documents.html_tables(pages, "page_id", "html")
     out = documents.tables_with_value(cells, ["page_id"], 1_234_000.0, "assets")
     return out.select("page_id", *[F.col(c).cast("bigint").alias(c) for c in ("table_no", "row_no", "points")])

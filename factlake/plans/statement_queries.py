@@ -177,7 +177,7 @@ def cross_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.cross_statement(rows, ["filing"])
 
 
-@query(f"""WITH {LINES}, a AS (SELECT filing, concept, max(value) AS value FROM s GROUP BY ALL), b AS (SELECT filing, concept, CASE WHEN filing % 5 = 1 THEN NULL WHEN filing % 5 = 2 THEN -value ELSE value END AS value FROM a WHERE filing % 5 <> 0)
+@query(f"""WITH {LINES.replace('s AS (', 's AS MATERIALIZED (', 1)}, a AS MATERIALIZED (SELECT filing, concept, max(value) AS value FROM s GROUP BY ALL), b AS MATERIALIZED (SELECT filing, concept, CASE WHEN filing % 5 = 1 THEN NULL WHEN filing % 5 = 2 THEN -value ELSE value END AS value FROM a WHERE filing % 5 <> 0)
 SELECT a.filing, a.concept, CASE WHEN b.filing IS NULL THEN 'missing_concept' WHEN b.value IS NULL THEN 'missing_value' ELSE 'sign_mismatch' END AS type FROM a LEFT JOIN b USING (filing, concept) WHERE b.filing IS NULL OR b.value IS NULL OR sign(a.value) * sign(b.value) < 0""")
 def presentation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F16, J06"""
