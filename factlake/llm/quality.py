@@ -43,7 +43,7 @@ class Subword:
     dim: int = 12
     epochs: int = 6
     rate: float = 4.0
-    per_class: int = 3000
+    per_class: int = 2000
     folds: int = 5
     seed: int = 7
 
