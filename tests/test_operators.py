@@ -231,3 +231,78 @@ def test_html(spark):
     cells = documents.html_tables(pages, "page_id", "html")
     assert [(r["cell"], r["value"], r["sign"]) for r in cells.orderBy("col_no").collect()] == [("Total assets", None, None), ("(1,234)", -1234.0, -1)]
     assert documents.statement_vote(cells, ["page_id"]).first()["statement"] == "balancesheet"
+
+
+def test_letters_of_any_rank(spark):
+    from factlake.operators import hierarchy
+
+    ranks = [0, 25, 26, 701, 702, 1999, 18277, 18278, 2**31, 2**62]
+    got = spark.createDataFrame([(r,) for r in ranks], "r bigint").select("r", hierarchy.letters(F.col("r")).alias("k"), hierarchy.letters_rank(hierarchy.letters(F.col("r"))).alias("back")).collect()
+
+    def key(n):
+        out, n = "", n + 1
+        while n:
+            n, d = divmod(n - 1, 26)
+            out = chr(97 + d) + out
+        return out
+
+    assert {r["r"]: r["k"] for r in got} == {r: key(r) for r in ranks}
+    assert all(r["r"] == r["back"] for r in got)
+    assert one(spark, hierarchy.letters(F.lit(-1))) is None
+    assert one(spark, hierarchy.letters_rank(F.lit("a1"))) == -1
+
+
+@pytest.mark.parametrize(("left", "right", "key"), [(None, None, "a"), (None, "d", "b"), (None, "a", "0n"), ("b", None, "c"), ("z", None, "aa"), ("a1", None, "a1n"), ("a", "c", "b"), ("a", "b", "an"), ("ab", "ad", "ac"), ("an", "ao", "ann")])
+def test_keys_between(spark, left, right, key):
+    from factlake.operators import hierarchy
+
+    assert one(spark, hierarchy.key_between(F.lit(left).cast("string"), F.lit(right).cast("string"))) == key
+
+
+def test_trees_beyond_a_million_rows(spark):
+    from factlake.operators import hierarchy
+
+    n = 1_200_000
+    i = F.col("id")
+    nodes = spark.range(n).select(i.alias("id"), F.when(i >= 1000, F.floor(i / 1000) - 1).alias("parent"), i.alias("position"))
+    got = hierarchy.tree_paths(nodes, []).groupBy("level").agg(F.count("*").alias("n"), F.count_distinct("path").alias("paths")).collect()
+    assert sum(r["n"] for r in got) == n
+    assert {r["level"]: r["n"] for r in got}[0] == 1000
+
+
+def test_deep_trees_and_rings(spark):
+    from factlake.operators import hierarchy
+
+    rows = [(k, k - 1 if k else None, k) for k in range(60)] + [(100, 101, 0), (101, 100, 0)]
+    got = hierarchy.tree_paths(spark.createDataFrame(rows, "id bigint, parent bigint, position bigint"), []).collect()
+    assert len(got) == 60 and max(r["level"] for r in got) == 59
+
+
+def test_statement_totals_become_parents(spark):
+    from factlake.operators import statements
+
+    rows = [
+        ("f", 1, None, 0, "us-gaap:AssetsCurrentAbstract", None, True, 0, None), ("f", 2, 1, 0, "us-gaap:Cash", 1.0, False, 0, None), ("f", 3, 1, 1, "us-gaap:AssetsCurrent", 2.0, False, 0, None),
+        ("g", 1, None, 0, "co:Ring", 1.0, False, 0, None), ("g", 2, 3, 0, "co:A", 1.0, False, 0, None), ("g", 3, 2, 0, "co:B", 1.0, False, 0, None),
+    ]
+    nodes = spark.createDataFrame(rows, "k string, id int, parent_id int, position int, concept string, value double, abstract boolean, facts int, role string")
+    got = {(r["k"], r["concept"]): (r["parent"], r["level"]) for r in statements.flat_rows(nodes, ["k"]).collect()}
+    assert got == {("f", "us-gaap:Cash"): ("us-gaap:AssetsCurrent", 1), ("f", "us-gaap:AssetsCurrent"): (None, 0), ("g", "co:Ring"): (None, 0)}
+    assert statements.flat_rows(nodes.filter("false"), ["k"]).count() == 0
+
+
+def test_guidance_of_one_bound_has_a_result(spark):
+    from factlake.operators import guidance
+
+    lit = lambda v: F.lit(v).cast("double")
+    r = one(spark, guidance.result(lit(5.0), lit(4.0), lit(3.0), lit(None), F.lit("range"), F.lit("Revenue")))
+    assert (r["outcome"], r["delta_abs"], r["delta_pct"]) == ("inline", 1.0, 25.0)
+    assert one(spark, guidance.result(lit(5.0), lit(4.0), lit(None), lit(None), F.lit("point"), F.lit("Operating expense")))["outcome"] == "miss"
+    assert one(spark, guidance.result(lit(5.0), lit(0.0), lit(None), lit(None), F.lit("min"), F.lit("Revenue")))["delta_pct"] is None
+
+
+def test_long_arithmetic(spark):
+    from factlake.functions.arithmetic import value_of
+
+    assert value_of("+".join(["1"] * 900)) == 900.0
+    assert value_of("1" + "+1" * 20_000) in (20_001.0, None)
