@@ -49,6 +49,10 @@ def test_exact_dedup(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_exact_dedup_of_nothing(spark):
+    assert exact_dedup.exact_dedup(table(spark, [])).count() == 0
+
+
 def test_exact_dedup_survives_hash_collisions(spark):
     rows = [(k, f"text {k % 7}", "s") for k in range(40)]
     weak = exact_dedup.exact_dedup(table(spark, rows), hash_of=lambda c: F.substring(F.md5(c), 1, 0))

@@ -277,17 +277,69 @@ def test_media(spark):
         with tarfile.open(fileobj=io.BytesIO(raw)) as t:
             assert t.extractfile(f"{r['payload_sha256']}.png").read() == raw[r["offset"] : r["offset"] + r["length"]]
     got = {r["doc_id"]: r for r in media.media_table(table(spark, rows)).collect()}
+    pngs = {}
+    for r in stored.collect():
+        store, path = fs.FileSystem.from_uri(r["shard"])
+        with store.open_input_file(path) as f:
+            pngs[r["doc_id"]] = f.read_at(r["length"], r["offset"])
     for i, t in rows:
         body = (t or "").encode()
         payload = body + bytes(max(64, -(-len(body) // 64) * 64) - len(body))
-        png = media.to_png(payload)
+        width, height, pixels = decoded_png(pngs[i])
+        assert (width, height, pixels) == (64, len(payload) // 64, payload)
         r = got[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
-        assert (r["media_bytes"], r["media_sha256"], r["feature"]) == (len(png), hashlib.sha256(png).hexdigest(), media.features(payload))
-        assert (r["width"], r["height"]) == (64, len(payload) // 64)
+        assert (r["media_bytes"], r["media_sha256"], r["feature"]) == (len(pngs[i]), hashlib.sha256(pngs[i]).hexdigest(), feature_of(payload))
+        assert (r["width"], r["height"]) == (width, height)
     assert media.media_table(table(spark, [])).count() == 0
 
 
+def decoded_png(raw):
+    """Width, height and samples of an 8-bit grey PNG, with any of the five row filters."""
+    assert raw[:8] == bytes([137, 80, 78, 71, 13, 10, 26, 10])
+    at, packed, size = 8, b"", None
+    while at < len(raw):
+        n = int.from_bytes(raw[at : at + 4], "big")
+        kind, body = raw[at + 4 : at + 8], raw[at + 8 : at + 8 + n]
+        assert int.from_bytes(raw[at + 8 + n : at + 12 + n], "big") == zlib.crc32(kind + body)
+        if kind == b"IHDR":
+            size = int.from_bytes(body[:4], "big"), int.from_bytes(body[4:8], "big")
+            assert tuple(body[8:]) == (8, 0, 0, 0, 0)
+        packed += body if kind == b"IDAT" else b""
+        at += 12 + n
+    width, height = size
+    data, out, before = zlib.decompress(packed), b"", bytes(width)
+    assert len(data) == height * (width + 1)
+    for y in range(height):
+        how, line = data[y * (width + 1)], bytearray(data[y * (width + 1) + 1 : (y + 1) * (width + 1)])
+        for x in range(width):
+            left, up, corner = (line[x - 1] if x else 0), before[x], (before[x - 1] if x else 0)
+            paeth = min((left, up, corner), key=lambda c: abs(left + up - corner - c))
+            line[x] = (line[x] + (0, left, up, (left + up) // 2, paeth)[how]) % 256
+        before = bytes(line)
+        out += before
+    return width, height, out
+
+
+def feature_of(payload):
+    n = len(payload)
+    mean = sum(payload) / n
+    dev = (sum((x - mean) ** 2 for x in payload) / n) ** 0.5
+    edges = sum(abs(a - b) > 32 for a, b in zip(payload[:-1], payload[1:], strict=True))
+    return f"rows={n // 64};mean={mean:.3f};dev={dev:.3f};edges={edges};levels={','.join(str(sum(x // 32 == k for x in payload)) for k in range(8))}"
+
+
+def test_copies_of_one_text_need_no_room(spark):
+    """A task's rows go on as they come, however many share one payload."""
+    many = spark.range(200_000).selectExpr("id as doc_id", "'the same text' as text").coalesce(1)
+    stored = media.store_payloads(many)
+    assert stored.select("shard", "offset", "length").distinct().count() == 1 and stored.count() == 200_000
+
+
+def test_nothing_to_encode(spark):
+    assert sentencepiece_fst.coded(table(spark, []), tokenizer_path("piece_bpe_32k.model"), with_tokens=True).count() == 0
+
+
 @given(st.text())
 def test_escapes_are_reversible(text):
     assert chat.unescape(chat.escape(text)) == text
@@ -325,6 +377,10 @@ def test_chat_table(spark):
         said = "".join(r[3] or "" for r in turns if r[2] == "assistant")
         body = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in turns)
         want[conv] = (len(turns), hashlib.sha256(body.encode()).hexdigest(), len(said), hashlib.sha256(said.encode()).hexdigest())
+    long = spark.createDataFrame([(8, k, role, "word <| " * 200_000, 7) for k, role in enumerate(("user", "assistant"))], table.schema)
+    said = "word <| " * 200_000
+    one = chat.chat_table(long).first()
+    assert (one["n_turns"], one["loss_chars"], one["loss_sha256"]) == (2, len(said), hashlib.sha256(said.encode()).hexdigest())
     for chars in (1, chat.ROW_CHARS):
         got = chat.chat_digests(chat.formatted(table, row_chars=chars)).collect()
         assert {r["conv_id"]: tuple(r)[1:5] for r in got} == want
