@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
@@ -61,6 +61,19 @@ def _finding(rows: DataFrame, keys: list[str], kind: Column | str, severity: str
     return rows.select(*keys, name.alias("type"), F.lit(severity).alias("severity"), (F.lit(None).cast("string") if concept is None else concept).alias("concept"), detail.alias("evidence"))
 
 
+def _found(when: Column, kind: str, severity: str, concept: Column | None = None, **evidence: Column) -> Column:
+    """A finding as a struct where ``when`` holds, else NULL."""
+    pairs = [x for k, v in evidence.items() for x in (F.lit(k), v.cast("string"))]
+    detail = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+    name = F.lit(None).cast("string") if concept is None else concept
+    return F.when(when, F.struct(F.lit(kind).alias("type"), F.lit(severity).alias("severity"), name.alias("concept"), detail.alias("evidence")))
+
+
+def _each(rows: DataFrame, keys: list[str], *findings: Column) -> DataFrame:
+    """The findings of each row, from one pass over the rows."""
+    return rows.select(*keys, F.explode(F.array_compact(F.array(*findings))).alias("_f")).select(*keys, "_f.*")
+
+
 def _close(target: Column, expected: Column) -> Column:
     return F.abs(target - expected) <= F.greatest(F.abs(target) * RELATIVE_TOLERANCE, F.lit(ABSOLUTE_TOLERANCE))
 
@@ -83,9 +96,9 @@ def check_math(lines: DataFrame, keys: list[str]) -> DataFrame:
         t = F.col(f"t{i}")
         stored = sum((F.col(f"t{i}_{j}") * s for j, (_, s) in enumerate(terms)), F.lit(0))
         absolute = sum((F.col(f"t{i}_{j}") if s > 0 else -F.abs(F.col(f"t{i}_{j}")) for j, (_, s) in enumerate(terms)), F.lit(0))
-        bad = one.filter((F.col("statement_type") == statement) & ~(_close(t, stored) | _close(t, absolute)))
-        out.append(_finding(bad, [*keys, "statement_type"], "math_mismatch", "high", F.lit(target[0]), identity=F.lit(name), target=t, expected=stored, absolute=absolute))
-    return reduce(DataFrame.unionByName, out)
+        bad = (F.col("statement_type") == statement) & ~(_close(t, stored) | _close(t, absolute))
+        out.append(_found(bad, "math_mismatch", "high", F.lit(target[0]), identity=F.lit(name), target=t, expected=stored, absolute=absolute))
+    return _each(one, [*keys, "statement_type"], *out)
 
 
 def check_plausibility(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,11 +108,12 @@ def check_plausibility(lines: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if((F.col("value") < 0) & local_name(F.col("concept")).isin(*NEVER_NEGATIVE)).alias("negative"),
         F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
     )
-    return reduce(DataFrame.unionByName, (
-        _finding(one.filter("huge > 0"), k, "implausible_magnitude", "medium", n=F.col("huge")),
-        _finding(one.filter("negative > 0"), k, "unexpected_negative_value", "medium", n=F.col("negative")),
-        _finding(one.filter("n >= 3 and least = most"), k, "all_values_identical", "low", n=F.col("n")),
-    ))
+    return _each(
+        one, k,
+        _found(F.col("huge") > 0, "implausible_magnitude", "medium", n=F.col("huge")),
+        _found(F.col("negative") > 0, "unexpected_negative_value", "medium", n=F.col("negative")),
+        _found((F.col("n") >= 3) & (F.col("least") == F.col("most")), "all_values_identical", "low", n=F.col("n")),
+    )
 
 
 def check_coverage(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,23 +133,31 @@ def check_structure(lines: DataFrame, keys: list[str]) -> DataFrame:
     ``lines``: concept, period, path, order_key, level, abstract beside the keys.
     """
     k = [*keys, "statement_type"]
-    named = lines.filter("concept is not null and concept <> ''")
-    twice = named.groupBy(*k, "concept", "period").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = named.filter("path is not null and order_key is not null").groupBy(*k, "path", "order_key").agg(F.count_distinct("concept").alias("n")).filter("n > 1")
-    level = lines.filter("level < 0").groupBy(*k).agg(F.count("*").alias("n"))
-    leaks = lines.filter("abstract").groupBy(*k).agg(F.count("*").alias("n"))
-    paths = lines.filter("path is not null and path <> ''")
-    lost = paths.filter(F.col("path").contains(".") & ~F.col("path").startswith("555")).withColumn("up", parent_path(F.col("path")))
-    lost = lost.join(paths.select(*k, F.col("path").alias("up")).distinct(), [*k, "up"], "left_anti").groupBy(*k).agg(F.count("*").alias("n"))
-    return reduce(DataFrame.unionByName, (
-        _finding(lines.filter("concept is null or concept = ''"), k, "missing_concept_name", "high"),
-        _finding(twice, k, "duplicate_concept", "medium", F.col("concept"), n=F.col("n")),
-        _finding(named.filter("path is null or order_key is null"), k, "missing_hierarchy_path", "medium", F.col("concept")),
-        _finding(shared, k, "duplicate_path_order", "medium", n=F.col("n")),
-        _finding(level, k, "negative_hierarchy_level", "medium", n=F.col("n")),
-        _finding(leaks, k, "abstract_in_concrete_set", "low", n=F.col("n")),
-        _finding(lost, k, "orphan_hierarchy_path", "medium", n=F.col("n")),
-    ))
+    named = F.coalesce(F.col("concept"), F.lit("")) != ""
+    placed = named & F.col("path").isNotNull() & F.col("order_key").isNotNull()
+    up = F.when(F.col("path").contains(".") & ~F.col("path").startswith("555"), parent_path(F.col("path")))
+    rows = lines.select(*k, "concept", "period", "path", "order_key", "level", "abstract", named.alias("_named"), placed.alias("_placed"), up.alias("_up"))
+    # Dealt by statement once: the groups inside a statement are windows that need no other shuffle.
+    rows = rows.repartition(*k)
+    same, place, whole = ([*k, "_named", "concept", "period"], [*k, "_placed", "path", "order_key"], k)
+    first = lambda part: F.row_number().over(Window.partitionBy(*part).orderBy("path", "concept"))
+    rows = rows.withColumns({"_n_same": F.count("*").over(Window.partitionBy(*same)), "_i_same": first(same)})
+    rows = rows.withColumns({"_n_place": F.size(F.collect_set("concept").over(Window.partitionBy(*place))), "_i_place": first(place)})
+    w = Window.partitionBy(*whole)
+    rows = rows.withColumns({"_n_level": F.count_if(F.col("level") < 0).over(w), "_n_leaks": F.count_if("abstract").over(w), "_paths": F.collect_set(F.nullif("path", F.lit(""))).over(w), "_i": first(whole)})
+    rows = rows.withColumn("_lost", F.coalesce(~F.array_contains("_paths", F.col("_up")), F.lit(False))).drop("_paths")
+    rows = rows.withColumn("_n_lost", F.count_if("_lost").over(w))
+    one = F.col("_i") == 1
+    return _each(
+        rows, k,
+        _found(~F.col("_named"), "missing_concept_name", "high"),
+        _found(F.col("_named") & (F.col("_i_same") == 1) & (F.col("_n_same") > 1), "duplicate_concept", "medium", F.col("concept"), n=F.col("_n_same")),
+        _found(F.col("_named") & ~F.col("_placed"), "missing_hierarchy_path", "medium", F.col("concept")),
+        _found(F.col("_placed") & (F.col("_i_place") == 1) & (F.col("_n_place") > 1), "duplicate_path_order", "medium", n=F.col("_n_place")),
+        _found(one & (F.col("_n_level") > 0), "negative_hierarchy_level", "medium", n=F.col("_n_level")),
+        _found(one & (F.col("_n_leaks") > 0), "abstract_in_concrete_set", "low", n=F.col("_n_leaks")),
+        _found(one & (F.col("_n_lost") > 0), "orphan_hierarchy_path", "medium", n=F.col("_n_lost")),
+    )
 
 
 def check_periods(statements: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -146,13 +168,14 @@ def check_periods(statements: DataFrame, lines: DataFrame, keys: list[str]) -> D
     mismatch = (annual & (kind != "annual")) | ((F.col("form") == "10-Q") & ~kind.isin("quarterly", "interim"))
     days = P.duration_days(F.col("period"))
     odd = lines.withColumn("days", days).filter((F.col("days") < SHORTEST_DAYS) | (F.col("days") > LONGEST_DAYS)).groupBy(*k).agg(F.count("*").alias("n"))
-    return reduce(DataFrame.unionByName, (
-        _finding(statements.filter("end_text is null or end_text = ''"), k, "missing_period_end", "medium"),
-        _finding(statements.filter((F.col("end_text") != "") & P.lenient_date(F.col("end_text")).isNull()), k, "unparseable_period_end", "medium"),
-        _finding(statements.filter("fiscal_year is null"), k, "missing_fiscal_year", "low"),
-        _finding(statements.filter((kind != "") & mismatch), k, "period_type_form_mismatch", "medium"),
-        _finding(odd, k, "unusual_period_duration", "low", n=F.col("n")),
-    ))
+    found = _each(
+        statements, k,
+        _found(F.coalesce(F.col("end_text"), F.lit("")) == "", "missing_period_end", "medium"),
+        _found((F.col("end_text") != "") & P.lenient_date(F.col("end_text")).isNull(), "unparseable_period_end", "medium"),
+        _found(F.col("fiscal_year").isNull(), "missing_fiscal_year", "low"),
+        _found((kind != "") & mismatch, "period_type_form_mismatch", "medium"),
+    )
+    return found.unionByName(_finding(odd, k, "unusual_period_duration", "low", n=F.col("n")))
 
 
 def cross_statement(lines: DataFrame, keys: list[str], concept: str = "us-gaap:NetIncomeLoss", most: float = 1.0) -> DataFrame:

@@ -344,8 +344,8 @@ def sign_convention(spark: SparkSession, sf_dir: str) -> DataFrame:
     concept = F.concat(F.lit("us-gaap:"), F.element_at(F.array(*map(F.lit, _SIGNED)), n))
     balance = F.when(n % 3 == 0, "us-gaap:AccumulatedDepreciation").when(n % 3 == 1, "us-gaap:OtherLiabilities").otherwise("us-gaap:AccountsReceivableNetCurrent")
     role = F.when(n % 3 == 1, "http://x/role/negatedLabel")
-    return li.select(
-        "l_orderkey", "l_partkey", "l_suppkey", n.cast("bigint").alias("l_linenumber"), v.alias("raw"),
-        signs.presented(v, concept, F.lit("cash_flow"), text, none.cast("double"), text, none).alias("shown"),
-        signs.presented(v, balance, F.lit("balance_sheet"), text, none.cast("double"), role, none).alias("balance"),
-    )
+    rows = li.select("l_orderkey", "l_partkey", "l_suppkey", n.cast("bigint").alias("l_linenumber"), v.alias("raw"), concept.alias("cash"), balance.alias("sheet"), role.alias("role"))
+    raw = F.col("raw")
+    rows = signs.with_presented(rows, "shown", raw, F.col("cash"), F.lit("cash_flow"), text, none.cast("double"), text, none)
+    rows = signs.with_presented(rows, "balance", raw, F.col("sheet"), F.lit("balance_sheet"), text, none.cast("double"), F.col("role"), none)
+    return rows.drop("cash", "sheet", "role")
