@@ -114,3 +114,11 @@ def comparatives(values: DataFrame, keys: list[str], period: str, signs: dict[st
     used = values.filter(F.col("concept").isin(*signs)).withColumn("_s", sign)
     part = F.when(F.col("_s") < 0, -F.abs("value")).otherwise(F.col("value"))
     return used.groupBy(*keys, period).agg(F.sum(part).alias("value"), F.count_distinct("concept").alias("_n")).filter(F.col("_n") == len(signs)).drop("_n")
+
+
+def subtotals(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, statement_type, concept, value: the subtotals that statements lack, by the rules of their kind; other kinds have none."""
+    kind = F.lower("statement_type")
+    income = income_subtotals(lines.filter(kind.contains("income")), keys).withColumn("statement_type", F.lit("income"))
+    balance = balance_subtotals(lines.filter(kind.contains("balance")), keys).withColumn("statement_type", F.lit("balancesheet"))
+    return income.unionByName(balance).select(*keys, "statement_type", "concept", "value")

@@ -17,6 +17,29 @@ ROLE_WORDS = (
     ("equity", r"(stockholders|shareholders|changes\s+in).{0,3}\s+(equity|deficit)"),
     ("income", r"(income|operations|earnings|profit)"),
 )
+#: Concepts that show a statement's kind, by taxonomy; they are looked for inside concept names.
+CONCEPT_PATTERNS = {
+    "us-gaap": {
+        "balance_sheet": ("Assets", "Liabilities", "StockholdersEquity", "AssetsCurrent"),
+        "income_statement": (
+            "Revenues", "SalesRevenueNet", "SalesRevenueGoodsNet", "RevenueFromContractWithCustomerExcludingAssessedTax", "RevenueFromContractWithCustomerIncludingAssessedTax",
+            "OperatingIncomeLoss", "GrossProfit", "CostOfGoodsAndServicesSold", "CostOfRevenue",
+        ),
+        "comprehensive_income": (
+            "ComprehensiveIncomeNetOfTax", "OtherComprehensiveIncomeLossNetOfTax", "OtherComprehensiveIncomeLoss", "ComprehensiveIncome", "AccumulatedOtherComprehensiveIncomeLoss",
+        ),
+        "cash_flow": ("CashAndCashEquivalentsAtCarryingValue", "NetCashProvidedByUsedInOperatingActivities"),
+        "equity_changes": ("StockholdersEquity", "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest", "RetainedEarningsAccumulatedDeficit"),
+    },
+    "ifrs-full": {
+        "balance_sheet": ("Assets", "Liabilities", "Equity", "CurrentAssets"),
+        "income_statement": ("Revenue", "ProfitLoss", "OperatingExpense", "GrossProfit"),
+        "comprehensive_income": ("ComprehensiveIncome", "OtherComprehensiveIncome", "ComponentsOfOtherComprehensiveIncome"),
+        "cash_flow": ("CashAndCashEquivalents", "CashFlowsFromUsedInOperatingActivities"),
+        "equity_changes": ("Equity", "RetainedEarnings"),
+    },
+    "dei": {"balance_sheet": ("Assets", "Liabilities"), "income_statement": ("Revenue",), "cash_flow": ("CashAndCashEquivalents",), "equity_changes": ("Equity",)},
+}
 ROLE_SCORE, COMPREHENSIVE_WEIGHT, OTHER_WEIGHT = 100.0, 2.0, 0.5
 BASE_PRIORITY, CONSOLIDATED, COMBINED, PARENTHETICAL = 50, -20, -10, 30
 VALID_FISCAL_YEAR, NO_DIMENSIONS = 50, 10
@@ -160,3 +183,15 @@ def latest_label(annual: DataFrame, quarterly: DataFrame, keys: list[str]) -> Da
 def processed(annual: DataFrame, quarterly: DataFrame, keys: list[str]) -> DataFrame:
     """The companies that either table has."""
     return annual.select(*keys).union(quarterly.select(*keys)).distinct()
+
+
+def pattern_table(spark) -> DataFrame:
+    """taxonomy, statement, pattern: a few dozen rows."""
+    rows = [(t, st, p) for t, kinds in CONCEPT_PATTERNS.items() for st, patterns in kinds.items() for p in patterns]
+    return spark.createDataFrame(rows, "taxonomy string, statement string, pattern string")
+
+
+def key_concepts(concepts: DataFrame, taxonomies: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, statement, taxonomy, pattern, concept: a filing's concepts that the patterns of its taxonomies name."""
+    named = concepts.select(*keys, "concept").distinct().join(F.broadcast(pattern_table(concepts.sparkSession)), F.col("concept").contains(F.col("pattern")))
+    return named.join(taxonomies.select(*keys, "taxonomy").distinct(), [*keys, "taxonomy"], "left_semi").select(*keys, "statement", "taxonomy", "pattern", "concept")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
-from ..operators import cache, concepts, documents, guidance, hierarchy, series, shape
+from ..operators import cache, concepts, documents, guidance, hierarchy, series, shape, statements
 from ..sources import files, landing
 from ..streaming import queue
 from .registry import query, table
@@ -378,3 +378,91 @@ def cached_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = r.filter(k % 3 == 0).select(cache.cache_key(F.col("model"), F.col("prompt")).alias("key"), F.lit("stored").alias("response")).distinct()
     out, _ = cache.answered(r, stored, lambda asked: asked.select("key", F.concat(F.lit("new "), "prompt").alias("response")))
     return out.select("p_partkey", "response", "hit")
+
+
+# --- trees of roles, patterns, functions ------------------------------------
+
+#: Arcs of one role per customer: parent, child, order, preferred label; and the rows they make.
+_ARCS = [("r:Root", "c:B", 2.0, None), ("r:Root", "c:A", 1.0, "http://x/role/negatedLabel"), ("c:A", "c:D", 1.0, None), ("c:B", "c:D", 0.5, "http://x/role/totalLabel"), ("c:B", "c:C", 1.0, None), ("c:C", "c:B", 3.0, None), ("c:X", "c:Y", 1.0, None), ("c:Y", "c:X", 1.0, None)]
+_ITEMS_OUT = "('r:Root', NULL, 0, 1, 0.0, NULL), ('c:A', 'r:Root', 1, 2, 1.0, 'http://x/role/negatedLabel'), ('c:D', 'c:A', 2, 3, 0.5, 'http://x/role/totalLabel'), ('c:B', 'r:Root', 1, 4, 2.0, NULL), ('c:C', 'c:B', 2, 5, 1.0, NULL)"
+
+
+@query(f"""WITH t(concept, parent, level, place, ord, role) AS (VALUES {_ITEMS_OUT}) SELECT c_custkey, concept, parent, level, place, ord::DOUBLE AS "order", role FROM customer CROSS JOIN t""")
+def presentation_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A concept under two parents, a ring inside the tree and a ring beside it"""
+    arcs = spark.createDataFrame([(*a, k) for k, a in enumerate(_ARCS)], "parent string, child string, order double, role string, position int")
+    return statements.presentation_items(table(spark, sf_dir, "customer").select("c_custkey").crossJoin(F.broadcast(arcs)), ["c_custkey"])
+
+
+_NODES_IN = [(1, None, "x:StatementAbstract", False, None), (2, 1, "x:Sales", True, None), (3, 1, "x:CostsAbstract", False, None), (4, 3, "x:Rent", True, "negatedLabel"), (5, 4, "x:Land", True, "totalLabel"), (6, 2, "x:DetailTable", False, None), (7, 6, "x:Part", True, None)]
+_NODES_OUT = "(1, 1, 0, NULL), (2, 2, 1, 'x:StatementAbstract'), (6, 3, 2, 'x:Sales'), (7, 4, 3, 'x:Sales'), (3, 5, 1, 'x:StatementAbstract'), (4, 6, 2, 'x:CostsAbstract'), (5, 7, 3, 'x:Rent')"
+_NODE_NAMES = ", ".join(f"({i}, '{c}', {str(v).lower()}, {str(bool(r and 'negated' in r)).lower()})" for i, _, c, v, r in _NODES_IN)
+
+
+def _serial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = spark.createDataFrame([(*n, n[0]) for n in _NODES_IN], "id int, parent int, concept string, valued boolean, role string, position int")
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.round(F.col("c_acctbal") * 100).cast("bigint").alias("v"))
+    rows = c.crossJoin(F.broadcast(nodes)).withColumn("value", F.when(F.col("valued"), F.col("v")))
+    arcs = c.crossJoin(F.broadcast(spark.createDataFrame([("x:Rent", "x:Total", -1.0, 2), ("x:Rent", "x:Costs", None, 1)], "concept string, parent string, weight double, position int")))
+    return statements.serialised(rows, arcs, ["c_custkey"])
+
+
+@query(f"""WITH n(id, concept, valued, negated) AS (VALUES {_NODE_NAMES}), o(id, reading_order, level, parent) AS (VALUES {_NODES_OUT})
+SELECT c_custkey, concept, level, reading_order, parent AS parent_concept, CASE WHEN id = 4 THEN 'x:Costs' END AS calc_parent, CASE WHEN id = 4 THEN 1.0 END::DOUBLE AS calc_weight, negated, CASE WHEN valued AND c_acctbal <> 0 THEN sign(c_acctbal) END::INTEGER AS sign FROM customer CROSS JOIN n JOIN o USING (id)""")
+def serialised_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E08"""
+    return _serial(spark, sf_dir).drop("id", "value")
+
+
+@query("""WITH f AS (SELECT c_custkey, unnest([2, 4, 5, 7]) AS id FROM customer), x AS (SELECT c_custkey, id, CASE WHEN (c_custkey + id) % 3 = 0 THEN '2022' WHEN (c_custkey + id) % 3 = 1 THEN '2021' ELSE '' END AS period, (c_custkey + id) % 2 = 0 AS d FROM f)
+SELECT c_custkey, period, count(*) FILTER (NOT d) AS concepts, count(*) FILTER (d) AS dimensional FROM x WHERE period <> '' GROUP BY ALL""")
+def serialised_comparatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other periods, by period"""
+    serial = _serial(spark, sf_dir)
+    k = F.col("c_custkey") + F.col("id")
+    facts = serial.filter("id in (2, 4, 5, 7)").select("c_custkey", "id", F.when(k % 3 == 0, "2022").when(k % 3 == 1, "2021").otherwise("").alias("period"), F.lit(1.0).alias("value"), (k % 2 == 0).alias("dimensional"))
+    out = statements.comparatives_by_period(serial, facts, ["c_custkey"])
+    return out.select("c_custkey", "period", F.size("concepts").cast("bigint").alias("concepts"), F.size("dimensional").cast("bigint").alias("dimensional"))
+
+
+_PATTERN_ROWS = ", ".join(f"('{t}', '{st}', '{p}')" for t, kinds in shape.CONCEPT_PATTERNS.items() for st, ps in kinds.items() for p in ps)
+
+
+@query(f"""WITH p(taxonomy, statement, pattern) AS (VALUES {_PATTERN_ROWS}), c AS (SELECT DISTINCT p_size::BIGINT AS filing, ['us-gaap:AssetsCurrent', 'ifrs-full:Equity', 'us-gaap:Goodwill', 'co:NetRevenues', 'us-gaap:StockholdersEquity', 'us-gaap:OtherComprehensiveIncomeLoss'][p_partkey % 6 + 1] AS concept FROM part),
+x AS (SELECT DISTINCT p_size::BIGINT AS filing, ['us-gaap', 'ifrs-full', 'dei'][p_partkey % 3 + 1] AS taxonomy FROM part WHERE p_partkey % 4 = 0) SELECT c.filing, statement, taxonomy, pattern, concept FROM c JOIN x USING (filing) JOIN p USING (taxonomy) WHERE contains(concept, pattern)""")
+def key_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E04"""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part")
+    filing = F.col("p_size").cast("bigint").alias("filing")
+    names = F.array(*map(F.lit, ("us-gaap:AssetsCurrent", "ifrs-full:Equity", "us-gaap:Goodwill", "co:NetRevenues", "us-gaap:StockholdersEquity", "us-gaap:OtherComprehensiveIncomeLoss")))
+    concepts_ = p.select(filing, F.element_at(names, (k % 6 + 1).cast("int")).alias("concept"))
+    taxonomies = p.filter(k % 4 == 0).select(filing, F.element_at(F.array(F.lit("us-gaap"), F.lit("ifrs-full"), F.lit("dei")), (k % 3 + 1).cast("int")).alias("taxonomy"))
+    return shape.key_concepts(concepts_, taxonomies, ["filing"])
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, round(p_retailprice * 100)::BIGINT AS v FROM part)
+SELECT k AS p_partkey, CASE k % 6 WHEN 0 THEN v WHEN 1 THEN -v WHEN 2 THEN v WHEN 3 THEN NULL WHEN 4 THEN NULL END::DOUBLE AS number, CASE k % 6 WHEN 0 THEN v::VARCHAR WHEN 1 THEN '(' || v::VARCHAR || ')' WHEN 2 THEN '$' || v::VARCHAR WHEN 3 THEN 'see note' END AS text FROM p""")
+def fact_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of five sources; nil and nothing are NULL, words stay text"""
+    from ..functions.text import fact_value
+
+    k, v = F.col("p_partkey") % 6, F.round(F.col("p_retailprice") * 100).cast("bigint")
+    text = v.cast("string")
+    number, shown = fact_value(F.when(k == 0, v), F.when(k == 1, F.concat(F.lit("("), text, F.lit(")"))), F.when(k == 2, F.concat(F.lit("$"), text)).when(k == 0, "other"), F.when(k == 3, "see note"), F.when(k == 4, "nil"))
+    return table(spark, sf_dir, "part").select("p_partkey", number.alias("number"), shown.alias("text"))
+
+
+@query("""SELECT c_custkey, 'A' || c_custkey::VARCHAR AS local, lpad(c_custkey::VARCHAR, 10, '0') AS cik, c_custkey % 3 = 0 AS safe, '2023-12-31' AS ends, c_custkey::DOUBLE * 2 + 1 AS value, CASE WHEN c_custkey % 5 <> 0 THEN 10 // (c_custkey % 5) END::INTEGER AS own FROM customer""")
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Library functions called from SQL, and a Python function of the caller's; a value it fails on is NULL"""
+    from ..functions import register
+
+    register.register(spark)
+    own = register.wrapped(lambda x: 10 // (x % 5), "int")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", own(F.col("c_custkey")).alias("own"))
+    return spark.sql(
+        "SELECT c_custkey, fl_local_name(concat('us-gaap:A', c_custkey)) AS local, fl_ten_digit_cik(cast(c_custkey AS STRING)) AS cik, fl_usd_safe(CASE c_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'usd' END) AS safe, "
+        "cast(fl_period_end('2023-01-01 to 2023-12-31') AS STRING) AS ends, fl_arithmetic(concat('(', c_custkey, ') * 2 + 1')) AS value, own FROM {rows}",
+        rows=rows,
+    )

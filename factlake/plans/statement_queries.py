@@ -62,16 +62,19 @@ x AS (SELECT *, CASE WHEN n >= 2 AND kids > 0 AND coalesce(abs(kids - (any_gross
 z AS (SELECT *, CASE WHEN income IS NULL THEN any_gross - abs(coalesce(new_expenses, total)) END AS new_income FROM x)"""
 
 
-@query(f"""WITH {LINES}, {INCOME_ROLES}
+_INCOME_SQL = f"""WITH {LINES}, {INCOME_ROLES}
 SELECT filing, 'us-gaap:GrossProfit' AS concept, new_gross AS value FROM z WHERE new_gross IS NOT NULL
 UNION ALL SELECT filing, 'us-gaap:OperatingExpenses', new_expenses FROM z WHERE new_expenses IS NOT NULL
-UNION ALL SELECT filing, 'us-gaap:OperatingIncomeLoss', new_income FROM z WHERE new_income IS NOT NULL""")
+UNION ALL SELECT filing, 'us-gaap:OperatingIncomeLoss', new_income FROM z WHERE new_income IS NOT NULL"""
+
+
+@query(_INCOME_SQL)
 def derived_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I01, I02, I03, I08"""
+    """I01, I02, I03"""
     return derive.income_subtotals(lines(spark, sf_dir).filter("statement_type = 'income'"), ["filing"])
 
 
-@query(f"""WITH {LINES}, r AS (
+_BALANCE_SQL = f"""WITH {LINES}, r AS (
   SELECT filing, {_first('Assets')} AS assets, min(position) FILTER (concept = 'us-gaap:Assets') AS a_at, {_first('AssetsCurrent')} AS ac, min(position) FILTER (concept = 'us-gaap:AssetsCurrent') AS ac_at,
     {_first('LiabilitiesCurrent')} AS lc, min(position) FILTER (concept = 'us-gaap:LiabilitiesCurrent') AS lc_at, {_first('StockholdersEquity')} AS eq, min(position) FILTER (concept = 'us-gaap:StockholdersEquity') AS eq_at
   FROM s WHERE statement_type = 'balancesheet' GROUP BY filing
@@ -83,12 +86,21 @@ c AS (
 ), z AS (SELECT *, CASE WHEN n_a >= 2 AND assets - ac >= -1 THEN assets - ac END AS anc, CASE WHEN n_b >= 2 AND liabilities - lc >= -1 THEN liabilities - lc END AS lnc FROM l JOIN c USING (filing))
 SELECT filing, 'us-gaap:Liabilities' AS concept, liabilities AS value FROM z WHERE liabilities IS NOT NULL
 UNION ALL SELECT filing, 'us-gaap:AssetsNoncurrent', anc FROM z WHERE anc IS NOT NULL
-UNION ALL SELECT filing, 'us-gaap:LiabilitiesNoncurrent', lnc FROM z WHERE lnc IS NOT NULL""")
+UNION ALL SELECT filing, 'us-gaap:LiabilitiesNoncurrent', lnc FROM z WHERE lnc IS NOT NULL"""
+
+
+@query(_BALANCE_SQL)
 def balance_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I04, I05, I06"""
     return derive.balance_subtotals(lines(spark, sf_dir).filter("statement_type = 'balancesheet'"), ["filing"])
 
 
+@query(f"""SELECT filing, 'income' AS statement_type, concept, value FROM ({_INCOME_SQL}) UNION ALL SELECT filing, 'balancesheet', concept, value FROM ({_BALANCE_SQL})""")
+def all_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules by the statement's kind"""
+    return derive.subtotals(lines(spark, sf_dir), ["filing"])
+
+
 @query("""WITH v AS (SELECT o_custkey, year(o_orderdate) AS period, o_orderpriority AS concept, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS value FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY ALL)
 SELECT o_custkey, period::BIGINT AS period, sum(CASE WHEN concept = '1-URGENT' THEN value ELSE -abs(value) END)::BIGINT AS value FROM v GROUP BY ALL HAVING count(*) = 2""")
 def derived_comparatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN -round(-c_acctbal, 0) ELSE round(c_acctbal, 0) END AS value, CASE c_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'shares' WHEN 2 THEN 'EUR' ELSE 'USD' END AS unit,
   CASE c_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'SHARES' WHEN 2 THEN 'EUR' ELSE NULL END AS plain_unit FROM customer""")
 def unit_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B11, B12, B14"""
+    """B11, B14"""
     k = F.col("c_custkey") % 4
     unit = F.when(k == 0, "US$").when(k == 1, "xbrli:shares").when(k == 2, "eur")
     whole = F.round("c_acctbal", 0)
@@ -89,7 +89,7 @@ def member_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, round(o_totalprice * 100)::BIGINT * 2 - 7 AS value FROM orders""")
 def safe_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B30, O01, O02"""
+    """B30"""
     from ..functions.arithmetic import evaluate
 
     c = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
