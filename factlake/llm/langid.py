@@ -12,8 +12,8 @@ language's own learning rows, times ``slack``. A text with few different grams
 covers little of a centroid, so below ``full_grams`` of them the threshold falls
 with the root of their number; it is ``reject_below`` at least.
 
-The fit reads a bounded sample (``sample_rows`` documents in all, equally many
-of each language, whole texts); scoring reads everything.
+The fit reads a bounded sample (about ``sample_rows`` documents in all, equally
+many of each language, whole texts; see ``sampling``); scoring reads everything.
 
 Defined cases: null text and text without a letter (Unicode category L) are
 ``und`` with score 0 and rejected; without any learnable row everything is.

@@ -10,8 +10,8 @@ learns vectors, layer and intercept together, one document a step, the rate
 falling linearly. Because mean and layer are linear, scoring needs one number
 per place: its vector times the layer.
 
-The fit reads a bounded sample of labelled rows (``per_class`` documents of each
-label, whole texts); scoring reads everything. The intercept is corrected from
+The fit reads a bounded sample of labelled rows (about ``per_class`` documents of
+each label, whole texts; see ``sampling``); scoring reads everything. The intercept is corrected from
 the sample's odds to those of all labelled rows.
 
 Defined cases: a text without words (null, empty, white space) gets the score

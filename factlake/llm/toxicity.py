@@ -7,8 +7,8 @@ lower-cased. A document's features are the presence of its words, word stems
 keeps a learning rate per coordinate and, by its L1 term, exact zeros, so the
 model that goes to the executors is the list of its non-zero weights.
 
-The fit reads a bounded sample of labelled rows (``per_class`` documents of each
-label, whole texts); scoring reads everything. The intercept is corrected from
+The fit reads a bounded sample of labelled rows (about ``per_class`` documents of
+each label, whole texts; see ``sampling``); scoring reads everything. The intercept is corrected from
 the sample's odds to those of all labelled rows.
 
 Defined cases: a text without words (null, empty, punctuation) gets the score
