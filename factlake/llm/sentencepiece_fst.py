@@ -13,8 +13,8 @@
 
 ``Transducer.shortest`` composes a string with the piece transducer: composed
 states are (position, state), and the path of least weight is found by relaxing
-arcs in the tropical semiring (weights add along a path, the least total wins)
-in the order of positions.
+arcs in the tropical semiring (weights add along a path, the least total wins),
+the lightest state first and of equally light ones the farthest.
 
 For a unigram model there is one state, and the weight of a piece is minus its
 score. For a BPE model weights of single pieces can't say which segmentation
@@ -23,7 +23,7 @@ piece y (weight 0) if merging the string xy ends with exactly [x, y]; all other
 arcs have infinite weight, that is, they don't exist. Both pieces being results
 of merging themselves, a sequence is the BPE result of its string if and only if
 all neighbours agree in this sense. The same holds for every prefix, so at each
-position one composed state is reached, and the path is the library's.
+position one composed state can be reached, and the path is the library's.
 
 White space begins chunks that no piece crosses (checked when compiling), so a
 text's path is the sequence of its chunks' paths, and each distinct chunk is
@@ -43,6 +43,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -234,24 +235,31 @@ class Transducer:
     def shortest(self, text: str) -> list[str]:
         """The characters read by each arc of the path of least weight.
 
-        ``best[position][state]``: least weight, and the arc that leads there.
-        Of paths of equal weight the one whose last arc begins first stays.
+        Composed states are taken in order of weight, of equal ones the farthest
+        first, so a state is left with its least weight and the first one at the
+        end closes the search. Of equal paths to a state the one whose last arc
+        begins first stays.
         """
-        best: list[dict[str, tuple]] = [{} for _ in range(len(text) + 1)]
-        best[0][""] = (0.0, 0, "", "")
-        for at in range(len(text)):
-            if not best[at]:
+        end = len(text)
+        reached: dict[tuple[int, str], tuple] = {(0, ""): (0.0, 0, "", "")}
+        frontier, left = [(0.0, 0, "")], set()
+        while frontier:
+            weight, minus, state = heappop(frontier)
+            at = -minus
+            if at == end:
+                break
+            if (at, state) in left:
                 continue
-            pieces = self.readable(text, at)
-            for state, reached in best[at].items():
-                for read, to, weight in self.arcs(state, pieces, text[at]):
-                    total, there = reached[0] + weight, best[at + len(read)]
-                    if to not in there or total < there[to][0]:
-                        there[to] = (total, at, state, read)
+            left.add((at, state))
+            for read, to, cost in self.arcs(state, self.readable(text, at), text[at]):
+                key, total = (at + len(read), to), weight + cost
+                old = reached.get(key)
+                if old is None or total < old[0] or (total == old[0] and at < old[1]):
+                    reached[key] = (total, at, state, read)
+                    heappush(frontier, (total, -key[0], to))
         out: list[str] = []
-        at, state = len(text), min(best[-1], key=lambda s: best[-1][s][0])
         while at:
-            _, at, state, read = best[at][state]
+            _, at, state, read = reached[at, state]
             out.append(read)
         return out[::-1]
 
