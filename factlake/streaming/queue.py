@@ -65,8 +65,9 @@ def run_queue(spark: SparkSession, source: str, out: str, checkpoint: str, work:
 
     def write(batch: DataFrame, number: int) -> None:
         jobs = parsed(batch)
-        routed(work(jobs) if work else jobs).write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={number}")
-        done = spark.read.parquet(f"{out}/batch={number}")  # what was written is what is retried
+        jobs = routed(work(jobs) if work else jobs)
+        jobs.write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={number}")
+        done = spark.read.schema(jobs.schema).parquet(f"{out}/batch={number}")  # what was written is what is retried
         again = done.filter("route = 'retry'").select(F.to_json(F.struct("job_id", "filing_url", "ticker", "filing_type", "attempts", F.lit(False).alias("failed"))).alias("value"))
         again.write.mode("overwrite").text(f"{source}/retry-{number}")
 
