@@ -64,23 +64,14 @@ def reading_order(rows: DataFrame, keys: list[str]) -> DataFrame:
 def parents_by_level(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Adds parent_position: the last earlier row that is one level higher, for flat lists with levels.
 
-    One statement's rows are gone through in order by one task, with the last
-    row of each level at hand; a statement has some hundred rows.
+    Each row appears twice: under its own level, where it can be found, and under
+    the level above, where it looks. Rows that are partitioned by ``keys`` stay
+    where they are.
     """
-
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        import pandas as pd
-
-        last: dict[int, int] = {}
-        up = []
-        pdf = pdf.sort_values("position")
-        for level, position in zip(pdf["level"], pdf["position"], strict=True):
-            up.append(last.get(level - 1))
-            last[level] = position
-        return pdf.assign(parent_position=pd.array(up, dtype="Int64"))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", parent_position bigint"
-    return rows.groupBy(*keys).applyInPandas(link, schema)
+    both = rows.withColumn("_looks", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("_at", F.col("level") - F.col("_looks").cast("int"))
+    earlier = Window.partitionBy(*keys, "_at").orderBy(F.col("position").cast("bigint")).rangeBetween(Window.unboundedPreceding, -1)
+    found = F.max(F.when(~F.col("_looks") & F.col("level").isNotNull(), F.col("position").cast("bigint"))).over(earlier)
+    return both.withColumn("parent_position", found).filter("_looks").drop("_looks", "_at")
 
 
 def levelled(rows: DataFrame, keys: list[str]) -> DataFrame:

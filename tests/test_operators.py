@@ -306,3 +306,10 @@ def test_long_arithmetic(spark):
 
     assert value_of("+".join(["1"] * 900)) == 900.0
     assert value_of("1" + "+1" * 20_000) in (20_001.0, None)
+
+
+def test_parents_by_level(spark):
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("a", 3, 2), ("a", 4, 1), ("a", 5, None), ("a", 6, 2), ("a", 7, 5), (None, 1, 0), (None, 2, 1)], "k string, position int, level int")
+    got = {(r["k"], r["position"]): r["parent_position"] for r in hierarchy.parents_by_level(rows, ["k"]).collect()}
+    assert got == {("a", 1): None, ("a", 2): 1, ("a", 3): 2, ("a", 4): 1, ("a", 5): None, ("a", 6): 4, ("a", 7): None, (None, 1): None, (None, 2): 1}
+    assert hierarchy.parents_by_level(rows.filter("false"), ["k"]).count() == 0
