@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import drop_stored, stored
+from .workspace import drop_stored, settle_driver, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -50,4 +50,5 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
             return out
         before, at = at, stored(_small_star(_large_star(at)), "star")
         drop_stored(before)
+        settle_driver(links.sparkSession)
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")

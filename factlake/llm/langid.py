@@ -166,8 +166,11 @@ def fit(docs: DataFrame, m: Centroid = Centroid(), lang_col: str = "lang") -> Mo
     ids = sample_ids(learn, max(1, m.sample_rows // max(1, len(sizes))), sizes)
     rows = sample_texts(docs, ids).mapInArrow(_bags(m), "doc_id long, label string, places binary, counts binary").toArrow().sort_by([("doc_id", "ascending"), ("places", "ascending"), ("counts", "ascending")])
     bags = [(np.frombuffer(a, np.uint16), np.frombuffer(c, np.uint32)) for a, c in zip(rows["places"].to_pylist(), rows["counts"].to_pylist(), strict=True)]
+    labels = np.array(rows["label"].to_pylist(), object)
+    del rows
+    pa.default_memory_pool().release_unused()
     used = [i for i, b in enumerate(bags) if len(b[0])]
-    return fit_centroids([bags[i] for i in used], np.array(rows["label"].to_pylist(), object)[used], m)
+    return fit_centroids([bags[i] for i in used], labels[used], m)
 
 
 def _score(m: Centroid, model: Model):
