@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import canonical as C
 from ..functions import text as T
+from . import merge
 
 # --- fixed values -----------------------------------------------------------
 #: Segment type by parts of a concept's and of a label's lower-case text, in order of priority.
@@ -149,16 +150,18 @@ def inferred_headers(dims: DataFrame, stored: DataFrame, keys: list[str]) -> Dat
     ``stored``: keys, position, concept, dimensional, parent_concept, segment_type, parent_header.
     """
     on = [*keys, "parent_concept"]
+    asked = [*on, "segment_type"]
     low = F.lower(F.trim("segment_type"))
     members = stored.filter("dimensional and parent_header is not null and parent_header <> ''")
-    same = members.groupBy(*on, "segment_type").agg(F.min_by("parent_header", "position").alias("_same"))
+    same = members.groupBy(*asked).agg(F.min_by("parent_header", "position").alias("_same"))
     loose = members.groupBy(*on).agg(F.min_by("parent_header", "position").alias("_loose"))
-    headers = stored.filter("not dimensional and startswith(concept, 'custom:')").groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("position", "concept"))).alias("_headers"))
-    rows = dims.join(same, [*on, "segment_type"], "left").join(loose, on, "left").join(headers, on, "left")
-    own = T.concept_tokens(low)
-    meets = lambda h: F.lower(h["concept"]).contains(low) | F.arrays_overlap(own, T.concept_tokens(h["concept"]))
-    fitting = F.when(F.coalesce(low, F.lit("")) != "", F.get(F.filter("_headers", meets), F.lit(0))["concept"])
-    only = F.when(F.size("_headers") == 1, F.col("_headers")[0]["concept"]).when(F.coalesce(F.size("_headers"), F.lit(0)) <= 0, F.col("_loose"))
-    return rows.withColumn("parent_header", F.coalesce("_same", fitting, C.segment_header(F.col("segment_type")), only)).drop("_same", "_loose", "_headers")
-
-
+    headers = stored.filter("not dimensional and startswith(concept, 'custom:')").groupBy(*on, "concept").agg(F.min(F.struct("position", "concept")).alias("_at"), F.count("*").alias("_n"))
+    first = headers.groupBy(*on).agg(F.sum("_n").alias("_n"), F.min("_at")["concept"].alias("_first"))
+    asks = dims.select(*asked).distinct()
+    # Each type under each parent meets each name of a header once, however many rows have them.
+    meets = F.lower("concept").contains(low) | F.arrays_overlap(T.concept_tokens(low), T.concept_tokens(F.col("concept")))
+    fitting = asks.filter(F.coalesce(low, F.lit("")) != "").join(headers, on).filter(meets).groupBy(*asked).agg(F.min("_at")["concept"].alias("_fitting"))
+    rows = asks.join(same, asked, "left").join(fitting, asked, "left").join(loose, on, "left").join(first, on, "left")
+    only = F.when(F.col("_n") == 1, F.col("_first")).when(F.col("_n").isNull(), F.col("_loose"))
+    answers = rows.select(*asked, F.coalesce("_same", "_fitting", C.segment_header(F.col("segment_type")), only).alias("parent_header"))
+    return merge.null_safe_join(dims.drop("parent_header"), answers, asked, "left")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from factlake.operators import concepts
+from factlake.operators import concepts, dimensions
 
 N = 1200
 
@@ -38,3 +38,20 @@ def test_guidance_of_one_name_is_answered_once(spark):
     assert by[0] == (0, "co:X", "annual") and by[9] == (10, "co:X", "quarterly") and by[3] == (0, "co:X", "annual")  # the last has no period type
     assert by[4] == (1, "us-gaap:A", "annual") and by[1] == (11, "us-gaap:A", "quarterly")
     assert by[2] == (0, "co:X", "annual") and by[5] == (10, "co:X", "quarterly")
+
+
+def test_headers_of_a_parent_are_read_by_name(spark):
+    k = F.col("id")
+    dims = spark.range(40).select(k.alias("row"), F.lit(1).alias("cik"), F.when(k < 36, "P").alias("parent_concept"), F.element_at(F.array(*map(F.lit, ("product lines", "unknown", "", "geo"))), (k % 4 + 1).cast("int")).alias("segment_type"))
+    names = F.when(k % 3 == 0, "custom:Regions").when(k % 3 == 1, "custom:ProductLines").otherwise("custom:Lines")
+    stored = spark.range(N).select(k.alias("position"), F.lit(1).alias("cik"), F.lit(False).alias("dimensional"), F.lit("P").alias("parent_concept"), names.alias("concept"), F.lit(None).cast("string").alias("segment_type"), F.lit(None).cast("string").alias("parent_header"))
+    one = stored.filter("position = 7").withColumn("parent_concept", F.lit("Q"))
+    asked = dims.unionByName(dims.filter("row = 1").withColumns({"row": F.lit(100).cast("bigint"), "parent_concept": F.lit("Q")}))
+    out = dimensions.inferred_headers(asked, stored.unionByName(one), ["cik"])
+    got, most = joined_rows(out)
+    by = {r["row"]: r["parent_header"] for r in got}
+    assert len(got) == 41 and most <= 41
+    assert by[0] == "custom:ProductLines" and by[1] is None and by[2] is None and by[3] == "custom:GeographicSegmentation"
+    assert by[100] == "custom:ProductLines" and by[36] == "custom:ProductSegmentation" and by[37] is None
+    # No list of all stored headers goes with every row.
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
