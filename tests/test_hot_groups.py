@@ -184,3 +184,9 @@ def test_placement_and_copies_of_few_names(spark):
     assert len(rows) == N and most <= 4 * N
     rows, most = joined_rows(concepts.duplicate_dimensions(*frames(spark, 2, 400), placed, ["cik"]))
     assert rows and most <= 4 * 400
+
+
+def test_next_members_of_few_names(spark):
+    wanted, stored = frames(spark, 9, N)
+    rows, most = joined_rows(concepts.next_dimensions(wanted, stored, concepts.place_dimensional(wanted, stored, ["cik"])))
+    assert sorted(r["id"] for r in rows) == list(range(N)) and most <= 4 * N
