@@ -230,6 +230,7 @@ def _keyed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
             kept.append(s.slice(i, j - i))
     if kept:
         yield whole()
+    tv.give_back()
 
 
 def _pairs(lo: list[int], hi: list[int]) -> pa.RecordBatch:

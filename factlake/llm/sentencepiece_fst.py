@@ -38,10 +38,11 @@ text are ignored.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
 from itertools import chain
@@ -338,20 +339,21 @@ def compile_model(path: str) -> Transducer:
     )
 
 
-_live: dict[str, ChunkEncoder] = {}
+def _live(key: str, load: Callable[[], Transducer]) -> tuple[Transducer, ChunkEncoder]:
+    """The one transducer that this process keeps, with its encoder; ``load`` makes it where it isn't kept."""
 
+    def make() -> tuple[Transducer, ChunkEncoder]:
+        t = load()
 
-def _encoder(t: Transducer, key: str) -> ChunkEncoder:
-    def encode(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        texts = (c.decode("utf-8", "replace") for c in chunks)
-        ids = [t.path(x.replace(" ", BLANK) if t.escape else x) for x in texts]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return chunks, np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
+        def encode(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+            texts = (c.decode("utf-8", "replace") for c in chunks)
+            ids = [t.path(x.replace(" ", BLANK) if t.escape else x) for x in texts]
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            return chunks, np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
-    if key not in _live:
-        _live.clear()
-        _live[key] = ChunkEncoder(encode, MOST_CHUNKS)
-    return _live[key]
+        return t, ChunkEncoder(encode, MOST_CHUNKS)
+
+    return tv.kept(key, make)
 
 
 def rewritten(text: str, rules: dict[str, str], longest: int, begins: re.Pattern) -> str:
@@ -397,7 +399,7 @@ def encode_rows(col: pa.Array, t: Transducer, key: str | None = None) -> tuple[n
     if t.split_at_sign and len(data):
         cut[1:] |= tv.LETTER[data[:-1]] & tv.SIGN[data[1:]]
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
-    return _encoder(t, key or t.fingerprint).rows(data, np.flatnonzero(cut), offsets)
+    return _live(key or t.fingerprint, lambda: t)[1].rows(data, np.flatnonzero(cut), offsets)
 
 
 def decode_rows(ids: np.ndarray, offsets: np.ndarray, t: Transducer) -> tuple[np.ndarray, np.ndarray]:
@@ -419,8 +421,11 @@ def decode_rows(ids: np.ndarray, offsets: np.ndarray, t: Transducer) -> tuple[np
 
 
 def _coded(t: Transducer, key: str, with_tokens: bool):
+    packed = pickle.dumps(t)  # unpacked once per worker and not once per task
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in tv.held(batches, "text"):
+        for s in tv.held(batches, "text", keep=key):
+            t, _ = _live(key, lambda: pickle.loads(packed))
             ids, offsets = encode_rows(s.column(1), t, key)
             data, at = decode_rows(ids, offsets, t)
             original, start = tv.utf8(s.column(1))

@@ -8,7 +8,9 @@ which bounds the temporaries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -165,10 +167,34 @@ def lowered(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return LOWER[data], offsets
 
 
-def held(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """All slices of all batches."""
-    for batch in batches:
-        yield from slices(batch, column, most)
+_kept: dict[str, Any] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def kept(key: str, make: Callable[[], Any]) -> Any:
+    """What this process keeps under ``key`` between the tasks of one operator; one thing at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and malloc hold on to it, and a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def held(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES, keep: str | None = None) -> Iterator[pa.RecordBatch]:
+    """All slices of all batches of a task. First the worker forgets what it keeps under another key than ``keep``."""
+    if keep not in _kept:
+        _kept.clear()
+    try:
+        for batch in batches:
+            yield from slices(batch, column, most)
+    finally:
+        give_back()
 
 
 def latin_lowered(data: np.ndarray) -> np.ndarray:

@@ -385,3 +385,15 @@ def test_chat_table(spark):
         got = chat.chat_digests(chat.formatted(table, row_chars=chars)).collect()
         assert {r["conv_id"]: tuple(r)[1:5] for r in got} == want
     assert chat.chat_table(table.filter("false")).count() == 0
+
+
+def test_a_worker_keeps_its_transducer_until_another_operator_runs():
+    batch = pa.record_batch({"doc_id": pa.array([1, 2]), "text": pa.array(["a word", None])})
+    t = sentencepiece_fst.compile_model(tokenizer_path("piece_bpe_32k.model"))
+    run = sentencepiece_fst._coded(t, "key", False)
+    first = [b.to_pylist() for b in run(iter([batch]))]
+    kept = sentencepiece_fst.tv._kept["key"]
+    assert [b.to_pylist() for b in run(iter([batch]))] == first
+    assert sentencepiece_fst.tv._kept["key"] is kept and kept[0] is not t
+    assert list(sentencepiece_fst.tv.held(iter([batch]), "text")) == [batch]
+    assert not sentencepiece_fst.tv._kept
